@@ -358,3 +358,62 @@ for name, order in (("co_download_topk", "download_num desc, game_id_rs"),
 add("als_ratings", """
     select cast(dense_rank() over (order by imei) - 1 as int) as user_id, game_id, cast(1 as float) as rating
     from fx_appdownload""", "fx_appdownload")
+
+# --- streams ---
+
+ORACLES["stream_resume"] = ORACLES["stream_replay_idempotent"] = ORACLES["os_day_count"]
+add("stream_hour_window", f"""
+    select {hour('channel_time')} as publish_time, channel_type as type, game_id, {CH} as expand_channel, count(*) as event_num
+    from fx_channel group by 1, 2, 3, 4""", "fx_channel")
+add("stream_late_rows", f"""
+    select {hour('channel_time')} as publish_time,
+           cast(sum(case when channel_time >= '{P.LATE_SPLIT_DAY}' then 1 else 0 end) as bigint) as on_time_num,
+           cast(sum(case when channel_time < '{P.LATE_SPLIT_DAY}' then 1 else 0 end) as bigint) as late_num
+    from fx_channel group by 1""", "fx_channel")
+
+MEASURES = ("show_num", "download_num", "adpage_click_num", "request_num", "regi_account_num", "pay_money", "pay_account_num")
+
+
+def _one(source: str, measure: str, value: str = "count(*)", where: str = "") -> str:
+    cols = ", ".join(f"{value} as {m}" if m == measure else f"0 as {m}" for m in MEASURES)
+    return f"select publish_time, game_id, expand_channel, {cols} from {source} x {where} group by 1, 2, 3"
+
+
+LISTED = "game_id in (select game_id from fx_publish_game)"
+CHANNEL_ROWS = f"(select {hour('channel_time')} as publish_time, game_id, {CH} as expand_channel, channel_type from fx_channel where {LISTED})"
+ALL_MEASURES = " union all ".join([
+    _one(CHANNEL_ROWS, "show_num", where="where channel_type = 1"),
+    _one(CHANNEL_ROWS, "download_num", where="where channel_type = 2"),
+    _one(CHANNEL_ROWS, "adpage_click_num", where="where channel_type = 3"),
+    _one(f"(select * from {REQUESTS} q where {LISTED})", "request_num"),
+    _one(f"(select {hour('reg_time')} as publish_time, game_id, {CH} as expand_channel from fx_regi where {LISTED})",
+         "regi_account_num"),
+    _one(f"({NET_PAY})", "pay_money", "sum(pay_money)"),
+    _one(f"({FIRST_PAY})", "pay_account_num", "sum(pay_account_num)"),
+])
+SUMS = ", ".join(f"cast(sum({m}) as {'double' if m == 'pay_money' else 'bigint'}) as {m}" for m in MEASURES)
+BASE_KPI = f"""
+    (select {KEY}, {SUMS}
+     from (select u.* exclude (expand_channel), {parts('upper(expand_channel)')} from ({ALL_MEASURES}) u) t
+     where {FITS} group by {KEY})"""
+BASE_VIEWS = ("fx_channel", "fx_request_line", "fx_regi", "fx_order", "fx_publish_game")
+# Hours of accounts that only paid first there hold no additive measure, and the reverse.
+add("stream_base_kpi", f"""
+    select k.* exclude (pay_account_num), nullif(k.pay_account_num, 0) as pay_account_num,
+           coalesce(cast(g.parent_game_id as varchar), '0') as parent_game_id,
+           coalesce(cast(g.os as varchar), '1') as os, coalesce(cast(g.group_id as varchar), '0') as group_id,
+           coalesce(p.medium_account, '') as medium_account, coalesce(p.promotion_channel, '') as promotion_channel,
+           coalesce(d.promotion_mode, '') as promotion_mode, coalesce(d.head_people, '') as head_people
+    from {BASE_KPI} k
+    left join (select old_game_id, first(system_type order by group_id, system_type) as os,
+                      min(group_id) as group_id, min(game_id) as parent_game_id
+               from fx_game_sdk group by old_game_id) g on g.old_game_id = k.game_id
+    left join fx_pkg p on upper(p.pkg_code) = k.ad_label
+    left join fx_pkg_day d on upper(d.pkg_code) = k.ad_label and d.order_date = {day('k.publish_time')}""",
+    *BASE_VIEWS, "fx_game_sdk", "fx_pkg", "fx_pkg_day")
+ADDITIVE = MEASURES[:-1]
+DAY_SUMS = ", ".join(f"cast(sum({m}) as {'double' if m == 'pay_money' else 'bigint'}) as {m}" for m in ADDITIVE)
+add("stream_base_kpi_day", f"""
+    select * from (select {day('publish_time')} as publish_date, game_id, parent_channel, child_channel, ad_label, {DAY_SUMS}
+                   from {BASE_KPI.replace("cast(sum(pay_money) as double)", "sum(pay_money)")} k group by 1, 2, 3, 4, 5) t
+    where {' or '.join(f'{m} <> 0' for m in ADDITIVE)}""", *BASE_VIEWS)

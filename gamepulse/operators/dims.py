@@ -63,6 +63,9 @@ ATTRIBUTES = (
 )
 
 
-def enrich_kpi(rows: DataFrame, game_sdk: DataFrame, pkg: DataFrame, pkg_day: DataFrame) -> DataFrame:
+def enrich_kpi(
+    rows: DataFrame, game_sdk: DataFrame, pkg: DataFrame, pkg_day: DataFrame, time_col: str = "publish_time"
+) -> DataFrame:
     """All reporting attributes of keyed KPI rows."""
-    return enrich_parent_game(enrich_game_group(enrich_packages(rows, pkg, pkg_day), game_sdk), game_sdk)
+    packaged = enrich_packages(rows, pkg, pkg_day, time_col)
+    return enrich_parent_game(enrich_game_group(packaged, game_sdk), game_sdk)

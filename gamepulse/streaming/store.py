@@ -9,7 +9,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gamepulse.operators.merge import OVERWRITE, as_delta, delta_columns, fold
 
@@ -88,27 +87,22 @@ class MergeTable:
 
 
 @dataclass(frozen=True)
-class HistoryTable:
-    """Append-only rows, one folder per batch; `partitions` are columns to prune by."""
+class AppendTable:
+    """Rows without a key, one folder per batch; a repeated batch replaces its own folder."""
 
     path: str
     schema: str
-    partitions: tuple[str, ...] = ()
 
     def write(self, batch: DataFrame, writer: str, batch_id: str | int) -> None:
+        names = [c.split()[0] for c in self.schema.split(",")]
         target = f"{self.path}/writer={writer}/batch_id={batch_id}"
-        out = batch.write.mode("overwrite").options(**MARK)
-        (out.partitionBy(*self.partitions) if self.partitions else out).parquet(target)
+        batch.select(*names).write.mode("overwrite").options(**MARK).parquet(target)
 
-    def read(self, spark: SparkSession) -> DataFrame:
+    def read(self, spark: SparkSession, without: tuple[str, str | int] | None = None) -> DataFrame:
+        """All finished rows; `without` leaves out one (writer, batch id)."""
+        skip = f"/writer={without[0]}/batch_id={without[1]}" if without else None
         folders = [p.rsplit("/", 1)[0] for p in _glob(spark, f"{self.path}/writer=*/batch_id=*/_SUCCESS")]
-        names = [c.strip().split(" ", 1)[0] for c in self.schema.split(",")]
+        folders = [f for f in folders if skip is None or not f.endswith(skip)]
         if not folders:
             return spark.createDataFrame([], self.schema)
-        typed = f"{self.schema}, writer string, batch_id string"
-        return spark.read.schema(typed).option("basePath", self.path).parquet(*folders).select(*names)
-
-
-def kept(rows: DataFrame) -> DataFrame:
-    """Rows of one micro-batch that several outputs read; the caller unpersists them."""
-    return rows.select(F.col("value")).persist()
+        return spark.read.schema(self.schema).parquet(*folders)
