@@ -9,29 +9,27 @@ from gamepulse.functions.times import day_key
 DEFAULT_GROUP, DEFAULT_OS, DEFAULT_PARENT, DEFAULT_TEXT = "0", "1", "0", ""
 
 
-def game_groups(game_sdk: DataFrame) -> DataFrame:
-    """One (group_id, os) per game: the smallest pair where a game has several rows."""
+def game_attributes(game_sdk: DataFrame) -> DataFrame:
+    """One (group_id, os, parent_game_id) per game: the smallest (group, os) pair it has."""
     pair = F.min(F.struct(F.col("group_id"), F.col("system_type").alias("os")))
-    one = game_sdk.groupBy(F.col("old_game_id").alias("game_id")).agg(pair.alias("p"))
-    return one.select(
-        "game_id", F.col("p.group_id").cast("string").alias("group_id"), F.col("p.os").cast("string").alias("os")
+    one = game_sdk.groupBy(F.col("old_game_id").alias("game_id")).agg(
+        pair.alias("p"), F.min(game_sdk["game_id"]).alias("parent")
     )
+    texts = {"group_id": "p.group_id", "os": "p.os", "parent_game_id": "parent"}
+    return one.select("game_id", *[F.col(c).cast("string").alias(n) for n, c in texts.items()])
 
 
-def enrich_game_group(rows: DataFrame, game_sdk: DataFrame) -> DataFrame:
-    joined = rows.join(game_groups(game_sdk), "game_id", "left")
-    return joined.withColumns({
-        "group_id": F.coalesce("group_id", F.lit(DEFAULT_GROUP)),
-        "os": F.coalesce("os", F.lit(DEFAULT_OS)),
-    })
+DEFAULTS = {"group_id": DEFAULT_GROUP, "os": DEFAULT_OS, "parent_game_id": DEFAULT_PARENT}
 
 
-def enrich_parent_game(rows: DataFrame, game_sdk: DataFrame) -> DataFrame:
-    parents = game_sdk.groupBy(F.col("old_game_id").alias("g")).agg(
-        F.min("game_id").cast("string").alias("parent_game_id")
-    )
-    joined = rows.join(parents, rows["game_id"] == parents["g"], "left").drop("g")
-    return joined.withColumn("parent_game_id", F.coalesce("parent_game_id", F.lit(DEFAULT_PARENT)))
+def enrich_games(rows: DataFrame, game_sdk: DataFrame, *names: str) -> DataFrame:
+    """Attributes of the game, with defaults where it is unknown."""
+    joined = rows.join(game_attributes(game_sdk).select("game_id", *names), "game_id", "left")
+    return joined.withColumns({n: F.coalesce(n, F.lit(DEFAULTS[n])) for n in names})
+
+
+def enrich_game_group(rows: DataFrame, game_sdk: DataFrame) -> DataFrame:
+    return enrich_games(rows, game_sdk, "group_id", "os")
 
 
 def _first(df: DataFrame, keys: list, *values: str) -> DataFrame:
@@ -58,14 +56,8 @@ def enrich_packages(rows: DataFrame, pkg: DataFrame, pkg_day: DataFrame, time_co
     return joined.withColumns({c: F.coalesce(c, F.lit(DEFAULT_TEXT)) for c in texts})
 
 
-ATTRIBUTES = (
-    "parent_game_id", "os", "medium_account", "promotion_channel", "promotion_mode", "head_people", "group_id",
-)
-
-
 def enrich_kpi(
     rows: DataFrame, game_sdk: DataFrame, pkg: DataFrame, pkg_day: DataFrame, time_col: str = "publish_time"
 ) -> DataFrame:
     """All reporting attributes of keyed KPI rows."""
-    packaged = enrich_packages(rows, pkg, pkg_day, time_col)
-    return enrich_parent_game(enrich_game_group(packaged, game_sdk), game_sdk)
+    return enrich_games(enrich_packages(rows, pkg, pkg_day, time_col), game_sdk, *DEFAULTS)

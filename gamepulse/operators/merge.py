@@ -72,15 +72,24 @@ def delta_columns(values: Mapping[str, str]) -> dict[str, str]:
     return {f"{c}__{s}": t for c, t in values.items() for s in SUFFIX.values()}
 
 
-def as_delta(batch: DataFrame, keys: Mapping[str, str], values: Mapping[str, str], policy: Mapping[str, str]) -> DataFrame:
-    """One row per key with each value in the column of its rule; other columns null."""
+def as_delta(
+    batch: DataFrame, keys: Mapping[str, str], values: Mapping[str, str], policy: Mapping[str, str],
+    unique: bool = False,
+) -> DataFrame:
+    """One row per key with each value in the column of its rule; other columns null.
+
+    Repeated keys are merged first, unless the batch is known to hold none.
+    """
     _check(policy)
     pick = {OVERWRITE: F.max, INCREMENT: F.sum, INSERT_ONLY: F.min}
-    typed = batch.select(
-        *[F.col(k).cast(t).alias(k) for k, t in keys.items()], *[F.col(c).cast(values[c]).alias(c) for c in policy]
+    names = {c: f"{c}__{SUFFIX[r]}" for c, r in policy.items()}
+    rows = batch.select(
+        *[F.col(k).cast(t).alias(k) for k, t in keys.items()],
+        *[F.col(c).cast(values[c]).alias(n) for c, n in names.items()],
     )
-    aggs = [pick[r](c).cast(values[c]).alias(f"{c}__{SUFFIX[r]}") for c, r in policy.items()]
-    rows = typed.groupBy(*keys).agg(*aggs) if aggs else typed.select(*keys).distinct()
+    if not unique:
+        aggs = [pick[policy[c]](n).cast(values[c]).alias(n) for c, n in names.items()]
+        rows = rows.groupBy(*keys).agg(*aggs) if aggs else rows.distinct()
     present = set(rows.columns)
     return rows.select(
         *keys, *[F.col(n) if n in present else F.lit(None).cast(t).alias(n) for n, t in delta_columns(values).items()]

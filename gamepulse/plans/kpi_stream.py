@@ -9,19 +9,23 @@ from gamepulse.functions.channel import PARTS, gate_channel, split_channel
 from gamepulse.functions.times import day_key, hour_key
 from gamepulse.operators.accounts import listed_games
 from gamepulse.plans.kpi_batch import AD_PAGE, DOWNLOAD, PAID, REFUNDED, SHOW
-from gamepulse.schema import STREAM_MEASURES
 from gamepulse.sources import logs
 
 GROUP = ["publish_time", "game_id", "expand_channel"]
 FIRST_PAY_KEYS = {"day": "string", "game_id": "int", "game_account": "string", "order_time": "string"}
 
 
+def gate(rows: DataFrame, case: str = "upper") -> tuple[DataFrame, DataFrame]:
+    """(valid, rejects) with the channel in its three key parts."""
+    return gate_channel(split_channel(rows, case=case))
+
+
 def keyed(rows: DataFrame, measures: list[str], case: str = "upper") -> tuple[DataFrame, DataFrame]:
-    """(valid, rejects) with the channel in its three key parts.
+    """The same with one row per key.
 
     Channels that fall on one key, by letter case or by a dropped fourth part, are summed.
     """
-    valid, rejects = gate_channel(split_channel(rows, case=case))
+    valid, rejects = gate(rows, case)
     keys = [c for c in valid.columns if c not in measures]
     return valid.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]), rejects
 
@@ -79,10 +83,10 @@ def _counts(rows: DataFrame, **columns) -> DataFrame:
 
 
 def batch_measures(lines: DataFrame, regi_batch: DataFrame, regi: DataFrame, games: DataFrame) -> DataFrame:
-    """Additive measures of one batch of lines, one row per hour, game and channel.
+    """Additive measures of one batch of lines, one row per source, hour, game and channel.
 
     `regi` and `games` are everything known including this batch. Each source is reduced to
-    its groups before the whitelist and the others meet it; absent measures become zero.
+    its groups before the whitelist meets it; the measures of other sources are null.
     """
     kind = F.col("type")
     channel = _counts(
@@ -94,8 +98,7 @@ def batch_measures(lines: DataFrame, regi_batch: DataFrame, regi: DataFrame, gam
     registrations = _counts(regi_batch, regi_account_num=F.count(F.lit(1)))
     listed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [channel, requests, registrations])
     money = net_pay_money_hour(logs.parse(lines, "order"), listed_games(regi, games))
-    rows = listed_games(listed, games).unionByName(money, allowMissingColumns=True)
-    return rows.groupBy(*GROUP).agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in STREAM_MEASURES])
+    return listed_games(listed, games).unionByName(money, allowMissingColumns=True)
 
 
 KEY_COLUMNS = ["publish_time", "game_id", *PARTS]

@@ -81,41 +81,44 @@ class BaseKpiJob:
 
     def _count(self, lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
-        games, regi = self.games.read(spark), self.regi.read(spark)
+        # Stored repeats are harmless here: each use below groups or tests for membership.
+        games, regi = self.games.rows(spark), self.regi.rows(spark)
         measures = list(S.STREAM_MEASURES)
         rows = kpi_stream.batch_measures(lines, logs.parse(lines, "regi"), regi, games)
-        with held(rows) as rows:
-            hours, gated = kpi_stream.keyed(rows, measures, self.case)
-            pay, pay_gated = self._pay_accounts(regi, games)
-            both = hours.unionByName(pay, allowMissingColumns=True)
-            keyed = both.groupBy(*kpi_stream.KEY_COLUMNS).agg(*[F.sum(m).alias(m) for m in (*measures, "pay_account_num")])
-            self.kpi_hour.write(self._enriched(keyed, "publish_time"), self.writer, batch_id, S.STREAM_HOUR_POLICY)
-            days = kpi_stream.nonzero(kpi_stream.days_from_hours(hours, measures), measures)
-            self.kpi_day.write(self._enriched(days, "publish_date"), self.writer, batch_id, S.STREAM_DAY_POLICY)
-            if self.keep_rejects:
-                self.rejects.write(self._rejects(lines, gated, pay_gated), self.writer, batch_id)
-
-    def _pay_accounts(self, regi: DataFrame, games: DataFrame) -> tuple[DataFrame, DataFrame]:
+        hours, gated = kpi_stream.gate(rows, self.case)
+        both = hours.unionByName(self._pay_accounts(regi, games), allowMissingColumns=True)
+        merged = both.groupBy(*kpi_stream.KEY_COLUMNS).agg(
+            *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures], F.sum("pay_account_num").alias("pay_account_num")
+        )
+        rich = enrich_kpi(merged, self.dims["game_sdk"], self.dims["pkg"], self.dims["pkg_day"])
+        with held(rich) as rich:
+            self.kpi_hour.write(rich, self.writer, batch_id, S.STREAM_HOUR_POLICY, unique=True)
+            # Attributes depend on game, package and day only, so the days inherit them.
+            days = kpi_stream.days_from_hours(rich.drop("pay_account_num"), measures)
+            days = kpi_stream.nonzero(days, measures)
+            self.kpi_day.write(days, self.writer, batch_id, S.STREAM_DAY_POLICY, unique=True)
+        if self.keep_rejects:
+            self.rejects.write(self._rejects(lines, gated), self.writer, batch_id)
+
+    def _pay_accounts(self, regi: DataFrame, games: DataFrame) -> DataFrame:
         """Recomputed counts; hours whose accounts all moved to an earlier hour become zero."""
         spark = regi.sparkSession
-        first, stored = self.first_paid.read(spark), self.kpi_hour.read(spark).filter(F.col("pay_account_num") > 0)
+        first = self.first_paid.rows(spark)
+        stored = self.kpi_hour.read(spark, "pay_account_num").filter(F.col("pay_account_num") > 0)
         if self.run_date:
             first = first.filter(F.col("day") == self.run_date)
             stored = stored.filter(F.col("publish_time").startswith(self.run_date))
         counts = kpi_stream.first_pay_accounts_hour(first, listed_games(regi, games))
-        valid, gated = kpi_stream.keyed(counts, ["pay_account_num"], self.case)
-        return zero_stale(stored, valid, kpi_stream.KEY_COLUMNS, ["pay_account_num"]), gated
-
-    def _enriched(self, rows: DataFrame, time_col: str) -> DataFrame:
-        return enrich_kpi(rows, self.dims["game_sdk"], self.dims["pkg"], self.dims["pkg_day"], time_col)
+        valid, _ = kpi_stream.keyed(counts, ["pay_account_num"], self.case)
+        return zero_stale(stored, valid, kpi_stream.KEY_COLUMNS, ["pay_account_num"])
 
     @staticmethod
-    def _rejects(lines: DataFrame, *gated: DataFrame) -> DataFrame:
+    def _rejects(lines: DataFrame, gated: DataFrame) -> DataFrame:
         kinds = ("pubgame", "regi", "order", "channel_hour")
         frames = [logs.rejects(lines, k).select(F.lit(k).alias("kind"), "value") for k in kinds]
         frames.append(logs.request_rejects(lines).select(F.lit("request").alias("kind"), "value"))
         text = F.to_json(F.struct(*kpi_stream.KEY_COLUMNS)).alias("value")
-        frames += [g.select(F.lit("channel").alias("kind"), text) for g in gated]
+        frames.append(gated.select(F.lit("channel").alias("kind"), text))
         return reduce(DataFrame.unionByName, frames)
 
     def compact(self, spark) -> None:

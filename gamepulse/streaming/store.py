@@ -51,9 +51,14 @@ class MergeTable:
         cols = {**self.keys, **delta_columns(self.values), "writer": "string", "batch_id": "string", "seq": "bigint"}
         return ", ".join(f"{n} {t}" for n, t in cols.items())
 
-    def write(self, batch: DataFrame, writer: str, batch_id: str | int, policy: Mapping[str, str]) -> None:
-        """Store one batch under its writer and id. `policy` names the columns it touches."""
-        self._put(as_delta(batch, self.keys, self.values, policy), writer, str(batch_id))
+    def write(
+        self, batch: DataFrame, writer: str, batch_id: str | int, policy: Mapping[str, str], unique: bool = False
+    ) -> None:
+        """Store one batch under its writer and id. `policy` names the columns it touches.
+
+        `unique` says that the batch holds each key once, which spares a grouping.
+        """
+        self._put(as_delta(batch, self.keys, self.values, policy, unique), writer, str(batch_id))
 
     def _put(self, delta: DataFrame, writer: str, batch_id: str, seq: int | None = None) -> None:
         known = list_commits(delta.sparkSession, self.path, finished=False)
@@ -73,8 +78,14 @@ class MergeTable:
         folders = [c.folder(self.path) for c in live]
         return spark.read.schema(self._schema()).option("basePath", self.path).parquet(*folders)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return fold(self.deltas(spark), self.keys, self.values)
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """Keys as stored, with repeats across commits."""
+        return self.deltas(spark).select(*self.keys)
+
+    def read(self, spark: SparkSession, *names: str) -> DataFrame:
+        """The current table; with `names`, only those values are folded and scanned."""
+        values = {n: self.values[n] for n in names} if names else self.values
+        return fold(self.deltas(spark), self.keys, values)
 
     def compact(self, spark: SparkSession) -> None:
         """Fold all finished commits into one base folder. Run while no job is writing."""
@@ -82,7 +93,7 @@ class MergeTable:
         if not done:
             return
         newest = max(c.seq for c in done)
-        base = as_delta(self.read(spark), self.keys, self.values, {c: OVERWRITE for c in self.values})
+        base = as_delta(self.read(spark), self.keys, self.values, {c: OVERWRITE for c in self.values}, unique=True)
         self._put(base, BASE_WRITER, str(newest), newest)
 
 
