@@ -317,6 +317,7 @@ UNION = """
      select obtain_time, obtain_id, '' as uid, game_account, game_id, amount as points, amount as ori_price, resource
      from fx_points_recharge where order_state = 4 and lower(version) = 'v2.2')"""
 SHARE = f"p.points * {P.INTEGRAL * 0.01}"
+# A member has one name: where the view holds two, the lookup takes the smaller one.
 ENRICHED = f"""
     (select e.obtain_time, e.obtain_id, case when e.uid = '' then '0' else e.uid end as uid, coalesce(m.username, '') as uname,
             e.game_id, e.game_name, e.points, e.ori_price, e.resource
@@ -327,7 +328,8 @@ ENRICHED = f"""
                        else trunc({SHARE}) end as points, p.ori_price, p.resource
            from {UNION} p left join fx_account_bind b on p.game_account = b.game_account
            left join fx_game_name g on p.game_id = g.game_id) e
-     left join fx_member m on e.uid = m.member_id)"""
+     left join (select member_id, min(username) as username from fx_member group by member_id) m
+     on e.uid = m.member_id)"""
 POINT_VIEWS = ("fx_points_signin", "fx_points_recharge")
 RICH_VIEWS = (*POINT_VIEWS, "fx_account_bind", "fx_member", "fx_game_name")
 add("points_union", f"select * from {UNION} u", *POINT_VIEWS)
