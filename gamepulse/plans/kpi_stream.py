@@ -15,17 +15,12 @@ GROUP = ["publish_time", "game_id", "expand_channel"]
 FIRST_PAY_KEYS = {"day": "string", "game_id": "int", "game_account": "string", "order_time": "string"}
 
 
-def gate(rows: DataFrame, case: str = "upper") -> tuple[DataFrame, DataFrame]:
-    """(valid, rejects) with the channel in its three key parts."""
-    return gate_channel(split_channel(rows, case=case))
-
-
 def keyed(rows: DataFrame, measures: list[str], case: str = "upper") -> tuple[DataFrame, DataFrame]:
-    """The same with one row per key.
+    """(valid, rejects) with the channel in its three key parts, valid rows once per key.
 
     Channels that fall on one key, by letter case or by a dropped fourth part, are summed.
     """
-    valid, rejects = gate(rows, case)
+    valid, rejects = gate_channel(split_channel(rows, case=case))
     keys = [c for c in valid.columns if c not in measures]
     return valid.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]), rejects
 

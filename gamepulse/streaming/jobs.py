@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gamepulse import schema as S
-from gamepulse.functions.channel import PARTS
+from gamepulse.functions.channel import PARTS, gate_channel, split_channel
 from gamepulse.operators.accounts import listed_games
 from gamepulse.operators.dims import enrich_kpi
 from gamepulse.operators.merge import INCREMENT, INSERT_ONLY, zero_stale
@@ -85,20 +85,21 @@ class BaseKpiJob:
         games, regi = self.games.rows(spark), self.regi.rows(spark)
         measures = list(S.STREAM_MEASURES)
         rows = kpi_stream.batch_measures(lines, logs.parse(lines, "regi"), regi, games)
-        hours, gated = kpi_stream.gate(rows, self.case)
-        both = hours.unionByName(self._pay_accounts(regi, games), allowMissingColumns=True)
+        both = split_channel(rows, case=self.case).unionByName(self._pay_accounts(regi, games), allowMissingColumns=True)
         merged = both.groupBy(*kpi_stream.KEY_COLUMNS).agg(
             *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures], F.sum("pay_account_num").alias("pay_account_num")
         )
         rich = enrich_kpi(merged, self.dims["game_sdk"], self.dims["pkg"], self.dims["pkg_day"])
+        # Kept with the rows the gate turns down, so all three outputs share one computation.
         with held(rich) as rich:
-            self.kpi_hour.write(rich, self.writer, batch_id, S.STREAM_HOUR_POLICY, unique=True)
+            hours, gated = gate_channel(rich)
+            self.kpi_hour.write(hours, self.writer, batch_id, S.STREAM_HOUR_POLICY, unique=True)
             # Attributes depend on game, package and day only, so the days inherit them.
-            days = kpi_stream.days_from_hours(rich.drop("pay_account_num"), measures)
+            days = kpi_stream.days_from_hours(hours.drop("pay_account_num"), measures)
             days = kpi_stream.nonzero(days, measures)
             self.kpi_day.write(days, self.writer, batch_id, S.STREAM_DAY_POLICY, unique=True)
-        if self.keep_rejects:
-            self.rejects.write(self._rejects(lines, gated), self.writer, batch_id)
+            if self.keep_rejects:
+                self.rejects.write(self._rejects(lines, gated), self.writer, batch_id)
 
     def _pay_accounts(self, regi: DataFrame, games: DataFrame) -> DataFrame:
         """Recomputed counts; hours whose accounts all moved to an earlier hour become zero."""
@@ -117,7 +118,7 @@ class BaseKpiJob:
         kinds = ("pubgame", "regi", "order", "channel_hour")
         frames = [logs.rejects(lines, k).select(F.lit(k).alias("kind"), "value") for k in kinds]
         frames.append(logs.request_rejects(lines).select(F.lit("request").alias("kind"), "value"))
-        text = F.to_json(F.struct(*kpi_stream.KEY_COLUMNS)).alias("value")
+        text = F.to_json(F.struct(*kpi_stream.KEY_COLUMNS, *S.STREAM_MEASURES)).alias("value")
         frames.append(gated.select(F.lit("channel").alias("kind"), text))
         return reduce(DataFrame.unionByName, frames)
 

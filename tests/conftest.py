@@ -11,7 +11,11 @@ from gamepulse.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "local[8]", shuffle_partitions=4, **{"spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"}
+        "local[8]", shuffle_partitions=4,
+        **{
+            "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataStringLength": "2000",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
