@@ -9,12 +9,14 @@ class Tables(Mapping[str, DataFrame]):
     """Read-only name to DataFrame mapping over one way of opening a table."""
 
     def __init__(self, names: list[str], opener: Callable[[str], DataFrame]):
-        self._names, self._open = list(names), opener
+        self._names, self._open, self._opened = list(names), opener, {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._names:
             raise KeyError(name)
-        return self._open(name)
+        if name not in self._opened:
+            self._opened[name] = self._open(name)
+        return self._opened[name]
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._names)

@@ -14,7 +14,7 @@ def spark():
         "local[8]", shuffle_partitions=4,
         **{
             "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
-            "spark.sql.maxMetadataStringLength": "2000",
+            "spark.sql.maxMetadataStringLength": "2000", "spark.sql.codegen.wholeStage": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
