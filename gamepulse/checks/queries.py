@@ -363,16 +363,15 @@ def union_distinct_regi(t: Tables) -> DataFrame:
 @register
 def net_pay_money_hour(t: Tables) -> DataFrame:
     orders = logs.parse(log_lines(t, "order"), "order")
-    regi = listed_games(logs.parse(log_lines(t, "regi"), "regi"), t["fx_publish_game"])
-    rows = kpi_stream.net_pay_money_hour(orders, regi)
+    rows = kpi_stream.net_pay_money_hour(orders, logs.parse(log_lines(t, "regi"), "regi"), t["fx_publish_game"])
     return rows.withColumn("pay_money", F.col("pay_money").cast("double"))
 
 
 @register
 def first_pay_accounts_hour(t: Tables) -> DataFrame:
     orders = logs.parse(log_lines(t, "order"), "order")
-    regi = listed_games(logs.parse(log_lines(t, "regi"), "regi"), t["fx_publish_game"])
-    return kpi_stream.first_pay_accounts_hour(kpi_stream.first_payments(orders), regi)
+    regi = logs.parse(log_lines(t, "regi"), "regi")
+    return kpi_stream.first_pay_accounts_hour(kpi_stream.first_payments(orders), regi, t["fx_publish_game"])
 
 
 @register
@@ -402,6 +401,10 @@ def _points(t: Tables) -> DataFrame:
     )
 
 
+def _resolved(t: Tables) -> DataFrame:
+    return points.resolve_points(_points(t), t["fx_account_bind"], t["fx_game_name"], P.INTEGRAL)
+
+
 def _enriched(t: Tables) -> DataFrame:
     return points.enrich_points(_points(t), t["fx_account_bind"], t["fx_member"], t["fx_game_name"], P.INTEGRAL)
 
@@ -426,12 +429,12 @@ def points_running_total(t: Tables) -> DataFrame:
 
 @register
 def quota_sum(t: Tables) -> DataFrame:
-    return points.quota_sum(_enriched(t))
+    return points.quota_sum(_resolved(t), t["fx_member"])
 
 
 @register
 def quota_count(t: Tables) -> DataFrame:
-    return points.quota_count(_enriched(t))
+    return points.quota_count(_resolved(t), t["fx_member"])
 
 
 # --- recommendations ------------------------------------------------------------------------

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from gamepulse import schema as S
 from gamepulse.functions.channel import gate_channel, split_channel
-from gamepulse.operators.merge import OVERWRITE
+from gamepulse.functions.times import day_range
+from gamepulse.operators.merge import OVERWRITE, zero_stale
 from gamepulse.plans import bills, cohort, kpi_batch, recommend
 from gamepulse.session import build_session
 from gamepulse.sources import logs
@@ -61,8 +62,15 @@ def keyed_rows(frames: list[DataFrame], measures: list[str], attributes: tuple[s
     )
 
 
-def _overwrite(table: MergeTable, rows: DataFrame, job: str, run_id: str) -> None:
-    table.write(rows, job, run_id, {c: OVERWRITE for c in rows.columns if c in table.values}, unique=True)
+def _overwrite(table: MergeTable, rows: DataFrame, args: argparse.Namespace) -> None:
+    """Write one result; with --zero-stale, stored keys of the same days it lacks become zero."""
+    names = [c for c in rows.columns if c in table.values]
+    if args.zero_stale and args.start and args.end:
+        measures = [c for c in names if table.values[c] != "string"]
+        time_col = next(iter(table.keys))
+        stored = day_range(table.read(rows.sparkSession, *measures), time_col, args.start, args.end)
+        rows = zero_stale(stored, rows, list(table.keys), measures)
+    table.write(rows, args.job, args.run_id, {c: OVERWRITE for c in names}, unique=True)
 
 
 def _dated(rows: DataFrame) -> DataFrame:
@@ -78,16 +86,16 @@ def base_kpi_offline(t: Tables, out: dict[str, MergeTable], args: argparse.Names
         kpi_batch.pay_money_new_hour(orders, regi, games, *days).withColumnRenamed("pay_money", "pay_money_new"),
         kpi_batch.regi_accounts_hour(regi, games, *days).withColumnRenamed("regi_num", "regi_account_num"),
     ], ["pay_money", "pay_money_new", "regi_account_num"])
-    _overwrite(out["kpi_hour"], hours, args.job, args.run_id)
+    _overwrite(out["kpi_hour"], hours, args)
     day_rows = keyed_rows([
         kpi_batch.pay_money_day(orders, regi, sdk, *days),
         kpi_batch.regi_accounts_devices_day(regi, sdk, *days).withColumnRenamed("regi_num", "regi_account_num"),
     ], ["pay_money", "regi_account_num", "regi_device_num"], ("os", "group_id", "parent_game_id"))
-    _overwrite(out["kpi_day"], _dated(day_rows), args.job, args.run_id)
+    _overwrite(out["kpi_day"], _dated(day_rows), args)
     devices = kpi_batch.regi_devices_game_day(regi, sdk, *days).groupBy("publish_time", "game_id").agg(
         *[F.min(c).alias(c) for c in ("os", "group_id", "parent_game_id")], F.max("regi_device_num").alias("regi_device_num")
     )
-    _overwrite(out["game_day"], _dated(devices), args.job, args.run_id)
+    _overwrite(out["game_day"], _dated(devices), args)
 
 
 def pay_account_offline(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
@@ -107,7 +115,7 @@ def pay_account_offline(t: Tables, out: dict[str, MergeTable], args: argparse.Na
     both = payers.withColumn("dau_pay_account_num", F.col("pay_account_num")).unionByName(events, allowMissingColumns=True)
     measures = ["pay_account_num", "dau_pay_account_num", *counts]
     keys = list(S.KPI_HOUR_KEYS)
-    _overwrite(out["kpi_hour"], both.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]), args.job, args.run_id)
+    _overwrite(out["kpi_hour"], both.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]), args)
     payers_day = keyed_rows(
         [kpi_batch.pay_accounts_day(orders, regi, t["game_sdk"], *days)], ["pay_account_num"], ("os", "group_id")
     )
@@ -116,7 +124,7 @@ def pay_account_offline(t: Tables, out: dict[str, MergeTable], args: argparse.Na
     totals = [F.sum(m).alias(m) for m in ("pay_account_num", *counts)]
     attributes = [F.min(a).alias(a) for a in ("os", "group_id")]
     _overwrite(
-        out["kpi_day"], both_days.groupBy(*S.KPI_DAY_KEYS).agg(*totals, *attributes), args.job, args.run_id
+        out["kpi_day"], both_days.groupBy(*S.KPI_DAY_KEYS).agg(*totals, *attributes), args
     )
 
 
@@ -126,12 +134,12 @@ def _cohort_rows(rows: DataFrame) -> DataFrame:
 
 def retention(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
     rows = cohort.retention(t["ods_regi_rz"], t["ods_login"], t["ods_publish_game"], args.day)
-    _overwrite(out["cohort"], _cohort_rows(rows), args.job, args.run_id)
+    _overwrite(out["cohort"], _cohort_rows(rows), args)
 
 
 def ltv(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
     rows = cohort.ltv(t["ods_regi_rz"], t["ods_order"], t["ods_publish_game"], args.day)
-    _overwrite(out["cohort"], _cohort_rows(rows), args.job, args.run_id)
+    _overwrite(out["cohort"], _cohort_rows(rows), args)
 
 
 def sdk_bills(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
@@ -141,18 +149,18 @@ def sdk_bills(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -
     one = rows.groupBy(*S.BILL_KEYS).agg(
         F.sum("amount").alias("amount"), F.min("corporation_name").alias("corporation_name")
     )
-    _overwrite(out["bills"], one, args.job, args.run_id)
+    _overwrite(out["bills"], one, args)
 
 
 def co_download(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
     counts = recommend.co_download_counts(t["ods_appdownload"])
-    _overwrite(out["recommend"], recommend.co_download_topk(counts), args.job, args.run_id)
+    _overwrite(out["recommend"], recommend.co_download_topk(counts), args)
 
 
 def als(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
     downloads = logs.parse(text_lines(args.spark, args.lines), "appdownload")
     ratings = recommend.als_ratings(downloads).persist()
-    _overwrite(out["recommend"], recommend.als_lists(recommend.fit_als(ratings), ratings), args.job, args.run_id)
+    _overwrite(out["recommend"], recommend.als_lists(recommend.fit_als(ratings), ratings), args)
     ratings.unpersist()
 
 
@@ -190,6 +198,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--end", help="last day; for bills the day after it")
     p.add_argument("--day", help="cohort day, or the only day of first payments")
     p.add_argument("--run-id", default=datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f"))
+    p.add_argument("--zero-stale", action="store_true", help="zero stored keys of the days that no longer qualify")
     p.add_argument("--brokers")
     p.add_argument("--topics", default="")
     p.add_argument("--first-run", default="earliest", choices=["earliest", "latest"])

@@ -59,13 +59,16 @@ def insert_or_touch(target: DataFrame, batch: DataFrame, keys: list[str]) -> Dat
 
 
 def zero_stale(current: DataFrame, batch: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    """The batch plus zeroed rows for the keys of `current` it no longer has.
+    """The batch plus a zero for every stored non-zero measure it gives no value for.
 
-    Pass the part of the current table that the batch recomputes.
+    Pass the part of the current table that the batch recomputes. Both sides hold a key once.
     """
-    stale = current.select(*keys).join(batch.select(*keys), keys, "left_anti")
-    zeros = stale.select(*keys, *[F.lit(0).cast(batch.schema[m].dataType).alias(m) for m in measures])
-    return batch.select(*keys, *measures).unionByName(zeros)
+    held = lambda m: F.when(F.col(m) != 0, F.lit(0).cast(batch.schema[m].dataType)).alias(f"_zero_{m}")
+    rows = batch.unionByName(current.select(*keys, *[held(m) for m in measures]), allowMissingColumns=True)
+    others = [c for c in batch.columns if c not in keys and c not in measures]
+    return rows.groupBy(*keys).agg(
+        *[F.coalesce(F.max(m), F.max(f"_zero_{m}")).alias(m) for m in measures], *[F.max(c).alias(c) for c in others]
+    )
 
 
 def delta_columns(values: Mapping[str, str]) -> dict[str, str]:

@@ -38,13 +38,17 @@ def nonzero(rows: DataFrame, measures: list[str]) -> DataFrame:
     return rows.filter(reduce(lambda a, b: a | b, [F.coalesce(m, F.lit(0)) != 0 for m in measures]))
 
 
-def _accounts(regi: DataFrame) -> DataFrame:
-    """(account, channel, n): distinct registrations behind each account and channel."""
-    names = ["game_account", "expand_channel", "game_id", "resource_id", "publish_time"]
-    return regi.select(*names).distinct().groupBy("game_account", "expand_channel").agg(F.count(F.lit(1)).alias("n"))
+def _accounts(regi: DataFrame, games: DataFrame, *names: str) -> DataFrame:
+    """(account, channel, n): distinct listed registrations behind each account and channel.
+
+    Made distinct before the whitelist: the other way round Spark would keep the whitelist's
+    partitioning by game for it, and a busy game would be one task.
+    """
+    distinct = regi.select("game_account", "expand_channel", "game_id", *names).distinct()
+    return listed_games(distinct, games).groupBy("game_account", "expand_channel").agg(F.count(F.lit(1)).alias("n"))
 
 
-def net_pay_money_hour(orders: DataFrame, regi: DataFrame) -> DataFrame:
+def net_pay_money_hour(orders: DataFrame, regi: DataFrame, games: DataFrame) -> DataFrame:
     """Paid minus refunded amount per hour, game of the order and registered channel."""
     signed = F.when(F.col("order_status") == PAID, F.col("paymoney")).otherwise(-F.col("paymoney"))
     sales = (
@@ -53,7 +57,8 @@ def net_pay_money_hour(orders: DataFrame, regi: DataFrame) -> DataFrame:
         .agg(F.sum(signed).alias("amount"))
     )
     money = F.sum(F.col("amount") * F.col("n")).cast("decimal(38,2)")
-    return sales.join(_accounts(regi), "game_account").groupBy(*GROUP).agg(money.alias("pay_money"))
+    accounts = _accounts(regi, games, "resource_id", "publish_time")
+    return sales.join(accounts, "game_account").groupBy(*GROUP).agg(money.alias("pay_money"))
 
 
 def first_payments(orders: DataFrame, run_date: str | None = None) -> DataFrame:
@@ -64,11 +69,10 @@ def first_payments(orders: DataFrame, run_date: str | None = None) -> DataFrame:
     )
 
 
-def first_pay_accounts_hour(first_paid: DataFrame, regi: DataFrame) -> DataFrame:
+def first_pay_accounts_hour(first_paid: DataFrame, regi: DataFrame, games: DataFrame) -> DataFrame:
     """Accounts by the hour of their first paid order of the day, per game and channel."""
     first = first_paid.groupBy("day", "game_id", "game_account").agg(F.min("order_time").alias("order_time"))
-    channels = regi.select("game_account", "expand_channel").distinct()
-    return first.join(channels, "game_account").groupBy(
+    return first.join(_accounts(regi, games), "game_account").groupBy(
         hour_key("order_time").alias("publish_time"), "game_id", "expand_channel"
     ).agg(F.count(F.lit(1)).alias("pay_account_num"))
 
@@ -92,7 +96,7 @@ def batch_measures(lines: DataFrame, regi_batch: DataFrame, regi: DataFrame, gam
     requests = _counts(logs.parse_request(lines), request_num=F.count(F.lit(1)))
     registrations = _counts(regi_batch, regi_account_num=F.count(F.lit(1)))
     listed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [channel, requests, registrations])
-    money = net_pay_money_hour(logs.parse(lines, "order"), listed_games(regi, games))
+    money = net_pay_money_hour(logs.parse(lines, "order"), regi, games)
     return listed_games(listed, games).unionByName(money, allowMissingColumns=True)
 
 

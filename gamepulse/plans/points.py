@@ -36,15 +36,12 @@ def points_rule(points: Column | str, integral: int) -> Column:
     return F.when((share > 0) & (share <= 1), F.lit(1.0)).otherwise(whole(share).cast("double"))
 
 
-def enrich_points(
-    points: DataFrame, binds: DataFrame, members: DataFrame, game_names: DataFrame, integral: int
-) -> DataFrame:
-    """Member id, member name, game name and the final points of each detail row.
+def resolve_points(points: DataFrame, binds: DataFrame, game_names: DataFrame, integral: int) -> DataFrame:
+    """Detail rows with the member id behind a recharge, its game name and its final points.
 
     Sign-in rows do not pass the account lookup, so they are no null-key block in its join.
     """
     bound = binds.groupBy("game_account").agg(F.min("bind_member_id").alias("bind_member_id"))
-    named = members.groupBy(F.col("member_id").alias("uid")).agg(F.min("username").alias("uname"))
     games = game_names.groupBy("game_id").agg(F.min("name").alias("game_name"))
     recharge = (
         points.filter(F.col("resource") == RECHARGE)
@@ -52,18 +49,30 @@ def enrich_points(
         .join(games, "game_id", "left")
         .withColumns({
             "uid": F.coalesce("bind_member_id", F.lit(UNBOUND)),
+            "game_name": F.coalesce("game_name", F.lit("")),
             "points": points_rule("points", integral),
         })
     )
     others = points.filter(F.col("resource") != RECHARGE).withColumn("game_name", F.lit(""))
     columns = ["obtain_time", "obtain_id", "uid", "game_id", "game_name", "points", "ori_price", "resource"]
-    rows = recharge.select(*columns).unionByName(others.select(*columns)).join(named, "uid", "left")
-    has_name = F.col("resource").isin(RECHARGE, SIGN_IN)
+    return recharge.select(*columns).unionByName(others.select(*columns))
+
+
+def name_members(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """Member names; a blank member id has none and becomes the unbound one."""
+    named = members.groupBy(F.col("member_id").alias("uid")).agg(F.min("username").alias("uname"))
+    joined = rows.join(named, "uid", "left")
+    uid = F.when(F.col("uid") == "", F.lit(UNBOUND)).otherwise(F.col("uid"))
+    return joined.withColumns({"uid": uid, "uname": F.coalesce("uname", F.lit(""))})
+
+
+def enrich_points(
+    points: DataFrame, binds: DataFrame, members: DataFrame, game_names: DataFrame, integral: int
+) -> DataFrame:
+    """Detail rows with member id, member name, game name and final points."""
+    rows = name_members(resolve_points(points, binds, game_names, integral), members)
     return rows.select(
-        "obtain_time", "obtain_id",
-        F.when(F.col("uid") == "", F.lit(UNBOUND)).otherwise(F.col("uid")).alias("uid"),
-        F.when(has_name, F.coalesce("uname", F.lit(""))).otherwise(F.lit("")).alias("uname"),
-        "game_id", F.coalesce("game_name", F.lit("")).alias("game_name"), "points", "ori_price", "resource",
+        "obtain_time", "obtain_id", "uid", "uname", "game_id", "game_name", "points", "ori_price", "resource"
     )
 
 
@@ -78,13 +87,19 @@ def points_running_total(enriched: DataFrame, history_total: int = 0) -> DataFra
     return running_total(rows, DETAIL_ORDER, "points", "real_points", history_total)
 
 
-def quota_sum(enriched: DataFrame) -> DataFrame:
-    """Points per member."""
-    return enriched.groupBy("uid").agg(
-        F.min("uname").alias("uname"), F.sum(whole("points").cast("bigint")).alias("points")
+def _quota(resolved: DataFrame, members: DataFrame, amount: Column) -> DataFrame:
+    """Summed per member before the names are looked up, so a busy member is one row there."""
+    each = resolved.groupBy("uid").agg(amount.alias("points"))
+    return name_members(each, members).groupBy("uid").agg(
+        F.min("uname").alias("uname"), F.sum("points").alias("points")
     )
 
 
-def quota_count(enriched: DataFrame) -> DataFrame:
+def quota_sum(resolved: DataFrame, members: DataFrame) -> DataFrame:
+    """Points per member."""
+    return _quota(resolved, members, F.sum(whole("points").cast("bigint")))
+
+
+def quota_count(resolved: DataFrame, members: DataFrame) -> DataFrame:
     """One point per detail row and member."""
-    return enriched.groupBy("uid").agg(F.min("uname").alias("uname"), F.count(F.lit(1)).alias("points"))
+    return _quota(resolved, members, F.count(F.lit(1)))

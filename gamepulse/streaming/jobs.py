@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from gamepulse import schema as S
 from gamepulse.functions.channel import PARTS, gate_channel, split_channel
-from gamepulse.operators.accounts import listed_games
 from gamepulse.operators.dims import enrich_kpi
 from gamepulse.operators.merge import INCREMENT, INSERT_ONLY, zero_stale
 from gamepulse.plans import kpi_stream, points, side
@@ -109,7 +108,7 @@ class BaseKpiJob:
         if self.run_date:
             first = first.filter(F.col("day") == self.run_date)
             stored = stored.filter(F.col("publish_time").startswith(self.run_date))
-        counts = kpi_stream.first_pay_accounts_hour(first, listed_games(regi, games))
+        counts = kpi_stream.first_pay_accounts_hour(first, regi, games)
         valid, _ = kpi_stream.keyed(counts, ["pay_account_num"], self.case)
         return zero_stale(stored, valid, kpi_stream.KEY_COLUMNS, ["pay_account_num"])
 
@@ -160,7 +159,7 @@ class SideJob:
             games = self.games.read(lines.sparkSession)
             self.os_day.write(side.os_day_count(lines, games), self.writer, batch_id, {"os_sum": INCREMENT})
             logins = side.login_accounts_hour(lines, games, self.login_game_field)
-            self.logins.write(logins, self.writer, batch_id, {})
+            self.logins.write(logins, self.writer, batch_id, {}, unique=True)
             self.active.write(side.active_events(lines, games), self.writer, batch_id)
 
 
@@ -193,12 +192,11 @@ class PointsJob:
             rows = points.points_union(
                 logs.parse(lines, "points_signin"), logs.parse(lines, "points_recharge")
             )
-            rich = points.enrich_points(
-                rows, self.dims["binds"], self.dims["members"], self.dims["game_names"], self.integral
-            )
+            resolved = points.resolve_points(rows, self.dims["binds"], self.dims["game_names"], self.integral)
+            rich = points.name_members(resolved, self.dims["members"])
             earlier = self.detail.read(lines.sparkSession, without=(self.writer, batch_id))
             total = points.points_total(earlier).first()[0]
             self.detail.write(points.points_running_total(rich, total), self.writer, batch_id)
-            quota = points.quota_sum(rich) if self.quota == "sum" else points.quota_count(rich)
+            quota = points.quota_sum if self.quota == "sum" else points.quota_count
             rules = {"uname": INSERT_ONLY, "points": INCREMENT}
-            self.quotas.write(quota, self.writer, batch_id, rules)
+            self.quotas.write(quota(resolved, self.dims["members"]), self.writer, batch_id, rules, unique=True)

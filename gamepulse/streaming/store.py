@@ -97,6 +97,23 @@ class MergeTable:
         self._put(base, BASE_WRITER, str(newest), newest)
 
 
+    def drop_covered(self, spark: SparkSession) -> int:
+        """Delete the folders a base covers; the count of them. Run while no job is writing.
+
+        Each writer's newest one stays, because that is the batch it may still repeat.
+        """
+        done = list_commits(spark, self.path)
+        base = max((c.seq for c in done if c.writer == BASE_WRITER), default=-1)
+        newest: dict[str, int] = {}
+        for c in done:
+            newest[c.writer] = max(c.seq, newest.get(c.writer, -1))
+        old = [c for c in done if c.seq <= base and c.seq < newest[c.writer]]
+        for c in old:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(c.folder(self.path))
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        return len(old)
+
+
 @dataclass(frozen=True)
 class AppendTable:
     """Rows without a key, one folder per batch; a repeated batch replaces its own folder."""

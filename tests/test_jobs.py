@@ -53,6 +53,26 @@ def test_offline_jobs_share_the_hourly_table(spark, site):
     assert out["game_day"].read(spark).count() > 0
 
 
+def test_stale_keys_become_zero_only_on_request(spark, site):
+    """A run over a smaller order table no longer has some keys of the first run."""
+    few = str(site / "few")
+    for name in ("ods_regi_rz", "ods_publish_game", "game_sdk"):
+        spark.read.parquet(str(site / "tables" / name)).write.parquet(f"{few}/{name}")
+    spark.read.parquet(str(site / "tables" / "ods_order")).filter("order_time < '2024-01-08'").write.parquet(f"{few}/ods_order")
+    argv = ["base-kpi-offline", "--out", str(site / "stale"), *DAYS]
+
+    def paid(tables, *extra):
+        jobs.run(spark, jobs.arguments([*argv, "--tables", tables, *extra]))
+        hours = jobs.results(str(site / "stale"))["kpi_hour"].read(spark)
+        return hours.filter("pay_money <> 0").agg(F.min("publish_time"), F.max("publish_time"), F.sum("pay_money")).first()
+
+    first = paid(str(site / "tables"))
+    kept = paid(few)
+    assert kept == first and first[1] >= "2024-01-12"
+    zeroed = paid(few, "--zero-stale")
+    assert zeroed[1] < "2024-01-08" and zeroed[0] == first[0] and 0 < zeroed[2] < first[2]
+
+
 def test_cohort_jobs_do_not_blank_each_other(spark, site):
     run(spark, site, "retention", "--day", "2024-01-20")
     first = run(spark, site, "ltv", "--day", "2024-01-20")["cohort"].read(spark)

@@ -67,6 +67,17 @@ def test_compaction_keeps_the_table_and_later_writes(spark, table):
     assert read(table, spark) == {"x": (7, None, "p"), "y": (3, None, "r")}
 
 
+def test_covered_folders_can_go(spark, table):
+    for i in range(3):
+        put(table, spark, i, INCREMENT, [("x", 1)])
+    table.compact(spark)
+    assert table.drop_covered(spark) == 2
+    assert read(table, spark) == {"x": (3, None, None)}
+    put(table, spark, 2, INCREMENT, [("x", 1)])  # the newest batch repeated
+    put(table, spark, 3, INCREMENT, [("x", 1)])
+    assert read(table, spark) == {"x": (4, None, None)}
+
+
 def test_unfinished_commit_is_not_read(spark, table, tmp_path):
     put(table, spark, 0, INCREMENT, [("x", 1)])
     put(table, spark, 1, INCREMENT, [("x", 2)])
@@ -113,6 +124,8 @@ def test_touch_and_stale(spark, rows):
     assert rows(insert_or_touch(target, batch, ["k"])) == [("z",)]
     unique = batch.filter("k = 'y'")
     assert rows(zero_stale(target, unique, ["k"], ["n"])) == [("x", 0), ("y", 9)]
+    partial = spark.createDataFrame([("y", None, "a")], "k string, n bigint, a string")
+    assert rows(zero_stale(target, partial, ["k"], ["n"])) == [("x", 0, None), ("y", 0, "a")]
 
 
 def test_oldest_base_rows_win_over_late_replays_in_any_read_order(spark, table):

@@ -249,6 +249,7 @@ def test_points_names_and_defaults(spark):
     binds = spark.createDataFrame([("acc", "7")], "game_account string, bind_member_id string")
     members = spark.createDataFrame([("7", "seven"), ("0", "zero")], "member_id string, username string")
     names = spark.createDataFrame([(1, "one")], "game_id int, name string")
+    resolved = points.resolve_points(points.points_union(signin, recharge), binds, names, 50)
     rich = points.enrich_points(points.points_union(signin, recharge), binds, members, names, 50)
     got = {r["obtain_time"]: (r["uid"], r["uname"], r["game_name"], r["points"]) for r in rich.collect()}
     assert got == {
@@ -257,5 +258,5 @@ def test_points_names_and_defaults(spark):
     }
     total = {r["obtain_time"]: (r["points"], r["real_points"]) for r in points.points_running_total(rich, 10).collect()}
     assert total == {"t1": (1, 11), "t2": (2, 13), "t4": (2, 15), "t5": (1, 16)}
-    assert {tuple(r) for r in points.quota_sum(rich).collect()} == {("7", "seven", 3), ("0", "", 3)}
-    assert {tuple(r) for r in points.quota_count(rich).collect()} == {("7", "seven", 2), ("0", "", 2)}
+    assert {tuple(r) for r in points.quota_sum(resolved, members).collect()} == {("7", "seven", 3), ("0", "", 3)}
+    assert {tuple(r) for r in points.quota_count(resolved, members).collect()} == {("7", "seven", 2), ("0", "", 2)}

@@ -41,10 +41,9 @@ def hours(job, spark, *names):
     return {tuple(r[c] for c in HOUR[:1] + HOUR[2:3]): tuple(r[n] for n in names) for r in job.kpi_hour.read(spark).collect()}
 
 
-def test_one_batch_or_many_give_the_same_tables(spark, sf_dir, tmp_path):
+def test_one_batch_or_many_give_the_same_tables(spark, sf_dir, dims, tmp_path):
     """Orders arrive split over batches, later hours first."""
     t = fixture_tables(spark, sf_dir)
-    dims = {"game_sdk": t["fx_game_sdk"], "pkg": t["fx_pkg"], "pkg_day": t["fx_pkg_day"]}
     one, many = (BaseKpiJob(str(tmp_path / n), dims, keep_rejects=False) for n in ("one", "many"))
     one.process(log_lines(t, "pubgame", "regi", "channel", "order"), 0)
     many.process(log_lines(t, "pubgame", "regi"), 0)
