@@ -23,16 +23,16 @@ from gamepulse.plans import bills, cohort, kpi_batch, recommend
 from gamepulse.session import build_session
 from gamepulse.sources import logs
 from gamepulse.sources.streams import file_lines, kafka_lines
-from gamepulse.sources.tables import catalog_tables, parquet_tables, text_lines
+from gamepulse.sources.tables import Tables, catalog_tables, parquet_tables, text_lines
 from gamepulse.streaming.jobs import BaseKpiJob, PointsJob, SideJob
 from gamepulse.streaming.run import start
 from gamepulse.streaming.store import MergeTable
 
-Tables = Mapping[str, DataFrame]
+Inputs = Mapping[str, DataFrame]
 
 TABLES = [
-    "ods_regi_rz", "ods_order", "ods_login", "ods_channel", "ods_publish_game", "game_sdk", "ods_appdownload",
-    "pywsdk_cp_req", "bgameaccount", "bgame", "pywsdk_apple_receipt_verify", "pkg", "pkg_day", "account_bind", "member",
+    "registrations", "orders", "logins", "channel_events", "publish_games", "game_sdk", "downloads",
+    "sdk_requests", "sdk_accounts", "companies", "receipts", "pkg", "pkg_day", "account_bind", "member",
     "game_name",
 ]
 
@@ -77,10 +77,10 @@ def _dated(rows: DataFrame) -> DataFrame:
     return rows.withColumnRenamed("publish_time", "publish_date")
 
 
-def base_kpi_offline(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
+def base_kpi_offline(t: Inputs, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
     """Pay money and registrations per hour and day, devices per game and day."""
     days = (args.start, args.end)
-    orders, regi, games, sdk = t["ods_order"], t["ods_regi_rz"], t["ods_publish_game"], t["game_sdk"]
+    orders, regi, games, sdk = t["orders"], t["registrations"], t["publish_games"], t["game_sdk"]
     hours = keyed_rows([
         kpi_batch.pay_money_hour(orders, regi, games, *days),
         kpi_batch.pay_money_new_hour(orders, regi, games, *days).withColumnRenamed("pay_money", "pay_money_new"),
@@ -98,11 +98,11 @@ def base_kpi_offline(t: Tables, out: dict[str, MergeTable], args: argparse.Names
     _overwrite(out["game_day"], _dated(devices), args)
 
 
-def pay_account_offline(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
+def pay_account_offline(t: Inputs, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
     """Paying accounts, ad clicks and landing-page requests per hour and day."""
     days = (args.start, args.end)
-    orders, regi, games = t["ods_order"], t["ods_regi_rz"], t["ods_publish_game"]
-    clicks = kpi_batch.clicks_hour(t["ods_channel"], games, *days)
+    orders, regi, games = t["orders"], t["registrations"], t["publish_games"]
+    clicks = kpi_batch.clicks_hour(t["channel_events"], games, *days)
     frames = [clicks]
     if args.lines:
         frames.append(kpi_batch.requests_hour(text_lines(orders.sparkSession, args.lines), games, *days))
@@ -132,19 +132,19 @@ def _cohort_rows(rows: DataFrame) -> DataFrame:
     return keyed_rows([rows], [c for c in rows.columns if c in S.COHORT_VALUES])
 
 
-def retention(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
-    rows = cohort.retention(t["ods_regi_rz"], t["ods_login"], t["ods_publish_game"], args.day)
+def retention(t: Inputs, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
+    rows = cohort.retention(t["registrations"], t["logins"], t["publish_games"], args.day)
     _overwrite(out["cohort"], _cohort_rows(rows), args)
 
 
-def ltv(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
-    rows = cohort.ltv(t["ods_regi_rz"], t["ods_order"], t["ods_publish_game"], args.day)
+def ltv(t: Inputs, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
+    rows = cohort.ltv(t["registrations"], t["orders"], t["publish_games"], args.day)
     _overwrite(out["cohort"], _cohort_rows(rows), args)
 
 
-def sdk_bills(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
+def sdk_bills(t: Inputs, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
     rows = bills.sdk_bills(
-        t["pywsdk_cp_req"], t["bgameaccount"], t["bgame"], t["pywsdk_apple_receipt_verify"], args.start, args.end
+        t["sdk_requests"], t["sdk_accounts"], t["companies"], t["receipts"], args.start, args.end
     )
     one = rows.groupBy(*S.BILL_KEYS).agg(
         F.sum("amount").alias("amount"), F.min("corporation_name").alias("corporation_name")
@@ -152,26 +152,26 @@ def sdk_bills(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -
     _overwrite(out["bills"], one, args)
 
 
-def co_download(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
-    counts = recommend.co_download_counts(t["ods_appdownload"])
+def co_download(t: Inputs, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
+    counts = recommend.co_download_counts(t["downloads"])
     _overwrite(out["recommend"], recommend.co_download_topk(counts), args)
 
 
-def als(t: Tables, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
+def als(t: Inputs, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
     downloads = logs.parse(text_lines(args.spark, args.lines), "appdownload")
     ratings = recommend.als_ratings(downloads).persist()
     _overwrite(out["recommend"], recommend.als_lists(recommend.fit_als(ratings), ratings), args)
     ratings.unpersist()
 
 
-BATCH: dict[str, Callable[[Tables, dict[str, MergeTable], argparse.Namespace], None]] = {
+BATCH: dict[str, Callable[[Inputs, dict[str, MergeTable], argparse.Namespace], None]] = {
     "base-kpi-offline": base_kpi_offline, "pay-account-offline": pay_account_offline, "retention": retention, "ltv": ltv,
     "sdk-bills": sdk_bills, "co-download": co_download, "als": als,
 }
 STREAM = ("base-kpi", "side", "points")
 
 
-def stream_job(name: str, t: Tables, args: argparse.Namespace):
+def stream_job(name: str, t: Inputs, args: argparse.Namespace):
     if name == "base-kpi":
         dims = {n: t[n] for n in ("game_sdk", "pkg", "pkg_day")}
         return BaseKpiJob(args.out, dims, args.day)
@@ -192,6 +192,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("job", choices=[*BATCH, *STREAM])
     p.add_argument("--tables", help="folder of parquet tables")
     p.add_argument("--database", help="catalog database, instead of --tables")
+    p.add_argument("--alias", action="append", default=[], help="name=stored name, for tables called otherwise")
     p.add_argument("--out", required=True, help="folder of the result tables, shared by all executors")
     p.add_argument("--lines", help="log files, or the folder a file stream watches")
     p.add_argument("--start", help="first day")
@@ -211,10 +212,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     args.spark = spark
+    names = {n: n for n in TABLES} | dict(pair.split("=", 1) for pair in args.alias)
     if args.database:
-        tables = catalog_tables(spark, args.database, TABLES)
+        source = catalog_tables(spark, args.database, list(names.values()))
     else:
-        tables = parquet_tables(spark, args.tables, TABLES, suffix="")
+        source = parquet_tables(spark, args.tables, list(names.values()), suffix="")
+    tables = Tables(TABLES, lambda n: source[names[n]])
     if args.job in BATCH:
         BATCH[args.job](tables, results(args.out), args)
         return

@@ -7,10 +7,10 @@ from gamepulse import jobs
 from gamepulse.sources.fixtures import fixture_tables, log_lines
 
 WAREHOUSE = {
-    "ods_regi_rz": "fx_regi", "ods_order": "fx_order", "ods_login": "fx_login", "ods_channel": "fx_channel",
-    "ods_publish_game": "fx_publish_game", "game_sdk": "fx_game_sdk", "ods_appdownload": "fx_appdownload",
-    "pywsdk_cp_req": "fx_cp_req", "bgameaccount": "fx_bgameaccount", "bgame": "fx_bgame",
-    "pywsdk_apple_receipt_verify": "fx_receipt", "account_bind": "fx_account_bind", "member": "fx_member",
+    "registrations": "fx_regi", "orders": "fx_order", "logins": "fx_login", "channel_events": "fx_channel",
+    "publish_games": "fx_publish_game", "game_sdk": "fx_game_sdk", "downloads": "fx_appdownload",
+    "sdk_requests": "fx_cp_req", "sdk_accounts": "fx_bgameaccount", "companies": "fx_bgame",
+    "receipts": "fx_receipt", "account_bind": "fx_account_bind", "member": "fx_member",
     "game_name": "fx_game_name",
 }
 
@@ -56,9 +56,9 @@ def test_offline_jobs_share_the_hourly_table(spark, site):
 def test_stale_keys_become_zero_only_on_request(spark, site):
     """A run over a smaller order table no longer has some keys of the first run."""
     few = str(site / "few")
-    for name in ("ods_regi_rz", "ods_publish_game", "game_sdk"):
+    for name in ("registrations", "publish_games", "game_sdk"):
         spark.read.parquet(str(site / "tables" / name)).write.parquet(f"{few}/{name}")
-    spark.read.parquet(str(site / "tables" / "ods_order")).filter("order_time < '2024-01-08'").write.parquet(f"{few}/ods_order")
+    spark.read.parquet(str(site / "tables" / "orders")).filter("order_time < '2024-01-08'").write.parquet(f"{few}/orders")
     argv = ["base-kpi-offline", "--out", str(site / "stale"), *DAYS]
 
     def paid(tables, *extra):
@@ -83,7 +83,7 @@ def test_cohort_jobs_do_not_blank_each_other(spark, site):
 def test_bills_and_recommendations(spark, site):
     out = run(spark, site, "sdk-bills", "--start", "1998-01-01", "--end", "1998-02-01")
     assert out["bills"].read(spark).count() > 0
-    out = run(spark, site, "co-download")
+    out = run(spark, site, "co-download", "--alias", "downloads=downloads")
     lists = out["recommend"].read(spark)
     assert lists.count() > 0 and lists.filter("game_id_rs = ''").count() == 0
 
