@@ -263,7 +263,7 @@ add("enrich_game_group", f"""
     from {SHOWS} s left join (
         select old_game_id, group_id, system_type as os from (
             select *, row_number() over (partition by old_game_id order by group_id, system_type) as rn
-            from fx_game_sdk where old_game_id % 3 <> 0) d where rn = 1) g
+            from fx_game_sdk) d where rn = 1) g
     on s.game_id = g.old_game_id""", *CLICK_VIEWS, "fx_game_sdk")
 add("enrich_pkg_dims", f"""
     select s.*, coalesce(p.medium_account, '') as medium_account, coalesce(p.promotion_channel, '') as promotion_channel,

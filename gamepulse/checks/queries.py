@@ -337,7 +337,7 @@ def _show_rows(t: Tables) -> DataFrame:
 
 @register
 def enrich_game_groups(t: Tables) -> DataFrame:
-    return enrich_game_group(_show_rows(t), t["fx_game_sdk"].filter(F.col("old_game_id") % 3 != 0))
+    return enrich_game_group(_show_rows(t), t["fx_game_sdk"])
 
 
 QUERIES["enrich_game_group"] = QUERIES.pop("enrich_game_groups")

@@ -89,10 +89,12 @@ def als_ratings(downloads: DataFrame, repeats: bool = True) -> DataFrame:
     """(user_id, game_id, rating): devices numbered densely, every download rated 1.
 
     Counts per device and game carry the repeats through the id join and are unfolded after
-    it. `repeats=False` rates each pair once.
+    it. They are checkpointed, so the download lines are read once for both sides of that
+    join. `repeats=False` rates each pair once.
     """
-    pairs = downloads.groupBy("imei", "game_id").agg(F.count(F.lit(1)).alias(COPIES))
-    numbered = pairs.join(dense_numbers(downloads, "imei", "user_id"), "imei")
+    enable_checkpoints(downloads.sparkSession)
+    pairs = downloads.groupBy("imei", "game_id").agg(F.count(F.lit(1)).alias(COPIES)).checkpoint()
+    numbered = pairs.join(dense_numbers(pairs, "imei", "user_id"), "imei")
     rows = expand_copies(numbered) if repeats else numbered
     return rows.select(F.col("user_id").cast("int").alias("user_id"), "game_id", F.lit(1.0).cast("float").alias("rating"))
 

@@ -1,6 +1,8 @@
 from datetime import date
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gamepulse.functions import casts, channel, times
@@ -40,6 +42,24 @@ def test_channel_split(spark, text, want):
     assert tuple(channel.split_channel(df).first()) == want
 
 
+def split_model(text):
+    """The rule in plain Python: trailing blanks are no parts, fewer than three parts stay whole."""
+    if text in ("", "0"):
+        return ("21", "", "")
+    parts = text.split("_")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return (text, "", "") if len(parts) < 3 else tuple(parts[:3])
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text("ab0_", max_size=9), min_size=200, max_size=300))
+def test_channel_split_of_many_texts(spark, texts):
+    df = spark.createDataFrame([(t, t) for t in texts], "expand_channel string, t string")
+    got = {r["t"]: (r["parent_channel"], r["child_channel"], r["ad_label"]) for r in channel.split_channel(df).collect()}
+    assert got == {t: split_model(t) for t in texts}
+
+
 @pytest.mark.parametrize(("sizes", "passes"), [
     ((10, 10, 15), True), ((11, 10, 15), False), ((10, 11, 15), False), ((10, 10, 16), False),
 ])

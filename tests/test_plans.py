@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gamepulse.operators.accounts import account_channels
+from gamepulse.operators.dims import enrich_kpi
 from gamepulse.operators.ordering import dense_numbers, expand_copies, running_total
 from gamepulse.plans import bills, cohort, kpi_batch, points, recommend
 
@@ -122,6 +123,24 @@ def test_click_types_are_absent_not_zero(spark, rows):
     assert rows(kpi_batch.click_count(hours, "download_num")) == [("2024-01-05 10", 1, "21", 1)]
 
 
+def test_dimension_defaults(spark):
+    rows = spark.createDataFrame(
+        [("2024-01-05 10", 1, "A", "", "C"), ("2024-01-06 10", 2, "A", "", "X")],
+        "publish_time string, game_id int, parent_channel string, child_channel string, ad_label string",
+    )
+    sdk = spark.createDataFrame(
+        [(1, 2, 9, 101), (1, 1, 3, 100), (1, 7, 3, 102)], "old_game_id int, system_type int, group_id int, game_id int"
+    )
+    pkg = spark.createDataFrame([("c", "acct", "feed")], "pkg_code string, medium_account string, promotion_channel string")
+    pkg_day = spark.createDataFrame(
+        [("c", "2024-01-06", "cpc", "who")], "pkg_code string, order_date string, promotion_mode string, head_people string"
+    )
+    got = {r["game_id"]: r.asDict() for r in enrich_kpi(rows, sdk, pkg, pkg_day).collect()}
+    names = ["group_id", "os", "parent_game_id", "medium_account", "promotion_channel", "promotion_mode", "head_people"]
+    assert [got[1][n] for n in names] == ["3", "1", "100", "acct", "feed", "", ""]
+    assert [got[2][n] for n in names] == ["0", "1", "0", "", "", "", ""]
+
+
 # --- cohorts ------------------------------------------------------------------------------
 
 
