@@ -58,9 +58,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word, and the first word of every text (n+1 values)."""
-    inside = ~SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every word, and the first word of every text (n+1 values).
+
+    `gaps` says for every byte value whether it lies between words.
+    """
+    inside = ~gaps[data]
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edges = offsets[:-1][offsets[:-1] < len(data)]
