@@ -5,6 +5,20 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _TRIM = "regexp_replace({}, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g')"
 
 ORACLES = {
+    "op1_ngram_jaccard": f"""
+        WITH RECURSIVE w AS MATERIALIZED (
+            SELECT doc_id, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+        g AS MATERIALIZED (
+            SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                   ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS s FROM w),
+        n AS MATERIALIZED (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM g),
+        e AS MATERIALIZED (SELECT doc_id, unnest(s) AS x FROM g),
+        p AS MATERIALIZED (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS MATERIALIZED (
+            SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+        r(d, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT l.a, r.c FROM r JOIN l ON l.b = r.d)
+        SELECT n.doc_id, n.n AS n_shingles, min(r.c) AS component_id FROM n JOIN r ON r.d = n.doc_id GROUP BY 1, 2""",
     "op4_line_dedup": f"""
         WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
         l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),

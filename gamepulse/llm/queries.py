@@ -10,6 +10,7 @@ from gamepulse.llm.chat_format import format_chats, unescape
 from gamepulse.llm.common import table
 from gamepulse.llm.language_id import identify, learn_prototypes
 from gamepulse.llm.line_dedup import dedup_lines
+from gamepulse.llm.ngram_join import jaccard_components
 from gamepulse.llm.packing import pack
 from gamepulse.llm.quality import graded_documents, learn_quality, score_quality
 from gamepulse.llm.url_filter import Rule, filter_urls
@@ -21,6 +22,10 @@ URL_RULES = [
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), n=5, percent=75)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
@@ -60,6 +65,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_language_id": op2_language_id,
     "op3_packing": op3_packing,
     "op4_line_dedup": op4_line_dedup,
