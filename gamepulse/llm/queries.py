@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gamepulse.llm.chat_format import format_chats, unescape
 from gamepulse.llm.common import table
+from gamepulse.llm.decontaminate import contaminated
 from gamepulse.llm.language_id import identify, learn_prototypes
 from gamepulse.llm.line_dedup import dedup_lines
 from gamepulse.llm.ngram_join import jaccard_components
@@ -46,6 +47,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = learn_quality(graded_documents(docs, table(spark, sf_dir, "labels")), n_grades=3)
@@ -70,6 +75,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_line_dedup": op4_line_dedup,
     "op5_url_filter": op5_url_filter,
+    "op7_decontaminate": op7_decontaminate,
     "op8_ordinal_quality": op8_ordinal_quality,
     "op9_chat_format": op9_chat_format,
 }
