@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gamepulse.llm.chat_format import format_chats, unescape
 from gamepulse.llm.common import table
 from gamepulse.llm.decontaminate import contaminated
+from gamepulse.llm.hilbert_ann import nearest
 from gamepulse.llm.language_id import identify, learn_prototypes
 from gamepulse.llm.line_dedup import dedup_lines
 from gamepulse.llm.ngram_join import jaccard_components
@@ -69,6 +70,10 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op10_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_language_id": op2_language_id,
@@ -78,4 +83,5 @@ QUERIES = {
     "op7_decontaminate": op7_decontaminate,
     "op8_ordinal_quality": op8_ordinal_quality,
     "op9_chat_format": op9_chat_format,
+    "op10_hilbert_ann": op10_hilbert_ann,
 }
