@@ -12,6 +12,7 @@ from gamepulse.llm.decontaminate import contaminated
 from gamepulse.llm.hilbert_ann import nearest
 from gamepulse.llm.language_id import identify, learn_prototypes
 from gamepulse.llm.line_dedup import dedup_lines
+from gamepulse.llm.maxent_lm import score_texts
 from gamepulse.llm.ngram_join import jaccard_components
 from gamepulse.llm.packing import pack
 from gamepulse.llm.quality import graded_documents, learn_quality, score_quality
@@ -48,6 +49,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), "crc32(cast(doc_id as string)) % 10 = 0")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_line_dedup": op4_line_dedup,
     "op5_url_filter": op5_url_filter,
+    "op6_maxent_lm": op6_maxent_lm,
     "op7_decontaminate": op7_decontaminate,
     "op8_ordinal_quality": op8_ordinal_quality,
     "op9_chat_format": op9_chat_format,
