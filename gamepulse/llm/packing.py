@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gamepulse.llm.common import blocks, written
-from gamepulse.llm.hashing import span_hashes, text_bytes, word_spans
+from gamepulse.llm.hashing import LOWER, span_hashes, text_bytes, word_spans
 
 Pattern = dict[int, int]
 
@@ -190,46 +190,74 @@ class Plan:
         return out
 
 
+#: Marks that a tokenizer with word ends parts from a letter before them.
+CUT = np.array([chr(b) in ",.!?;:" for b in range(256)])
+ASCII_LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
+
+
 class WordTokens:
-    """Token ids of whole texts, encoding every distinct word once.
+    """Token ids of whole texts, encoding every distinct word once per worker.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are its words'
-    ids in a row. Only ASCII white space is cut here; a word with other white space is still cut by
-    the tokenizer. The word cache is emptied when it holds `limit` words.
+    Holds for tokenizers that lower-case, drop white space and merge neither across it nor across the
+    end of a run of letters: a text's ids are then its words' ids in a row. Words are cut at ASCII
+    white space and before a mark behind a letter; whatever else parts a word, the tokenizer parts
+    itself. Words with "<|" keep their case, which special tokens depend on. The
+    cache is arrays sorted by word hash and is emptied beyond `limit` words.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 3_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.empty()
 
     def empty(self) -> None:
-        self.known: dict[int, tuple[int, int]] = {}
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.words, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool, self.used = np.zeros(1 << 16, self.kind), 0
+
+    def spans(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        raw, offsets = text_bytes(texts)
+        starts, ends, _ = word_spans(raw, offsets)
+        if len(raw) > 1:
+            cut = np.flatnonzero(CUT[raw[1:]] & ASCII_LETTER[raw[:-1]]) + 1
+            cut = np.setdiff1d(cut, offsets, assume_unique=True)
+            starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
+        data = LOWER[raw]
+        for k in np.flatnonzero((raw[:-1] == 60) & (raw[1:] == 124)).tolist():  # "<|"
+            i = int(np.searchsorted(starts, k, side="right")) - 1
+            data[starts[i]:ends[i]] = raw[starts[i]:ends[i]]
+        return data, starts, ends, np.searchsorted(starts, offsets)
+
+    def add(self, words: np.ndarray, strings: list[str]) -> None:
+        ids = [np.array(e.ids, self.kind) for k in range(0, len(strings), 8192)
+               for e in self.tokenizer.encode_batch_fast(strings[k:k + 8192], add_special_tokens=False)]
+        n = np.array([len(x) for x in ids], np.int32)
+        flat = np.concatenate(ids)
+        if self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(flat), len(self.pool)), self.kind)])
+        self.pool[self.used:self.used + len(flat)] = flat
+        where = np.searchsorted(self.words, words)
+        self.words, self.n = np.insert(self.words, where, words), np.insert(self.n, where, n)
+        self.at = np.insert(self.at, where, self.used + np.cumsum(n) - n)
+        self.used += len(flat)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the first id of every text (n+1 values)."""
-        data, offsets = text_bytes(texts)
-        starts, ends, first = word_spans(data, offsets)
+        data, starts, ends, first = self.spans(texts)
         words, sample, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) > self.limit:
+        if len(self.words) > self.limit:
             self.empty()
-        new = [i for i, w in enumerate(words.tolist()) if w not in self.known]
-        for k in range(0, len(new), 8192):
-            part = new[k:k + 8192]
-            found = self.tokenizer.encode_batch_fast(
-                [data[starts[sample[i]]:ends[sample[i]]].tobytes().decode() for i in part], add_special_tokens=False)
-            for i, e in zip(part, found):
-                n = len(e.ids)
-                if self.used + n > len(self.pool):
-                    self.pool = np.concatenate([self.pool, np.zeros(max(n, len(self.pool)), np.uint32)])
-                self.pool[self.used:self.used + n] = e.ids
-                self.known[int(words[i])] = (self.used, n)
-                self.used += n
-        place = np.array([self.known[w] for w in words.tolist()], np.int64).reshape(-1, 2)
-        at, n = place[inverse, 0], place[inverse, 1]
+        have = np.searchsorted(self.words, words)
+        new = np.flatnonzero(self.words[np.minimum(have, len(self.words) - 1)] != words) if len(self.words) else np.arange(len(words))
+        if len(new):
+            body, low, high = data.tobytes(), starts[sample[new]].tolist(), ends[sample[new]].tolist()
+            self.add(words[new], [body[a:b].decode() for a, b in zip(low, high)])
+        place = np.searchsorted(self.words, words)[inverse]
+        if not len(place):
+            return np.zeros(0, self.kind), np.zeros(len(first), np.int64)
+        at, n = self.at[place], self.n[place]
         total = np.concatenate([[0], np.cumsum(n)])
         ids = self.pool[np.repeat(at - total[:-1], n) + np.arange(total[-1])]
         return ids, total[first]
@@ -247,12 +275,11 @@ def tokens_of(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], It
             n = block.num_rows
             lengths = np.diff(first) + 1
             ends = np.cumsum(lengths)
-            out = np.full(int(ends[-1]), end_id, np.uint32)
-            keep = np.ones(len(out), bool)
+            body = np.full(int(ends[-1]), end_id, encoder.kind)
+            keep = np.ones(len(body), bool)
             keep[ends - 1] = False
-            out[keep] = ids
-            width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
-            body = out.astype(np.uint16 if width == 2 else np.uint32)
+            body[keep] = ids
+            width = body.itemsize
             spots = pa.py_buffer(np.concatenate([[0], ends * width]).astype(np.int64))
             yield pa.RecordBatch.from_arrays([
                 pa.array(row + np.arange(n)), block.column("doc_id"), pa.array(lengths), pa.array(np.full(n, width, np.int32)),
