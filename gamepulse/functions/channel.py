@@ -44,6 +44,14 @@ def channel_parts(c: Column | str) -> list[Column]:
     return [p.alias(n) for p, n in zip([whole, *rest], PARTS)]
 
 
+def fold_channel(c: Column | str) -> Column:
+    """The channel as its key parts see it: one text for all spellings that share a key."""
+    c = F.upper(_col(c))
+    parts = F.split(F.regexp_replace(c, "_+$", ""), "_")
+    three = F.concat_ws("_", *[F.get(parts, F.lit(i)) for i in range(3)])
+    return F.when(c.isin("", "0"), F.lit(BLANK_CHANNEL)).when(F.size(parts) < 3, c).otherwise(three)
+
+
 def split_channel(df: DataFrame, channel: str = "expand_channel", case: str = "raw") -> DataFrame:
     """Replace the channel column by its three parts; `case="upper"` folds spellings first."""
     source = F.upper(channel) if case == "upper" else F.col(channel)

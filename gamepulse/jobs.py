@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamepulse import schema as S
-from gamepulse.functions.channel import gate_channel, split_channel
+from gamepulse.functions.channel import fold_channel, gate_channel, split_channel
 from gamepulse.functions.times import day_range
+from gamepulse.operators.dims import game_attributes
 from gamepulse.operators.merge import OVERWRITE, zero_stale
 from gamepulse.plans import bills, cohort, kpi_batch, recommend
 from gamepulse.session import build_session
@@ -26,7 +27,7 @@ from gamepulse.sources.streams import file_lines, kafka_lines
 from gamepulse.sources.tables import Tables, catalog_tables, parquet_tables, text_lines
 from gamepulse.streaming.jobs import BaseKpiJob, PointsJob, SideJob
 from gamepulse.streaming.run import start
-from gamepulse.streaming.store import MergeTable
+from gamepulse.streaming.store import AppendTable, MergeTable
 
 Inputs = Mapping[str, DataFrame]
 
@@ -48,18 +49,31 @@ def results(out: str) -> dict[str, MergeTable]:
     }
 
 
-def keyed_rows(frames: list[DataFrame], measures: list[str], attributes: tuple[str, ...] = ()) -> DataFrame:
-    """One row per KPI key over several results; a measure no result gave stays null.
+def rejects_table(out: str) -> AppendTable:
+    return AppendTable(f"{out}/rejects", "kind string, value string")
 
-    Where a key spans several attribute values its measures are summed and the smallest
-    attribute is kept.
+
+def folded(df: DataFrame) -> DataFrame:
+    """Channels folded to their keys, so that counts of different accounts are made per key."""
+    return df.withColumn("expand_channel", fold_channel("expand_channel"))
+
+
+def keyed_rows(frames: list[DataFrame], measures: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(one row per KPI key over several results, rows whose channel does not fit).
+
+    Every result has a key once, so the sum only joins the results; a measure no result gave
+    stays null.
     """
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    valid, _ = gate_channel(split_channel(rows, case="upper"))
-    keys = [c for c in valid.columns if c not in measures and c not in attributes]
-    return valid.groupBy(*keys).agg(
-        *[F.sum(m).alias(m) for m in measures], *[F.min(a).alias(a) for a in attributes]
-    )
+    valid, rejected = gate_channel(split_channel(rows, case="upper"))
+    keys = [c for c in valid.columns if c not in measures]
+    return valid.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]), rejected
+
+
+def _keep_rejects(args: argparse.Namespace, **frames: DataFrame) -> None:
+    """All rows this run refused, in one write that a repeated run replaces."""
+    texts = [f.select(F.lit(kind).alias("kind"), F.to_json(F.struct(*f.columns)).alias("value")) for kind, f in frames.items()]
+    rejects_table(args.out).write(reduce(DataFrame.unionByName, texts), args.job, args.run_id)
 
 
 def _overwrite(table: MergeTable, rows: DataFrame, args: argparse.Namespace) -> None:
@@ -80,18 +94,19 @@ def _dated(rows: DataFrame) -> DataFrame:
 def base_kpi_offline(t: Inputs, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
     """Pay money and registrations per hour and day, devices per game and day."""
     days = (args.start, args.end)
-    orders, regi, games, sdk = t["orders"], t["registrations"], t["publish_games"], t["game_sdk"]
-    hours = keyed_rows([
+    orders, regi, games, sdk = t["orders"], folded(t["registrations"]), t["publish_games"], t["game_sdk"]
+    hours, bad_hours = keyed_rows([
         kpi_batch.pay_money_hour(orders, regi, games, *days),
         kpi_batch.pay_money_new_hour(orders, regi, games, *days).withColumnRenamed("pay_money", "pay_money_new"),
         kpi_batch.regi_accounts_hour(regi, games, *days).withColumnRenamed("regi_num", "regi_account_num"),
     ], ["pay_money", "pay_money_new", "regi_account_num"])
     _overwrite(out["kpi_hour"], hours, args)
-    day_rows = keyed_rows([
-        kpi_batch.pay_money_day(orders, regi, sdk, *days),
-        kpi_batch.regi_accounts_devices_day(regi, sdk, *days).withColumnRenamed("regi_num", "regi_account_num"),
-    ], ["pay_money", "regi_account_num", "regi_device_num"], ("os", "group_id", "parent_game_id"))
-    _overwrite(out["kpi_day"], _dated(day_rows), args)
+    day_rows, bad_days = keyed_rows([
+        kpi_batch.pay_money_key_day(orders, regi, sdk, *days),
+        kpi_batch.regi_key_day(regi, sdk, *days).withColumnRenamed("regi_num", "regi_account_num"),
+    ], ["pay_money", "regi_account_num", "regi_device_num"])
+    _overwrite(out["kpi_day"], _dated(day_rows.join(game_attributes(sdk), "game_id", "left")), args)
+    _keep_rejects(args, kpi_hour=bad_hours, kpi_day=bad_days)
     devices = kpi_batch.regi_devices_game_day(regi, sdk, *days).groupBy("publish_time", "game_id").agg(
         *[F.min(c).alias(c) for c in ("os", "group_id", "parent_game_id")], F.max("regi_device_num").alias("regi_device_num")
     )
@@ -101,45 +116,45 @@ def base_kpi_offline(t: Inputs, out: dict[str, MergeTable], args: argparse.Names
 def pay_account_offline(t: Inputs, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
     """Paying accounts, ad clicks and landing-page requests per hour and day."""
     days = (args.start, args.end)
-    orders, regi, games = t["orders"], t["registrations"], t["publish_games"]
+    orders, regi, games, sdk = t["orders"], folded(t["registrations"]), t["publish_games"], t["game_sdk"]
     clicks = kpi_batch.clicks_hour(t["channel_events"], games, *days)
     frames = [clicks]
     if args.lines:
         frames.append(kpi_batch.requests_hour(text_lines(orders.sparkSession, args.lines), games, *days))
     counts = [*kpi_batch.CLICK_TYPES, "request_num"]
-    events = keyed_rows(frames, [c for c in counts if any(c in f.columns for f in frames)])
+    events, bad_events = keyed_rows(frames, [c for c in counts if any(c in f.columns for f in frames)])
     counts = [c for c in counts if c in events.columns]
     # An hour without an event of some type leaves that column as it is.
     events = events.withColumns({c: F.nullif(F.col(c), F.lit(0)) for c in counts})
-    payers = keyed_rows([kpi_batch.pay_accounts_hour(orders, regi, games, *days)], ["pay_account_num"])
+    payers, bad_payers = keyed_rows([kpi_batch.pay_accounts_hour(orders, regi, games, *days)], ["pay_account_num"])
     both = payers.withColumn("dau_pay_account_num", F.col("pay_account_num")).unionByName(events, allowMissingColumns=True)
     measures = ["pay_account_num", "dau_pay_account_num", *counts]
     keys = list(S.KPI_HOUR_KEYS)
     _overwrite(out["kpi_hour"], both.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]), args)
-    payers_day = keyed_rows(
-        [kpi_batch.pay_accounts_day(orders, regi, t["game_sdk"], *days)], ["pay_account_num"], ("os", "group_id")
-    )
+    payers_day, bad_days = keyed_rows([kpi_batch.pay_accounts_key_day(orders, regi, sdk, *days)], ["pay_account_num"])
     events_day = kpi_batch.roll_up_days(events, *counts)
     both_days = _dated(payers_day.unionByName(events_day, allowMissingColumns=True))
     totals = [F.sum(m).alias(m) for m in ("pay_account_num", *counts)]
-    attributes = [F.min(a).alias(a) for a in ("os", "group_id")]
-    _overwrite(
-        out["kpi_day"], both_days.groupBy(*S.KPI_DAY_KEYS).agg(*totals, *attributes), args
-    )
+    one = both_days.groupBy(*S.KPI_DAY_KEYS).agg(*totals)
+    _overwrite(out["kpi_day"], one.join(game_attributes(sdk).select("game_id", "os", "group_id"), "game_id", "left"), args)
+    frames = {"events": bad_events, "payers": bad_payers, "payers_day": bad_days}
+    if args.lines:
+        frames["request"] = logs.request_rejects(text_lines(orders.sparkSession, args.lines))
+    _keep_rejects(args, **frames)
 
 
-def _cohort_rows(rows: DataFrame) -> DataFrame:
-    return keyed_rows([rows], [c for c in rows.columns if c in S.COHORT_VALUES])
+def _cohort(rows: DataFrame, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
+    valid, rejected = keyed_rows([rows], [c for c in rows.columns if c in S.COHORT_VALUES])
+    _overwrite(out["cohort"], valid, args)
+    _keep_rejects(args, cohort=rejected)
 
 
 def retention(t: Inputs, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
-    rows = cohort.retention(t["registrations"], t["logins"], t["publish_games"], args.day)
-    _overwrite(out["cohort"], _cohort_rows(rows), args)
+    _cohort(cohort.retention(folded(t["registrations"]), t["logins"], t["publish_games"], args.day), out, args)
 
 
 def ltv(t: Inputs, out: dict[str, MergeTable], args: argparse.Namespace) -> None:
-    rows = cohort.ltv(t["registrations"], t["orders"], t["publish_games"], args.day)
-    _overwrite(out["cohort"], _cohort_rows(rows), args)
+    _cohort(cohort.ltv(folded(t["registrations"]), t["orders"], t["publish_games"], args.day), out, args)
 
 
 def sdk_bills(t: Inputs, out: dict[str, MergeTable], args: argparse.Namespace) -> None:

@@ -44,7 +44,7 @@ def _with_offsets(ranged: DataFrame, total: Column) -> DataFrame:
     return ranged.join(F.broadcast(offsets), PART)
 
 
-def running_total(df: DataFrame, order: list[str], value: str, out: str, start: int = 0) -> DataFrame:
+def running_total(df: DataFrame, order: list[str], value: str, out: str, start: int | Column = 0) -> DataFrame:
     """`out` = `start` plus the sum of the integer `value` over all rows up to this one.
 
     Ties in `order` are settled by the remaining columns. Rows equal in every column are
@@ -59,7 +59,7 @@ def running_total(df: DataFrame, order: list[str], value: str, out: str, start:
     within = (
         Window.partitionBy(PART).orderBy(*order, *rest).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    run = F.sum(weight).over(within) - weight + F.col(BEFORE) + F.lit(start)
+    run = F.sum(weight).over(within) - weight + F.col(BEFORE) + (start if isinstance(start, Column) else F.lit(start))
     based = placed.select(*names, COPIES, run.alias("_base"))
     each = expand_copies(based, number="_n")
     total = F.col("_base") + F.col("_n") * F.coalesce(F.col(value), F.lit(0)).cast("bigint")

@@ -46,4 +46,4 @@ def sdk_bills(
     named = by_owner.join(names, "game_id", "left").groupBy(
         *keys, F.coalesce("corporation_name", F.lit("")).alias("corporation_name")
     )
-    return named.agg(F.sum(F.col("amount") * F.coalesce("m", F.lit(1))).cast("double").alias("amount"))
+    return named.agg(F.sum(F.col("amount") * F.coalesce("m", F.lit(1))).cast("decimal(38,2)").alias("amount"))

@@ -49,29 +49,24 @@ def retention(
     """Accounts of each cohort that logged in exactly d days after registering.
 
     Cohort size counts registration rows. Cohorts nobody returned to are absent unless
-    `keep_empty`. Sizes and returns are summed in one grouping, without a join of the two.
+    `keep_empty`. Each account meets its own login days once, so sizes and returns are one grouping.
     """
     day = as_date(run_date)
     names = [f"retained_{d}day" for d in RETURN_DAYS]
-    cohort = _cohort_accounts(regi, day, normalise).filter(
+    cohort = listed_games(_cohort_accounts(regi, day, normalise), games).filter(
         F.col("game_id").isNotNull() & F.col("expand_channel").isNotNull()
     )
-    seen = _span(logins, "login_time", day).select(
-        _account(normalise).alias("account"), day_of("login_time").alias("seen_day")
-    ).distinct()
-    after = F.datediff("seen_day", "reg_time")
-    back = cohort.join(seen, "account").filter(after.isin(*RETURN_DAYS))
-    returns = back.select(
-        *COHORT, F.lit(0).cast("bigint").alias("n"),
-        *[F.when(after == d, 1).otherwise(0).cast("bigint").alias(c) for d, c in zip(RETURN_DAYS, names)],
+    seen = (
+        _span(logins, "login_time", day).groupBy(_account(normalise).alias("account"))
+        .agg(F.collect_set(day_of("login_time")).alias("days"))  # at most one per day of the look-back
     )
-    sizes = cohort.select(*COHORT, "n", *[F.lit(0).cast("bigint").alias(c) for c in names])
-    table = sizes.unionByName(returns).groupBy(*COHORT).agg(
-        F.sum("n").alias("add_user_num"), *[F.sum(c).alias(c) for c in names]
+    back = [F.coalesce(F.array_contains("days", F.date_add("reg_time", d)), F.lit(False)) for d in RETURN_DAYS]
+    table = cohort.join(seen, "account", "left").groupBy(*COHORT).agg(
+        F.sum("n").alias("add_user_num"), *[F.count_if(hit).alias(c) for hit, c in zip(back, names)]
     )
     if not keep_empty:
         table = table.filter(sum((F.col(c) for c in names[1:]), F.col(names[0])) > 0)
-    return _text_day(listed_games(table, games).select(*COHORT, "add_user_num", *names))
+    return _text_day(table.select(*COHORT, "add_user_num", *names))
 
 
 def ltv(
@@ -84,29 +79,24 @@ def ltv(
     """
     day = as_date(run_date)
     names = [f"ltv_{n - 1}day" for n in LTV_WINDOWS]
-    cohort = _cohort_accounts(regi, day, normalise)
+    cohort = listed_games(_cohort_accounts(regi, day, normalise), games)
     signed = F.when(F.col("order_status") == PAID, F.col("ori_price")).otherwise(-F.col("ori_price"))
     paid = (
         _span(orders, "order_time", day)
         .filter(F.col("order_status").isin(PAID, REFUNDED))
         .groupBy(_account(normalise).alias("account"), day_of("order_time").alias("pay_day"))
         .agg(F.sum(signed).alias("amount"))
-    )
-    age = F.datediff("pay_day", "reg_time")
-    credited = (
-        cohort.filter(F.col("expand_channel").isNotNull())
-        .join(paid, "account")
-        .filter((age >= 0) & (age < max(LTV_WINDOWS)))
+        .groupBy("account").agg(F.collect_list(F.struct("pay_day", "amount")).alias("paid"))  # one per day of the span
     )
     zero = F.lit(0).cast("decimal(38,2)")
+
+    def within(n: int) -> Column:
+        fits = lambda p: (F.datediff(p["pay_day"], F.col("reg_time")) >= 0) & (F.datediff(p["pay_day"], F.col("reg_time")) < n)
+        total = F.aggregate(F.filter("paid", fits), zero, lambda sum_, p: (sum_ + p["amount"]).cast("decimal(38,2)"))
+        return F.when(F.col("expand_channel").isNotNull() & F.col("paid").isNotNull(), (total * F.col("n")).cast("decimal(38,2)")).otherwise(zero)
+
     # A null account counts no user, as count(account) does, and joins no order.
-    sizes = cohort.select(*COHORT, "n", *[zero.alias(c) for c in names])
-    spent = (F.col("amount") * F.col("n")).cast("decimal(38,2)")
-    parts = credited.select(
-        *COHORT, F.lit(0).cast("bigint").alias("n"),
-        *[F.when(age < n, spent).otherwise(zero).alias(c) for n, c in zip(LTV_WINDOWS, names)],
-    )
-    table = sizes.unionByName(parts).groupBy(*COHORT).agg(
-        F.sum("n").alias("add_user_num"), *[F.sum(c).cast("double").alias(c) for c in names]
+    table = cohort.join(paid, "account", "left").groupBy(*COHORT).agg(
+        F.sum("n").alias("add_user_num"), *[F.sum(within(n)).cast("decimal(38,2)").alias(c) for n, c in zip(LTV_WINDOWS, names)]
     )
-    return _text_day(listed_games(table, games).select(*COHORT, "add_user_num", *names))
+    return _text_day(table.select(*COHORT, "add_user_num", *names))

@@ -20,11 +20,6 @@ Day = date | str
 PAID, REFUNDED, NEW_PAY_TYPE = 4, 8, 6
 SHOW, DOWNLOAD, AD_PAGE = 1, 2, 3
 
-ORDER_COLUMNS = (
-    "order_id", "game_account", "game_id", "order_time", "order_status", "ori_price", "total_amt", "prod_type",
-)
-
-
 def game_dimension(game_sdk: DataFrame, *names: str) -> DataFrame:
     """Distinct (game_id, *names) with names from os, group_id, parent_game_id."""
     source = {"os": "system_type", "group_id": "group_id", "parent_game_id": "game_id"}
@@ -42,7 +37,9 @@ def paid_orders(orders: DataFrame, start: Day, end: Day, new_pay: bool = False)
 
 
 def _distinct_orders(rows: DataFrame) -> DataFrame:
-    return rows.select(*[c for c in ORDER_COLUMNS if c in rows.columns]).distinct()
+    """Rows without full repeats: orders that differ in any column of the table are different ones."""
+    twins = [c for c in rows.columns if c.endswith("_ts") and c.removesuffix("_ts") in rows.columns]
+    return rows.drop(*twins).distinct()
 
 
 def _money_by_account(orders: DataFrame, time_key: Column, amount: Column) -> DataFrame:
@@ -55,7 +52,7 @@ def _credited_money(sales: DataFrame, accounts: DataFrame, *extra: str) -> DataF
     return (
         sales.join(accounts, "acct_key")
         .groupBy("publish_time", "game_id", "expand_channel", *extra)
-        .agg(amount.cast("double").alias("pay_money"))
+        .agg(amount.cast("decimal(38,2)").alias("pay_money"))
     )
 
 
@@ -92,6 +89,21 @@ def pay_money_day(
     return _credited_money(sales, account_channels(regs, attribution, ("os", "group_id")), "os", "group_id")
 
 
+def sdk_games(game_sdk: DataFrame) -> DataFrame:
+    return game_sdk.select(F.col("old_game_id").alias("game_id"))
+
+
+def pay_money_key_day(
+    orders: DataFrame, regi: DataFrame, game_sdk: DataFrame, start: Day, end: Day, attribution: str = "all"
+) -> DataFrame:
+    """New-pay amount per day, game and channel, once however many dimension rows the game has."""
+    amount = F.col("ori_price") + F.col("total_amt")
+    sales = _money_by_account(
+        _distinct_orders(paid_orders(orders, start, end, new_pay=True)), day_key("order_time"), amount
+    )
+    return _credited_money(sales, account_channels(listed_games(regi, sdk_games(game_sdk)), attribution))
+
+
 def _registered(regi: DataFrame, attribution: str) -> DataFrame:
     """Registrations without repeats, before they meet a dimension."""
     names = ["game_account", "expand_channel", "game_id"]
@@ -113,12 +125,20 @@ def regi_accounts_hour(regi: DataFrame, games: DataFrame, start: Day, end: Day)
     return listed_games(counts, games)
 
 
-def regi_accounts_devices_day(regi: DataFrame, game_sdk: DataFrame, start: Day, end: Day) -> DataFrame:
+def _regi_day(regi: DataFrame, start: Day, end: Day) -> DataFrame:
     rows = _registrations(regi, start, end, day_key("reg_time"), "game_account", "imei")
-    counts = rows.groupBy("publish_time", "game_id", "expand_channel").agg(
+    return rows.groupBy("publish_time", "game_id", "expand_channel").agg(
         F.count_distinct("game_account").alias("regi_num"), F.count_distinct("imei").alias("regi_device_num")
     )
-    return with_game_dimension(counts, game_sdk, "os", "group_id", "parent_game_id")
+
+
+def regi_key_day(regi: DataFrame, game_sdk: DataFrame, start: Day, end: Day) -> DataFrame:
+    """Accounts and devices per day, game and channel, for games with a dimension row."""
+    return listed_games(_regi_day(regi, start, end), sdk_games(game_sdk))
+
+
+def regi_accounts_devices_day(regi: DataFrame, game_sdk: DataFrame, start: Day, end: Day) -> DataFrame:
+    return with_game_dimension(_regi_day(regi, start, end), game_sdk, "os", "group_id", "parent_game_id")
 
 
 def regi_devices_game_day(regi: DataFrame, game_sdk: DataFrame, start: Day, end: Day) -> DataFrame:
@@ -141,11 +161,22 @@ def pay_accounts_hour(orders: DataFrame, regi: DataFrame, games: DataFrame, star
     )
 
 
-def pay_accounts_day(orders: DataFrame, regi: DataFrame, game_sdk: DataFrame, start: Day, end: Day) -> DataFrame:
+def _payers_day(orders: DataFrame, start: Day, end: Day) -> DataFrame:
     rows = paid_orders(orders, start, end, new_pay=True).filter(F.col("game_id").isNotNull())
-    payers = rows.select(
+    return rows.select(
         account_key("game_account").alias("acct_key"), day_key("order_time").alias("publish_time"), "game_id"
     ).distinct()
+
+
+def pay_accounts_key_day(orders: DataFrame, regi: DataFrame, game_sdk: DataFrame, start: Day, end: Day) -> DataFrame:
+    """Paying accounts per day, game and channel, once however many dimension rows a game has."""
+    accounts = account_channels(listed_games(regi, sdk_games(game_sdk)))
+    joined = _payers_day(orders, start, end).join(accounts, "acct_key")
+    return joined.groupBy("publish_time", "game_id", "expand_channel").agg(F.count(F.lit(1)).alias("pay_account_num"))
+
+
+def pay_accounts_day(orders: DataFrame, regi: DataFrame, game_sdk: DataFrame, start: Day, end: Day) -> DataFrame:
+    payers = _payers_day(orders, start, end)
     regs = with_game_dimension(_registered(regi, "all"), game_sdk, "os", "group_id")
     joined = payers.join(account_channels(regs, extra=("os", "group_id")), "acct_key")
     return joined.groupBy("publish_time", "game_id", "expand_channel", "os", "group_id").agg(

@@ -81,7 +81,7 @@ def points_total(points: DataFrame) -> DataFrame:
     return points.agg(F.coalesce(F.sum(whole("points").cast("bigint")), F.lit(0)).alias("history_points_sum"))
 
 
-def points_running_total(enriched: DataFrame, history_total: int = 0) -> DataFrame:
+def points_running_total(enriched: DataFrame, history_total: int | Column = 0) -> DataFrame:
     """Detail rows with whole points and `real_points`, the total up to and with the row."""
     rows = enriched.withColumn("points", whole("points"))
     return running_total(rows, DETAIL_ORDER, "points", "real_points", history_total)

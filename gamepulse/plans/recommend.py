@@ -2,9 +2,11 @@
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,7 +116,14 @@ class AlsGrid:
     iterations: tuple[int, ...] = ALS_ITERATIONS
 
 
-def fit_als(ratings: DataFrame, grid: AlsGrid = AlsGrid(), seed: int = 17, parallelism: int = 4) -> ALSModel:
+def split_pairs(ratings: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame]:
+    """(train, test) by a hash of user and game, so that all ratings of a pair are on one side."""
+    place = F.pmod(F.xxhash64("user_id", "game_id", F.lit(seed)), F.lit(1000))
+    edge = int(TRAIN_SHARE * 1000)
+    return ratings.filter(place < edge), ratings.filter(place >= edge)
+
+
+def fit_als(ratings: DataFrame, grid: AlsGrid = AlsGrid(), seed: int = 17) -> ALSModel:
     """The grid's model with the least error on held-out ratings, refitted on all of them."""
     enable_checkpoints(ratings.sparkSession)
     als = _als(seed)
@@ -125,17 +134,16 @@ def fit_als(ratings: DataFrame, grid: AlsGrid = AlsGrid(), seed: int = 17, paral
         .addGrid(als.maxIter, list(grid.iterations))
         .build()
     )
-    search = TrainValidationSplit(
-        estimator=als, estimatorParamMaps=params, evaluator=_rmse(), trainRatio=TRAIN_SHARE, seed=seed,
-        parallelism=parallelism,
-    )
-    return search.fit(ratings).bestModel
+    train, test = split_pairs(ratings, seed)
+    errors = [_rmse().evaluate(als.fit(train, p).transform(test)) for p in params]
+    known = [(e, i) for i, e in enumerate(errors) if e == e]  # no error where nothing could be predicted
+    return als.fit(ratings, params[min(known)[1] if known else 0])
 
 
 def als_rmse(ratings: DataFrame, rank: int, reg_param: float, iterations: int, seed: int = 17) -> DataFrame:
     """Root mean squared error of one setting on ratings it was not fitted on, one row."""
     enable_checkpoints(ratings.sparkSession)
-    train, test = ratings.randomSplit([TRAIN_SHARE, 1 - TRAIN_SHARE], seed=seed)
+    train, test = split_pairs(ratings, seed)
     model = _als(seed).setParams(rank=rank, regParam=reg_param, maxIter=iterations).fit(train)
     error = F.col("prediction") - F.col("rating")
     return model.transform(test).agg(
@@ -143,21 +151,47 @@ def als_rmse(ratings: DataFrame, rank: int, reg_param: float, iterations: int, s
     )
 
 
-def als_lists(model: ALSModel, ratings: DataFrame, k: int = ALS_TOP) -> DataFrame:
-    """One list per game: the games its owners score highest, the game itself left out.
+def als_user_lists(model: ALSModel, users: DataFrame, k: int = ALS_TOP) -> DataFrame:
+    """(user_id, recommendations) of the k best games for a given set of users."""
+    return model.recommendForUserSubset(users.select("user_id").distinct(), k)
+
+
+def _block_scores(k: int):
+    def run(owners: pd.DataFrame, games: pd.DataFrame) -> pd.DataFrame:
+        if owners.empty or games.empty:
+            return pd.DataFrame({"game_id": [], "game_id_rs": [], "score": []}).astype({"game_id": "int32", "game_id_rs": "int32"})
+        scores = np.stack(owners["taste"]).astype(np.float64) @ np.stack(games["features"]).astype(np.float64).T
+        own, other = owners["game_id"].to_numpy(), games["id"].to_numpy()
+        scores[own[:, None] == other[None, :]] = -np.inf
+        parts = []
+        for game, row in zip(own, scores):
+            best = np.lexsort((other, -row))[:k]
+            best = best[np.isfinite(row[best])]
+            parts.append(pd.DataFrame({"game_id": game, "game_id_rs": other[best], "score": row[best]}))
+        return pd.concat(parts)
 
-    Each owner contributes their top k; a game's list is ordered by the mean score.
+    return run
+
+
+def als_lists(model: ALSModel, ratings: DataFrame, k: int = ALS_TOP, block: int = 1024) -> DataFrame:
+    """One list per game: the games its owners score highest on average, the game itself left out.
+
+    The mean score of a game over all owners is the owners' mean factors times the game's, so
+    owners are reduced to one row per game first, and only games meet games, in blocks.
     """
     owned = ratings.select("user_id", "game_id").distinct()
-    top = model.recommendForUserSubset(owned.select("user_id").distinct(), k)
-    scored = top.select("user_id", F.inline("recommendations")).withColumnsRenamed(
-        {"game_id": "game_id_rs", "rating": "score"}
-    )
-    means = (
-        owned.join(scored, "user_id")
-        .filter(F.col("game_id") != F.col("game_id_rs"))
-        .groupBy("game_id", "game_id_rs")
-        .agg(F.avg("score").alias("score"))
+    taste = (
+        owned.join(model.userFactors.withColumnRenamed("id", "user_id"), "user_id")
+        .select("game_id", F.posexplode("features").alias("i", "x")).groupBy("game_id", "i").agg(F.avg("x").alias("x"))
+        .groupBy("game_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda f: f["x"]).alias("taste"))
     )
+    games = model.itemFactors
+    blocks = -(-games.count() // block)
+    every = F.explode(F.sequence(F.lit(0), F.lit(max(blocks, 1) - 1)))
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(max(blocks, 1))).cast("int")
+    left = taste.withColumn("p", part("game_id")).withColumn("q", every)
+    right = games.withColumn("q", part("id")).withColumn("p", every)
+    scored = left.groupBy("p", "q").cogroup(right.groupBy("p", "q")).applyInPandas(
+        _block_scores(k), "game_id int, game_id_rs int, score double")
     rn = F.row_number().over(Window.partitionBy("game_id").orderBy(F.col("score").desc(), "game_id_rs"))
-    return _pipe_list(means.withColumn("rn", rn).filter(F.col("rn") <= k))
+    return _pipe_list(scored.withColumn("rn", rn).filter(F.col("rn") <= k))

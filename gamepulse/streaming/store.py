@@ -62,7 +62,9 @@ class MergeTable:
 
     def _put(self, delta: DataFrame, writer: str, batch_id: str, seq: int | None = None) -> None:
         known = list_commits(delta.sparkSession, self.path, finished=False)
-        own = [c.seq for c in known if (c.writer, c.batch_id) == (writer, batch_id)]
+        done = list_commits(delta.sparkSession, self.path)
+        # A commit that died takes a new number: a base above its old one would hide the retry.
+        own = [c.seq for c in done if (c.writer, c.batch_id) == (writer, batch_id)]
         if seq is None:
             seq = min(own) if own else 1 + max((c.seq for c in known), default=0)
         target = Commit(writer, batch_id, seq).folder(self.path)
