@@ -339,7 +339,7 @@ add("points_union", f"select * from {UNION} u", *POINT_VIEWS)
 add("enrich_points", f"select * from {ENRICHED} e", *RICH_VIEWS)
 add("points_running_total", f"""
     select * from (
-        select obtain_time, obtain_id, uid, uname, game_id, game_name, cast(trunc(points) as int) as points, ori_price, resource,
+        select obtain_time, obtain_id, uid, uname, game_id, game_name, cast(trunc(points) as bigint) as points, ori_price, resource,
                cast(sum(trunc(points)) over (order by obtain_time, obtain_id, uid, uname, game_id, game_name, points, ori_price
                     rows between unbounded preceding and current row) as bigint) as real_points
         from {ENRICHED} e) t
@@ -431,3 +431,64 @@ add("als_list_checks", """
     from fx_appdownload group by 1""", "fx_appdownload")
 add("als_rmse_checks", """
     select count(*) as ratings, count(*) as split, cast(0 as bigint) as shared, true as small from fx_appdownload""", "fx_appdownload")
+
+# --- offline jobs ---
+
+
+def folded(c: str) -> str:
+    text = f"upper({c})"
+    items = f"string_split(regexp_replace({text}, '_+$', ''), '_')"
+    return (f"case when {text} in ('', '0') then '21' when regexp_replace({text}, '_+$', '') = '' or len({items}) < 3 then {text} "
+            f"else array_to_string({items}[1:3], '_') end")
+
+
+def credited(amount: str, time: str, extra: str, games: str) -> str:
+    return f"""
+        select {time} as t, o.game_id, r.ch, sum({amount}) as pay
+        from (select distinct * from fx_order where order_status = 4 {extra} and {between('order_time')}) o
+        join (select distinct game_account, {folded('expand_channel')} as ch from fx_regi where game_id in {games}) r
+          on {key('o.game_account')} = {key('r.game_account')} group by 1, 2, 3"""
+
+
+LISTED, IN_SDK = "(select game_id from fx_publish_game)", "(select old_game_id from fx_game_sdk)"
+HOUR_PARTS = f"""
+    select t, game_id, ch, pay as pay_money, null as pay_money_new, null as regi from ({credited('o.ori_price', hour('o.order_time'), '', LISTED)}) a
+    union all
+    select t, game_id, ch, null, pay, null from ({credited('o.ori_price + o.total_amt', hour('o.order_time'), 'and prod_type = 6', LISTED)}) b
+    union all
+    select {hour('reg_time')}, game_id, {folded('expand_channel')}, null, null, count(distinct game_account) from fx_regi
+    where {between('reg_time')} and game_id in {LISTED} group by 1, 2, 3"""
+DAY_PARTS = f"""
+    select t, game_id, ch, pay as pay_money, null as regi, null as devices
+    from ({credited('o.ori_price + o.total_amt', day('o.order_time'), 'and prod_type = 6', IN_SDK)}) a
+    union all
+    select {day('reg_time')}, game_id, {folded('expand_channel')}, null, count(distinct game_account), count(distinct imei) from fx_regi
+    where {between('reg_time')} and game_id in {IN_SDK} group by 1, 2, 3"""
+ATTRIBUTES = """
+    (select old_game_id, cast(first(system_type order by group_id, system_type) as varchar) as os, cast(min(group_id) as varchar) as group_id,
+            cast(min(game_id) as varchar) as parent_game_id from fx_game_sdk group by 1)"""
+JOB_VIEWS = ("fx_order", "fx_regi", "fx_publish_game")
+add("offline_kpi_hour", f"""
+    select {KEY}, cast(sum(pay_money) as double) as pay_money, cast(sum(pay_money_new) as double) as pay_money_new,
+           cast(sum(regi) as bigint) as regi_account_num
+    from (select t as publish_time, game_id, {parts('ch')}, pay_money, pay_money_new, regi from ({HOUR_PARTS}) p) k
+    where {FITS} group by {KEY}""", *JOB_VIEWS)
+add("offline_kpi_day", f"""
+    select d.*, a.os, a.group_id, a.parent_game_id from (
+        select publish_date, game_id, parent_channel, child_channel, ad_label, cast(sum(pay_money) as double) as pay_money,
+               cast(sum(regi) as bigint) as regi_account_num, cast(sum(devices) as bigint) as regi_device_num
+        from (select t as publish_date, game_id, {parts('ch')}, pay_money, regi, devices from ({DAY_PARTS}) p) k
+        where {FITS} group by 1, 2, 3, 4, 5) d
+    left join {ATTRIBUTES} a on a.old_game_id = d.game_id""", "fx_order", "fx_regi", "fx_game_sdk")
+add("offline_game_day", f"""
+    select publish_date, game_id, os, group_id, parent_game_id, regi_device_num from (
+        select {day('reg_time')} as publish_date, game_id, count(distinct imei) as regi_device_num from fx_regi
+        where {between('reg_time')} group by 1, 2) d
+    join (select old_game_id, cast(min(system_type) as varchar) as os, cast(min(group_id) as varchar) as group_id,
+                 cast(min(game_id) as varchar) as parent_game_id from fx_game_sdk where system_type is not null group by 1) a
+    on a.old_game_id = d.game_id""", "fx_regi", "fx_game_sdk")
+add("offline_rejects", f"""
+    select 'kpi_hour' as kind, count(*) as rows from (select t, game_id, {parts('ch')} from ({HOUR_PARTS}) p) k where not {FITS} having count(*) > 0
+    union all
+    select 'kpi_day', count(*) from (select t, game_id, {parts('ch')} from ({DAY_PARTS}) p) k where not {FITS} having count(*) > 0""",
+    *JOB_VIEWS, "fx_game_sdk")

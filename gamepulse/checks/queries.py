@@ -5,6 +5,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gamepulse import jobs
 from gamepulse.checks import params as P
 from gamepulse.checks import stream_queries
 from gamepulse.functions.channel import PARTS, default_channel, gate_channel, split_channel
@@ -19,6 +20,7 @@ from gamepulse.sources.fixtures import fixture_tables, log_lines
 from gamepulse.sources.tables import text_lines
 
 Tables = Mapping[str, DataFrame]
+KPI_KEYS = ["publish_time", "game_id", *PARTS]
 RANGE = (P.KPI_START, P.KPI_END)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -150,6 +152,40 @@ def whitelist_semi(t: Tables) -> DataFrame:
     return listed_games(regi, t["fx_publish_game"])
 
 
+def _offline(t: Tables) -> str:
+    """Folder of the results of the offline base job over the KPI days."""
+    out = new_folder(t["fx_order"].sparkSession, "offline")
+    names = {"orders": "fx_order", "registrations": "fx_regi", "publish_games": "fx_publish_game", "game_sdk": "fx_game_sdk"}
+    args = jobs.arguments(["base-kpi-offline", "--out", out, "--start", P.KPI_START, "--end", P.KPI_END, "--run-id", "check"])
+    jobs.base_kpi_offline({n: t[v] for n, v in names.items()}, jobs.results(out), args)
+    return out
+
+
+@register
+def offline_kpi_hour(t: Tables) -> DataFrame:
+    rows = jobs.results(_offline(t))["kpi_hour"].read(t["fx_order"].sparkSession)
+    return _double(rows.select(*KPI_KEYS, "pay_money", "pay_money_new", "regi_account_num"), "pay_money", "pay_money_new")
+
+
+@register
+def offline_kpi_day(t: Tables) -> DataFrame:
+    rows = jobs.results(_offline(t))["kpi_day"].read(t["fx_order"].sparkSession)
+    keys = ["publish_date", *KPI_KEYS[1:]]
+    return _double(rows.select(
+        *keys, "pay_money", "regi_account_num", "regi_device_num", "os", "group_id", "parent_game_id"), "pay_money")
+
+
+@register
+def offline_game_day(t: Tables) -> DataFrame:
+    return jobs.results(_offline(t))["game_day"].read(t["fx_order"].sparkSession)
+
+
+@register
+def offline_rejects(t: Tables) -> DataFrame:
+    """How many rows the job refused, per result."""
+    return jobs.rejects_table(_offline(t)).read(t["fx_order"].sparkSession).groupBy("kind").agg(F.count("*").alias("rows"))
+
+
 # --- log lines ----------------------------------------------------------------------------
 
 
@@ -296,9 +332,6 @@ def _click_rows(t: Tables, days: tuple[str, str]) -> DataFrame:
     return kpi_stream.keyed(rows, ["show_num", "download_num", "adpage_click_num"])[0]
 
 
-KPI_KEYS = ["publish_time", "game_id", *PARTS]
-
-
 @register
 def upsert_overwrite(t: Tables) -> DataFrame:
     batch = _click_rows(t, P.BATCH_DAYS).withColumns({"show_num": F.col("show_num") * 10})

@@ -49,7 +49,8 @@ def fold_channel(c: Column | str) -> Column:
     c = F.upper(_col(c))
     parts = F.split(F.regexp_replace(c, "_+$", ""), "_")
     three = F.concat_ws("_", *[F.get(parts, F.lit(i)) for i in range(3)])
-    return F.when(c.isin("", "0"), F.lit(BLANK_CHANNEL)).when(F.size(parts) < 3, c).otherwise(three)
+    short = F.when(c.isin("", "0"), F.lit(BLANK_CHANNEL)).when(F.size(parts) < 3, c)
+    return F.when(c.isNotNull(), short.otherwise(three))
 
 
 def split_channel(df: DataFrame, channel: str = "expand_channel", case: str = "raw") -> DataFrame:

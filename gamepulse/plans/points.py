@@ -8,7 +8,7 @@ from gamepulse.operators.ordering import running_total
 # Fixed values of the points contract.
 SIGN_IN, RECHARGE, PAID, RECHARGE_VERSION = 4, 1, 4, "v2.2"
 UNBOUND, PERCENT = "0", 0.01
-INT_MIN, INT_MAX = -(2**31), 2**31 - 1
+LARGEST = float(2**53)  # amounts are doubles, exact below it
 
 DETAIL = ("obtain_time", "obtain_id", "uid", "game_account", "game_id", "points", "ori_price", "resource")
 DETAIL_ORDER = ["obtain_time", "obtain_id", "uid"]
@@ -23,11 +23,21 @@ def points_union(signin: DataFrame, recharge: DataFrame) -> DataFrame:
     return signed.select(*DETAIL).unionByName(paid.select(*DETAIL))
 
 
+def countable(c: Column | str) -> Column:
+    """Whether an amount is a finite number that whole points can hold."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(~F.isnan(c) & (F.abs(c) < LARGEST), F.lit(False))
+
+
+def points_gate(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with a countable amount, the others)."""
+    return points.filter(countable("points")), points.filter(~countable("points"))
+
+
 def whole(c: Column | str) -> Column:
-    """Truncation to a 32-bit integer; values outside it stop at its ends."""
+    """Truncation to whole points; an amount that is not countable has none."""
     c = F.col(c) if isinstance(c, str) else c
-    bounded = F.least(F.greatest(c, F.lit(float(INT_MIN))), F.lit(float(INT_MAX)))
-    return F.when(F.isnan(c), F.lit(0)).otherwise(bounded.cast("int"))
+    return F.when(countable(c), c.cast("bigint"))
 
 
 def points_rule(points: Column | str, integral: int) -> Column:

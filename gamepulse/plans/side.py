@@ -30,3 +30,17 @@ def login_accounts_hour(lines: DataFrame, games: DataFrame, game_field: int = 8)
 def active_events(lines: DataFrame, games: DataFrame) -> DataFrame:
     """Activations on listed games, one row per line."""
     return gate_channel(split_channel(listed_games(logs.parse(lines, "active_device"), games)))[0]
+
+
+def side_rejects(lines: DataFrame, game_field: int = 8) -> DataFrame:
+    """(kind, value): lines no parser takes, and parsed rows whose channel does not fit."""
+    login = logs.login_kind("hour", game_field)
+    refused = [(k, logs.rejects(lines, k)) for k in ("pubgame", "channel_os", login, "active_device")]
+    frames = [df.select(F.lit(k if isinstance(k, str) else "login_hour").alias("kind"), "value") for k, df in refused]
+    for name, kind in (("login_channel", login), ("active_channel", "active_device")):
+        bad = gate_channel(split_channel(logs.parse(lines, kind)))[1]
+        frames.append(bad.select(F.lit(name).alias("kind"), F.to_json(F.struct(*bad.columns)).alias("value")))
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df)
+    return out

@@ -88,7 +88,7 @@ VIEWS = {
     }, where="event_type in ('view','click','signup')", time="channel_time"),
     "fx_publish_game": View("events", {"game_id": GAME}, where="user_id % 10 < 8"),
     "fx_game_sdk": View("events", {
-        "old_game_id": GAME, "system_type": "cast(user_id % 2 + 1 as int)",
+        "old_game_id": GAME, "system_type": "cast(event_id % 2 + 1 as int)",
         "group_id": "cast(user_id % 10 % 3 as int)", "game_id": "cast(100 + user_id % 10 % 5 as int)",
     }, distinct=True),
     "fx_appdownload": View("lineitem", {

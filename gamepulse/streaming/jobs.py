@@ -146,6 +146,10 @@ class SideJob:
     def logins(self) -> MergeTable:
         return MergeTable(f"{self.root}/login_hour", S.LOGIN_HOUR_KEYS)
 
+    @property
+    def rejects(self) -> AppendTable:
+        return AppendTable(f"{self.root}/side_rejects", "kind string, value string")
+
     @property
     def active(self) -> AppendTable:
         columns = ["game_id int", *[f"{p} string" for p in PARTS], "imei string", "update_time string"]
@@ -161,6 +165,7 @@ class SideJob:
             logins = side.login_accounts_hour(lines, games, self.login_game_field)
             self.logins.write(logins, self.writer, batch_id, {}, unique=True)
             self.active.write(side.active_events(lines, games), self.writer, batch_id)
+            self.rejects.write(side.side_rejects(lines, self.login_game_field), self.writer, batch_id)
 
 
 @dataclass(frozen=True)
@@ -178,9 +183,18 @@ class PointsJob:
         return AppendTable(
             f"{self.root}/points",
             "obtain_time string, obtain_id string, uid string, uname string, game_id int, game_name string, "
-            "points int, ori_price double, resource int, real_points bigint",
+            "points bigint, ori_price double, resource int, real_points bigint",
         )
 
+    @property
+    def totals(self) -> AppendTable:
+        """One row per batch: the sum of its points. Later batches start from these."""
+        return AppendTable(f"{self.root}/points_totals", "points bigint")
+
+    @property
+    def rejects(self) -> AppendTable:
+        return AppendTable(f"{self.root}/points_rejects", "kind string, value string")
+
     @property
     def quotas(self) -> MergeTable:
         return MergeTable(f"{self.root}/quota", S.QUOTA_KEYS, S.QUOTA_VALUES)
@@ -189,14 +203,20 @@ class PointsJob:
         with held(batch.select("value")) as lines:
             if lines.isEmpty():
                 return
-            rows = points.points_union(
+            rows, bad = points.points_gate(points.points_union(
                 logs.parse(lines, "points_signin"), logs.parse(lines, "points_recharge")
-            )
+            ))
+            refused = bad.select(F.lit("amount").alias("kind"), F.to_json(F.struct(*bad.columns)).alias("value"))
+            for kind in ("points_signin", "points_recharge"):
+                refused = refused.unionByName(logs.rejects(lines, kind).select(F.lit(kind).alias("kind"), "value"))
+            self.rejects.write(refused, self.writer, batch_id)
             resolved = points.resolve_points(rows, self.dims["binds"], self.dims["game_names"], self.integral)
             rich = points.name_members(resolved, self.dims["members"])
-            earlier = self.detail.read(lines.sparkSession, without=(self.writer, batch_id))
-            total = points.points_total(earlier).first()[0]
+            earlier = self.totals.read(lines.sparkSession, without=(self.writer, batch_id))
+            total = points.points_total(earlier).first()[0]  # one row per batch
             self.detail.write(points.points_running_total(rich, total), self.writer, batch_id)
+            own = self.detail.batch(lines.sparkSession, self.writer, batch_id).agg(F.sum("points").alias("points"))
+            self.totals.write(own, self.writer, batch_id)
             quota = points.quota_sum if self.quota == "sum" else points.quota_count
             rules = {"uname": INSERT_ONLY, "points": INCREMENT}
             self.quotas.write(quota(resolved, self.dims["members"]), self.writer, batch_id, rules, unique=True)

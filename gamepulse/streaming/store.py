@@ -128,6 +128,10 @@ class AppendTable:
         target = f"{self.path}/writer={writer}/batch_id={batch_id}"
         batch.select(*names).write.mode("overwrite").options(**MARK).parquet(target)
 
+    def batch(self, spark: SparkSession, writer: str, batch_id: str | int) -> DataFrame:
+        """The rows of one finished batch."""
+        return spark.read.schema(self.schema).parquet(f"{self.path}/writer={writer}/batch_id={batch_id}")
+
     def read(self, spark: SparkSession, without: tuple[str, str | int] | None = None) -> DataFrame:
         """All finished rows; `without` leaves out one (writer, batch id)."""
         skip = f"/writer={without[0]}/batch_id={without[1]}" if without else None
