@@ -38,13 +38,15 @@ def nonzero(rows: DataFrame, measures: list[str]) -> DataFrame:
     return rows.filter(reduce(lambda a, b: a | b, [F.coalesce(m, F.lit(0)) != 0 for m in measures]))
 
 
-def _accounts(regi: DataFrame, games: DataFrame, *names: str) -> DataFrame:
+def _accounts(regi: DataFrame, games: DataFrame, *names: str, wanted: DataFrame) -> DataFrame:
     """(account, channel, n): distinct listed registrations behind each account and channel.
 
+    Only of the accounts in `wanted`, so that a small batch does not shuffle all registrations.
     Made distinct before the whitelist: the other way round Spark would keep the whitelist's
     partitioning by game for it, and a busy game would be one task.
     """
-    distinct = regi.select("game_account", "expand_channel", "game_id", *names).distinct()
+    own = regi.join(wanted.select("game_account").distinct(), "game_account", "left_semi")
+    distinct = own.select("game_account", "expand_channel", "game_id", *names).distinct()
     return listed_games(distinct, games).groupBy("game_account", "expand_channel").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -57,7 +59,7 @@ def net_pay_money_hour(orders: DataFrame, regi: DataFrame, games: DataFrame) ->
         .agg(F.sum(signed).alias("amount"))
     )
     money = F.sum(F.col("amount") * F.col("n")).cast("decimal(38,2)")
-    accounts = _accounts(regi, games, "resource_id", "publish_time")
+    accounts = _accounts(regi, games, "resource_id", "publish_time", wanted=sales)
     return sales.join(accounts, "game_account").groupBy(*GROUP).agg(money.alias("pay_money"))
 
 
@@ -72,11 +74,24 @@ def first_payments(orders: DataFrame, run_date: str | None = None) -> DataFrame:
 def first_pay_accounts_hour(first_paid: DataFrame, regi: DataFrame, games: DataFrame) -> DataFrame:
     """Accounts by the hour of their first paid order of the day, per game and channel."""
     first = first_paid.groupBy("day", "game_id", "game_account").agg(F.min("order_time").alias("order_time"))
-    return first.join(_accounts(regi, games), "game_account").groupBy(
+    return first.join(_accounts(regi, games, wanted=first), "game_account").groupBy(
         hour_key("order_time").alias("publish_time"), "game_id", "expand_channel"
     ).agg(F.count(F.lit(1)).alias("pay_account_num"))
 
 
+def touched_days(lines: DataFrame, first_paid: DataFrame) -> DataFrame:
+    """(day, game_id) whose first-pay accounts this batch can change.
+
+    Those of the accounts it registers or sees paying, and all days of the games it lists.
+    """
+    paying = logs.paid_on(logs.parse(lines, "order"), None).select("game_account")
+    accounts = logs.parse(lines, "regi").select("game_account").union(paying).distinct()
+    listed = logs.parse(lines, "pubgame").select("game_id").distinct()
+    by_account = first_paid.join(accounts, "game_account", "left_semi")
+    by_game = first_paid.join(listed, "game_id", "left_semi")
+    return by_account.select("day", "game_id").union(by_game.select("day", "game_id")).distinct()
+
+
 def _counts(rows: DataFrame, **columns) -> DataFrame:
     return rows.groupBy(*GROUP).agg(*[c.alias(n) for n, c in columns.items()])
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gamepulse import schema as S
 from gamepulse.functions.channel import PARTS, gate_channel, split_channel
+from gamepulse.functions.times import day_key
 from gamepulse.operators.dims import enrich_kpi
 from gamepulse.operators.merge import INCREMENT, INSERT_ONLY, zero_stale
 from gamepulse.plans import kpi_stream, points, side
@@ -84,7 +85,8 @@ class BaseKpiJob:
         games, regi = self.games.rows(spark), self.regi.rows(spark)
         measures = list(S.STREAM_MEASURES)
         rows = kpi_stream.batch_measures(lines, logs.parse(lines, "regi"), regi, games)
-        both = split_channel(rows, case=self.case).unionByName(self._pay_accounts(regi, games), allowMissingColumns=True)
+        pay = self._pay_accounts(lines, regi, games)
+        both = split_channel(rows, case=self.case).unionByName(pay, allowMissingColumns=True)
         merged = both.groupBy(*kpi_stream.KEY_COLUMNS).agg(
             *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures], F.sum("pay_account_num").alias("pay_account_num")
         )
@@ -100,14 +102,21 @@ class BaseKpiJob:
             if self.keep_rejects:
                 self.rejects.write(self._rejects(lines, gated), self.writer, batch_id)
 
-    def _pay_accounts(self, regi: DataFrame, games: DataFrame) -> DataFrame:
-        """Recomputed counts; hours whose accounts all moved to an earlier hour become zero."""
+    def _pay_accounts(self, lines: DataFrame, regi: DataFrame, games: DataFrame) -> DataFrame:
+        """Counts of the days and games the batch touches; hours that lost all accounts become zero."""
         spark = regi.sparkSession
         first = self.first_paid.rows(spark)
-        stored = self.kpi_hour.read(spark, "pay_account_num").filter(F.col("pay_account_num") > 0)
         if self.run_date:
             first = first.filter(F.col("day") == self.run_date)
-            stored = stored.filter(F.col("publish_time").startswith(self.run_date))
+        touched = kpi_stream.touched_days(lines, first)
+        day = touched.withColumnsRenamed({"day": "_day", "game_id": "_game"})
+
+        def same_days(deltas: DataFrame) -> DataFrame:
+            here = (day_key("publish_time") == F.col("_day")) & (F.col("game_id") == F.col("_game"))
+            return deltas.join(day, here, "left_semi")
+
+        stored = self.kpi_hour.read(spark, "pay_account_num", where=same_days).filter(F.col("pay_account_num") > 0)
+        first = first.join(touched, ["day", "game_id"], "left_semi")
         counts = kpi_stream.first_pay_accounts_hour(first, regi, games)
         valid, _ = kpi_stream.keyed(counts, ["pay_account_num"], self.case)
         return zero_stale(stored, valid, kpi_stream.KEY_COLUMNS, ["pay_account_num"])

@@ -5,7 +5,7 @@ batch again replaces its folder under its old number, so a replay changes nothin
 folds the finished folders.
 """
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,10 +84,13 @@ class MergeTable:
         """Keys as stored, with repeats across commits."""
         return self.deltas(spark).select(*self.keys)
 
-    def read(self, spark: SparkSession, *names: str) -> DataFrame:
-        """The current table; with `names`, only those values are folded and scanned."""
+    def read(self, spark: SparkSession, *names: str, where: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
+        """The current table; with `names`, only those values are folded and scanned.
+
+        `where` picks rows by their keys before they are folded.
+        """
         values = {n: self.values[n] for n in names} if names else self.values
-        return fold(self.deltas(spark), self.keys, values)
+        return fold(where(self.deltas(spark)), self.keys, values)
 
     def compact(self, spark: SparkSession) -> None:
         """Fold all finished commits into one base folder. Run while no job is writing."""
