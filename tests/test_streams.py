@@ -152,7 +152,7 @@ def test_empty_batch_writes_nothing(spark, dims, tmp_path):
 def test_a_small_batch_writes_only_the_keys_it_touches(spark, dims, tmp_path):
     """Later batches recount the days and games they touch, not all history."""
     job = BaseKpiJob(str(tmp_path / "kpi"), dims)
-    lines = ["bi_pubgame|1|x", *[regi(f"a{i}") for i in range(6)], *[order(f"a{i}", f"2024-01-{10 + i} 05:00:00") for i in range(6)]]
+    lines = ["bi_pubgame|1", *[regi(f"a{i}") for i in range(6)], *[order(f"a{i}", f"2024-01-{10 + i} 05:00:00") for i in range(6)]]
     job.process(text(spark, *lines), 0)
     job.process(text(spark, order("a0", "2024-01-10 03:00:00")), 1)
     spark.catalog.clearCache()
