@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -234,6 +235,23 @@ def _scored(frequent, weights, end_cell: int, cell_mass: np.ndarray):
     return run
 
 
+def most_frequent(counts: DataFrame, limit: int) -> pd.DataFrame:
+    """The most frequent words, at most `limit`, in descending order of counts.
+
+    A histogram of counts in steps of 1/16 octave gives the bound, so no task sends more than the words above it.
+    """
+    step = F.floor(16 * F.log2("c")).cast("int")
+    sizes = {r["step"]: r["count"] for r in counts.groupBy(step.alias("step")).count().collect()}
+    bound, total = None, 0
+    for s in sorted(sizes, reverse=True):
+        total += sizes[s]
+        if total > limit:
+            break
+        bound = s
+    rows = counts.filter(step >= bound) if bound is not None else counts.limit(0)
+    return rows.toPandas().sort_values(["c", "word"], ascending=[False, True], ignore_index=True)
+
+
 def score_texts(
     docs: DataFrame, held_out: str, id_col: str = "doc_id", text_col: str = "text", max_frequent: int = 200_000, rate: float = 0.15,
 ) -> DataFrame:
@@ -255,7 +273,7 @@ def score_texts(
     train = texts.filter("not held_out").select("text")
     counts = written(train.mapInArrow(_counted, "word long, ending int, c long").groupBy("word", "ending").agg(F.sum("c").alias("c")), "lm-counts")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.col("c").desc(), "word").limit(max_frequent).toPandas()
+    top = most_frequent(counts, max_frequent)
     words = top["word"].to_numpy(np.int64).view(U64)
     order = np.argsort(words)
     frequent = Frequent(words[order], top["c"].to_numpy(np.int64)[order], np.minimum(order, SINGLES))
