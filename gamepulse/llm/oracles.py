@@ -4,7 +4,54 @@
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TRIM = "regexp_replace({}, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g')"
 
+def _fits(host: str, path: str) -> str:
+    return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
+
+
+def _mixing_steps(order: int) -> str:
+    """Probabilities of every wanted gram, one common table expression per order."""
+    out = "m AS (SELECT gram, 1.0::DOUBLE / 256 AS g, 1.0::DOUBLE / 256 AS b FROM wanted),"
+    before = "m"
+    for k in range(order + 1):
+        mixed = "CASE WHEN coalesce(x.c{0}, 0) > 0 THEN (coalesce(n.n{0}, 0) + x.t{0} * w.{0}) / (x.c{0} + x.t{0}) ELSE w.{0} END AS {0}"
+        out += f"""
+        m{k} AS (SELECT w.gram, {mixed.format('g')}, {mixed.format('b')} FROM {before} w
+                 LEFT JOIN counts n ON n.k = {k} AND n.s = right(w.gram, {k + 1})
+                 LEFT JOIN contexts x ON x.k = {k} AND x.c = left(right(w.gram, {k + 1}), {k})),"""
+        before = f"m{k}"
+    return out
+
+
 ORACLES = {
+    "op5_url_filter": f"""
+        WITH p AS MATERIALIZED (
+            SELECT page_id, {_LOWER.format("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} AS host,
+                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, lower(coalesce(url, '')) AS u FROM pages),
+        r AS MATERIALIZED (
+            SELECT *, CASE WHEN {_fits('example.net', '/en/')} THEN 'example.net/en/' WHEN {_fits('example.com', '/de/')} THEN 'example.com/de/'
+                           WHEN {_fits('org', '/fr/')} THEN 'org/fr/' WHEN {_fits('net', '/')} THEN 'net/' END AS rule FROM p),
+        urls AS MATERIALIZED (
+            SELECT *, good IS NOT NULL AND ('0x' || substr(md5(u), 1, 4))::INT % 5 = 0 AS held FROM (
+                SELECT u, bool_or(rule IN ('example.net/en/', 'org/fr/')) FILTER (rule IS NOT NULL) AS good, bool_or(rule IS NULL) AS open FROM r GROUP BY u)),
+        grams AS MATERIALIZED (
+            SELECT *, substr(repeat(chr(2), 4) || u || chr(3), i, 5) AS gram FROM (SELECT *, unnest(range(1, length(u) + 2)) AS i FROM urls)),
+        cut AS (SELECT k, right(gram, k + 1) AS s, left(right(gram, k + 1), k) AS c, good
+                FROM (SELECT gram, good, unnest(range(0, 5)) AS k FROM grams WHERE good IS NOT NULL AND NOT held)),
+        counts AS MATERIALIZED (SELECT k, s, c, count(*) FILTER (good) AS ng, count(*) FILTER (NOT good) AS nb FROM cut GROUP BY 1, 2, 3),
+        contexts AS MATERIALIZED (
+            SELECT k, c, sum(ng) AS cg, sum(nb) AS cb, count(*) FILTER (ng > 0) AS tg, count(*) FILTER (nb > 0) AS tb FROM counts GROUP BY 1, 2),
+        wanted AS (SELECT DISTINCT gram FROM grams WHERE open OR held),
+        {_mixing_steps(4)}
+        scores AS MATERIALIZED (
+            SELECT u, any_value(good) AS good, any_value(held) AS held, avg(log10(m.g) - log10(m.b)) AS score
+            FROM grams JOIN m4 m USING (gram) WHERE open OR held GROUP BY u),
+        a AS (SELECT avg(score) AS m, stddev_pop(score) AS s FROM scores WHERE held AND good),
+        z AS (SELECT avg(score) AS m, stddev_pop(score) AS s FROM scores WHERE held AND NOT good),
+        t AS (SELECT coalesce(CASE WHEN a.s + z.s > 0 THEN (a.m * z.s + z.m * a.s) / (a.s + z.s) ELSE (a.m + z.m) / 2 END, 0) AS edge FROM a, z)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+                    WHEN score >= (SELECT edge FROM t) THEN 'allow' ELSE 'block' END AS verdict
+        FROM r LEFT JOIN scores USING (u)""",
     "op1_ngram_jaccard": f"""
         WITH RECURSIVE w AS MATERIALIZED (
             SELECT doc_id, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
