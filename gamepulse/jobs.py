@@ -25,16 +25,16 @@ from gamepulse.session import build_session
 from gamepulse.sources import logs
 from gamepulse.sources.streams import file_lines, kafka_lines
 from gamepulse.sources.tables import Tables, catalog_tables, parquet_tables, text_lines
-from gamepulse.streaming.jobs import BaseKpiJob, PointsJob, SideJob
+from gamepulse.streaming.jobs import BaseKpiJob, PointsJob, SideJob, compact
 from gamepulse.streaming.run import start
-from gamepulse.streaming.store import AppendTable, MergeTable
+from gamepulse.streaming.store import AppendTable, MergeTable, list_commits
 
 Inputs = Mapping[str, DataFrame]
 
 TABLES = [
     "registrations", "orders", "logins", "channel_events", "publish_games", "game_sdk", "downloads",
     "sdk_requests", "sdk_accounts", "companies", "receipts", "pkg", "pkg_day", "account_bind", "member",
-    "game_name",
+    "game_name", "publish_game_main",
 ]
 
 
@@ -188,7 +188,7 @@ STREAM = ("base-kpi", "side", "points")
 
 def stream_job(name: str, t: Inputs, args: argparse.Namespace):
     if name == "base-kpi":
-        dims = {n: t[n] for n in ("game_sdk", "pkg", "pkg_day")}
+        dims = {n: t[n] for n in ("game_sdk", "pkg", "pkg_day", *(["publish_game_main"] if args.game_main else []))}
         return BaseKpiJob(args.out, dims, args.day)
     if name == "side":
         return SideJob(args.out)
@@ -198,8 +198,9 @@ def stream_job(name: str, t: Inputs, args: argparse.Namespace):
 
 def _stream_lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.brokers:
-        return kafka_lines(spark, args.brokers, args.topics.split(","), args.first_run)
-    return file_lines(spark, args.lines)
+        limit = {"maxOffsetsPerTrigger": str(args.max_offsets)} if args.max_offsets else {}
+        return kafka_lines(spark, args.brokers, args.topics.split(","), args.first_run, **limit)
+    return file_lines(spark, args.lines, args.max_files)
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -219,6 +220,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--topics", default="")
     p.add_argument("--first-run", default="earliest", choices=["earliest", "latest"])
     p.add_argument("--every", help="micro-batch interval such as '10 minutes'; else once over what has arrived")
+    p.add_argument("--max-files", type=int, help="files a micro-batch takes at most")
+    p.add_argument("--max-offsets", type=int, help="messages a micro-batch takes at most")
+    p.add_argument("--game-main", action="store_true", help="parent games from the table publish_game_main (game_id, main_id)")
+    p.add_argument("--compact", action="store_true", help="after the run, fold the commits of the result tables; no other writer may be active")
     p.add_argument("--integral", type=int, default=0)
     p.add_argument("--quota", default="sum", choices=["sum", "count"])
     p.add_argument("--master")
@@ -235,10 +240,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = Tables(TABLES, lambda n: source[names[n]])
     if args.job in BATCH:
         BATCH[args.job](tables, results(args.out), args)
+        if args.compact:
+            compact(spark, [r for r in results(args.out).values() if list_commits(spark, r.path)])
         return
     job = stream_job(args.job, tables, args)
     query = start(_stream_lines(spark, args), job.process, f"{args.out}/_checkpoints/{args.job}", args.every)
     query.awaitTermination()
+    if args.compact:
+        compact(spark, job.merge_tables())
 
 
 if __name__ == "__main__":

@@ -57,7 +57,16 @@ def enrich_packages(rows: DataFrame, pkg: DataFrame, pkg_day: DataFrame, time_co
 
 
 def enrich_kpi(
-    rows: DataFrame, game_sdk: DataFrame, pkg: DataFrame, pkg_day: DataFrame, time_col: str = "publish_time"
+    rows: DataFrame, game_sdk: DataFrame, pkg: DataFrame, pkg_day: DataFrame, time_col: str = "publish_time",
+    game_main: DataFrame | None = None,
 ) -> DataFrame:
-    """All reporting attributes of keyed KPI rows."""
-    return enrich_games(enrich_packages(rows, pkg, pkg_day, time_col), game_sdk, *DEFAULTS)
+    """All reporting attributes of keyed KPI rows.
+
+    With `game_main` (game_id, main_id) the parent game comes from there, `"0"` where it has none.
+    """
+    rich = enrich_games(enrich_packages(rows, pkg, pkg_day, time_col), game_sdk, *DEFAULTS)
+    if game_main is None:
+        return rich
+    main = game_main.groupBy("game_id").agg(F.min("main_id").cast("string").alias("_main"))
+    parent = F.coalesce("_main", F.lit(DEFAULT_PARENT))
+    return rich.join(main, "game_id", "left").withColumn("parent_game_id", parent).drop("_main")

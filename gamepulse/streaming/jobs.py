@@ -36,7 +36,7 @@ class BaseKpiJob:
     """
 
     root: str
-    dims: Dims  # game_sdk, pkg, pkg_day
+    dims: Dims  # game_sdk, pkg, pkg_day; publish_game_main if parent games come from there
     run_date: str | None = None
     case: str = "upper"
     keep_rejects: bool = True
@@ -90,7 +90,8 @@ class BaseKpiJob:
         merged = both.groupBy(*kpi_stream.KEY_COLUMNS).agg(
             *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures], F.sum("pay_account_num").alias("pay_account_num")
         )
-        rich = enrich_kpi(merged, self.dims["game_sdk"], self.dims["pkg"], self.dims["pkg_day"])
+        rich = enrich_kpi(
+            merged, self.dims["game_sdk"], self.dims["pkg"], self.dims["pkg_day"], game_main=self.dims.get("publish_game_main"))
         # Kept with the rows the gate turns down, so all three outputs share one computation.
         with held(rich) as rich:
             hours, gated = gate_channel(rich)
@@ -130,9 +131,11 @@ class BaseKpiJob:
         frames.append(gated.select(F.lit("channel").alias("kind"), text))
         return reduce(DataFrame.unionByName, frames)
 
+    def merge_tables(self) -> list[MergeTable]:
+        return [self.kpi_hour, self.kpi_day, self.games, self.regi, self.first_paid]
+
     def compact(self, spark) -> None:
-        for table in (self.kpi_hour, self.kpi_day, self.games, self.regi, self.first_paid):
-            table.compact(spark)
+        compact(spark, self.merge_tables())
 
 
 @dataclass(frozen=True)
@@ -176,6 +179,9 @@ class SideJob:
             self.active.write(side.active_events(lines, games), self.writer, batch_id)
             self.rejects.write(side.side_rejects(lines, self.login_game_field), self.writer, batch_id)
 
+    def merge_tables(self) -> list[MergeTable]:
+        return [self.games, self.os_day, self.logins]
+
 
 @dataclass(frozen=True)
 class PointsJob:
@@ -229,3 +235,13 @@ class PointsJob:
             quota = points.quota_sum if self.quota == "sum" else points.quota_count
             rules = {"uname": INSERT_ONLY, "points": INCREMENT}
             self.quotas.write(quota(resolved, self.dims["members"]), self.writer, batch_id, rules, unique=True)
+
+    def merge_tables(self) -> list[MergeTable]:
+        return [self.quotas]
+
+
+def compact(spark, tables: list[MergeTable]) -> None:
+    """Fold the commits of the tables and delete what the new bases cover; no writer may be active."""
+    for table in tables:
+        table.compact(spark)
+        table.drop_covered(spark)
