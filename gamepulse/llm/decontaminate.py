@@ -30,7 +30,7 @@ class Walks:
     walks: int = 2
     samples: int = 4  # keys per walk and window size
     width: int = 4  # steps per key
-    stride: int = 4  # documents have a window at every stride-th word; items at every word
+    stride: int = 4  # documents have a window at every stride-th word, or every word (stride_for); items at every word
     seed: int = 11
 
     @staticmethod
@@ -41,6 +41,14 @@ class Walks:
     def steps_of(self, size: int) -> int:
         return max(1, 3 * size // 2)
 
+    def stride_for(self, size: int, shortest: int) -> int:
+        """Words between the windows of documents, for items of at least `shortest` words.
+
+        A walk can take a step at every word, so only the windows with room for a whole walk are sure to
+        match. An item with fewer of them than the stride could fall between two windows.
+        """
+        return self.stride if shortest - self.steps_of(size) + 1 >= self.stride else 1
+
     def sampled(self, size: int, walk: int) -> np.ndarray:
         """Steps of each key, one from every stretch of the walk; the same for documents and items."""
         rng = np.random.default_rng([self.seed, size, walk])
@@ -92,7 +100,9 @@ class ItemIndex:
         by_size: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             by_size.setdefault(walks.size_for(len(w)), []).append(i)
-        self.sizes = sorted(by_size)
+        self.strides: dict[int, list[int]] = {}
+        for size, items in sorted(by_size.items()):
+            self.strides.setdefault(walks.stride_for(size, min(len(words[i]) for i in items)), []).append(size)
         self.tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
         for size, items in by_size.items():
             longest = walks.steps_of(size) + 1
@@ -112,20 +122,28 @@ class ItemIndex:
                 seen[(keys >> U64(64 - FILTER_BITS)).astype(np.int64)] = True
                 self.tables[s, table] = keys[order], owner[order], shift[order], seen
 
-    def candidates(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def candidates(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Distinct (start of the item in words, window, item) that some shared key suggests."""
         found = [np.zeros((0, 3), np.int64)]
-        for size, table, keys in self.walks.keys(words, starts, self.sizes):
-            index, owner, shift, seen = self.tables[size, table]
-            maybe = np.flatnonzero(seen[(keys >> U64(64 - FILTER_BITS)).astype(np.int64)])
-            low, high = (np.searchsorted(index, keys[maybe], side=s) for s in ("left", "right"))
-            n = high - low
-            entry = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            window = np.repeat(starts[maybe], n)
-            found.append(np.stack([window - shift[entry], window, owner[entry]], axis=1))
+        for stride, sizes in self.strides.items():
+            starts = window_starts(first, stride)
+            for size, table, keys in self.walks.keys(words, starts, sizes):
+                index, owner, shift, seen = self.tables[size, table]
+                maybe = np.flatnonzero(seen[(keys >> U64(64 - FILTER_BITS)).astype(np.int64)])
+                low, high = (np.searchsorted(index, keys[maybe], side=s) for s in ("left", "right"))
+                n = high - low
+                entry = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                window = np.repeat(starts[maybe], n)
+                found.append(np.stack([window - shift[entry], window, owner[entry]], axis=1))
         return np.unique(np.concatenate(found), axis=0)
 
 
+def window_starts(first: np.ndarray, stride: int) -> np.ndarray:
+    """Every stride-th word of every text, from its first."""
+    tries = -(-np.diff(first) // stride)
+    return np.repeat(first[:-1] - stride * (np.cumsum(tries) - tries), tries) + stride * np.arange(tries.sum())
+
+
 def index_of(items: list[tuple], walks: Walks) -> ItemIndex:
     flat, first = word_hashes(pa.array([t for _, t in items], pa.string()))
     words = [flat[a:b] for a, b in zip(first[:-1], first[1:])]
@@ -162,20 +180,17 @@ def find(index: ItemIndex, texts: pa.Array, max_rate: float) -> dict[tuple[int,
     """(text, item) -> (distance, end word) of all verified matches in a run of texts."""
     own, first = word_hashes(texts)
     hits: dict[tuple[int, int], tuple[int, int]] = {}
-    if not len(own) or not index.sizes:
+    if not len(own) or not index.words:
         return hits
-    walks = index.walks
-    tries = -(-np.diff(first) // walks.stride)
-    starts = np.repeat(first[:-1] - walks.stride * (np.cumsum(tries) - tries), tries) + walks.stride * np.arange(tries.sum())
-    done: dict[tuple[int, int], list[int]] = {}
-    for place, window, item in plausible(index, index.candidates(own, starts), own, first, max_rate).tolist():
+    done: dict[tuple[int, int], set[int]] = {}
+    for place, window, item in plausible(index, index.candidates(own, first), own, first, max_rate).tolist():
         word = index.words[item]
         slack = int(max_rate * len(word))
         text = int(np.searchsorted(first, window, side="right")) - 1
-        tried = done.setdefault((text, item), [])
-        if place in tried:
+        tried = done.setdefault((text, item), set())
+        if place in tried or hits.get((text, item), (1, 0))[0] == 0:  # no place is better than a verbatim one
             continue
-        tried.append(place)
+        tried.add(place)
         low, high = max(int(first[text]), place - 2 * slack), min(int(first[text + 1]), place + len(word) + 2 * slack)
         if high - low < len(word) - slack:
             continue

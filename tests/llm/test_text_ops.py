@@ -15,7 +15,7 @@ import corpus_pipeline
 from gamepulse.llm import language_id, maxent_lm, ngram_join
 from gamepulse.llm.chat_format import format_chats
 from gamepulse.llm.components import connected
-from gamepulse.llm.decontaminate import contaminated, drop_contaminated
+from gamepulse.llm.decontaminate import Walks, contaminated, drop_contaminated, find, index_of
 from gamepulse.llm.hashing import shingle_sets, word_hashes
 from gamepulse.llm.hilbert_ann import hilbert_keys, nearest
 from gamepulse.llm.language_id import identify, learn_prototypes
@@ -368,6 +368,15 @@ def test_contamination_equals_brute_force(spark, docs):
     assert drop_contaminated(docs(rows), empty).count() == len(rows)
 
 
+def test_verbatim_items_are_found_at_every_offset():
+    rng = random.Random(9)
+    for n in [*range(1, 9), 13, 14, 15, 26, 27]:  # lengths on both sides of the window sizes
+        items = [(i, text_of(rng, n, 10 ** 9)) for i in range(40)]
+        texts = [f"{text_of(rng, before, 10 ** 9)} {t} {text_of(rng, after, 10 ** 9)}" for _, t in items for before in range(4) for after in (0, 30)]
+        hits = find(index_of(items, Walks()), pa.array(texts), 0.2)
+        assert all(hits.get((d, d // 8)) == (0, d % 8 // 2 + n) for d in range(len(texts))), n
+
+
 # ---- 8: quality
 
 def test_quality_separates_grades(spark, docs):
