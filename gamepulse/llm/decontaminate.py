@@ -3,14 +3,17 @@
 A random walk over a word sequence (step j repeats or leaves the current word, by a random bit of
 the word) embeds edit distance in Hamming distance. Bits of the walk, here the words at sampled
 steps, are hash keys: windows of documents that share a key with a window of an item become
-candidates, over several walks and samples. A candidate counts if the edit distance of the whole item
-to the best place in the document is small, computed exactly.
+candidates, over several walks and samples. Edits can spoil all keys of a match, so exact runs complete
+the candidates: of an item cut into one piece more than it may have edits, one piece is in the
+document as it is. A candidate counts if the edit distance of the whole item to the best place in
+the document is small, computed exactly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gamepulse.llm.common import blocks
-from gamepulse.llm.hashing import U64, mix, word_hashes
+from gamepulse.llm.hashing import U64, mix, ngram_hashes, word_hashes
 
 FILTER_BITS = 20
+PIECE = 8  # longest run of words that is looked up of a piece
+PART = 1 << 20  # candidates of pieces held at a time
 
 
 @dataclass(frozen=True)
@@ -92,11 +97,34 @@ def best_place(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
+def by_key(keys: np.ndarray, owner: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order with their items and shifts, and a filter of their top bits."""
+    order = np.argsort(keys)
+    seen = np.zeros(1 << FILTER_BITS, bool)
+    seen[(keys >> U64(64 - FILTER_BITS)).astype(np.int64)] = True
+    return keys[order], owner[order], shift[order], seen
+
+
+def matched(table: tuple, keys: np.ndarray, starts: np.ndarray, most: int | None = None) -> Iterator[np.ndarray]:
+    """(start of the item, window, item) of all equal keys, in parts of about `most` rows."""
+    index, owner, shift, seen = table
+    maybe = np.flatnonzero(seen[(keys >> U64(64 - FILTER_BITS)).astype(np.int64)])
+    low, high = (np.searchsorted(index, keys[maybe], side=s) for s in ("left", "right"))
+    total = np.cumsum(high - low)
+    cuts = np.flatnonzero(np.diff(total // most)) + 1 if most else []
+    for low, high, own in zip(*(np.split(x, cuts) for x in (low, high, starts[maybe]))):
+        n = high - low
+        entry = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        window = np.repeat(own, n)
+        yield np.stack([window - shift[entry], window, owner[entry]], axis=1)
+
+
 class ItemIndex:
     """Keys of all windows of the items, per window size and table."""
 
     def __init__(self, ids: list, words: list[np.ndarray], walks: Walks):
         self.walks, self.ids, self.words = walks, ids, words
+        self.cut: dict[float, dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]] = {}
         by_size: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             by_size.setdefault(walks.size_for(len(w)), []).append(i)
@@ -117,10 +145,7 @@ class ItemIndex:
                 base += len(words[i]) + longest
             starts, owner, shift = (np.concatenate(x) for x in (starts, owner, shift))
             for s, table, keys in walks.keys(np.concatenate(flat), starts, [size]):
-                order = np.argsort(keys)
-                seen = np.zeros(1 << FILTER_BITS, bool)
-                seen[(keys >> U64(64 - FILTER_BITS)).astype(np.int64)] = True
-                self.tables[s, table] = keys[order], owner[order], shift[order], seen
+                self.tables[s, table] = by_key(keys, owner, shift)
 
     def candidates(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Distinct (start of the item in words, window, item) that some shared key suggests."""
@@ -128,15 +153,28 @@ class ItemIndex:
         for stride, sizes in self.strides.items():
             starts = window_starts(first, stride)
             for size, table, keys in self.walks.keys(words, starts, sizes):
-                index, owner, shift, seen = self.tables[size, table]
-                maybe = np.flatnonzero(seen[(keys >> U64(64 - FILTER_BITS)).astype(np.int64)])
-                low, high = (np.searchsorted(index, keys[maybe], side=s) for s in ("left", "right"))
-                n = high - low
-                entry = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                window = np.repeat(starts[maybe], n)
-                found.append(np.stack([window - shift[entry], window, owner[entry]], axis=1))
+                found += matched(self.tables[size, table], keys, starts)
         return np.unique(np.concatenate(found), axis=0)
 
+    def pieces(self, max_rate: float) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per length the keys of slack + 1 disjoint runs of every item; an edit spoils at most one of them."""
+        if max_rate not in self.cut:
+            held: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+            for i, words in enumerate(self.words):
+                n = int(max_rate * len(words)) + 1
+                apart = len(words) // n
+                if length := min(apart, PIECE):
+                    at = apart * np.arange(n)
+                    held.setdefault(length, []).append((ngram_hashes(words, length)[at], np.full(n, i), at))
+            self.cut[max_rate] = {length: by_key(*(np.concatenate(x) for x in zip(*rows))) for length, rows in sorted(held.items())}
+        return self.cut[max_rate]
+
+    def whole_pieces(self, words: np.ndarray, max_rate: float) -> Iterator[np.ndarray]:
+        """As candidates, in parts: every place of every piece in words."""
+        for length, table in self.pieces(max_rate).items():
+            keys = ngram_hashes(words, length)
+            yield from matched(table, keys, np.arange(len(keys)), PART)
+
 
 def window_starts(first: np.ndarray, stride: int) -> np.ndarray:
     """Every stride-th word of every text, from its first."""
@@ -183,7 +221,9 @@ def find(index: ItemIndex, texts: pa.Array, max_rate: float) -> dict[tuple[int,
     if not len(own) or not index.words:
         return hits
     done: dict[tuple[int, int], set[int]] = {}
-    for place, window, item in plausible(index, index.candidates(own, first), own, first, max_rate).tolist():
+    parts = chain([index.candidates(own, first)], index.whole_pieces(own, max_rate))
+    likely = [plausible(index, part, own, first, max_rate) for part in parts]
+    for place, window, item in np.unique(np.concatenate(likely), axis=0).tolist():
         word = index.words[item]
         slack = int(max_rate * len(word))
         text = int(np.searchsorted(first, window, side="right")) - 1
@@ -242,8 +282,8 @@ def contaminated(
 
     Words are cut at ASCII white space, A-Z lower-cased. A match is a run of a document's words within
     max_rate * (words of the item) word edits of the whole item; the best run is reported, where
-    it ends as a word count from the start. Candidates come from shared keys, so a heavily
-    edited match can be missed; an unedited one shares every key of some window and never is.
+    it ends as a word count from the start. Candidates come from shared keys and from the pieces of
+    the items, which no match within max_rate (below 1) can lack all, so none is missed.
 
     Every row of docs is searched by itself, whole: repeated rows give repeated results, a null id
     gives null. Null, empty and blank texts and items match nothing; repeated items each match; other

@@ -377,6 +377,22 @@ def test_verbatim_items_are_found_at_every_offset():
         assert all(hits.get((d, d // 8)) == (0, d % 8 // 2 + n) for d in range(len(texts))), n
 
 
+def test_items_with_all_accepted_edits_are_found():
+    rng = random.Random(13)
+    for n in [5, 9, 10, 14, 15, 20, 25, 35, 60]:
+        items = [(i, text_of(rng, n, 10 ** 9)) for i in range(60)]
+        texts, want = [], []
+        for k, (_, t) in enumerate(items):
+            item = t.split()
+            for _ in range(n // 5):
+                p = rng.randrange(len(item))
+                item[p:p + rng.randrange(2)] = [f"q{k}"] * rng.randrange(2)
+            texts.append(f"{text_of(rng, rng.randrange(40), 10 ** 9)} {' '.join(item)} {text_of(rng, rng.randrange(40), 10 ** 9)}")
+            want.append(edits(t.split(), texts[-1].split()))
+        hits = find(index_of(items, Walks()), pa.array(texts), 0.2)
+        assert {k: d for k, (d, _) in hits.items()} == {(k, k): d for k, d in enumerate(want)}, n
+
+
 # ---- 8: quality
 
 def test_quality_separates_grades(spark, docs):
