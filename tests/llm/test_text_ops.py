@@ -493,3 +493,12 @@ def test_pipeline_equals_brute_force(spark, docs, tmp_path):
     assert [d for d, t in left.items() if line in t] == [0] and hashlib.sha256(left[0].encode()).hexdigest() == hashlib.sha256(rows[0][1].encode()).hexdigest()
     got = corpus_pipeline.run(spark, folder).collect()
     check_packing(list(left.items()), got, 2048)
+
+
+def test_pipeline_keeps_different_texts_of_an_id(spark, docs):
+    rng = random.Random(21)
+    one, other, third = (text_of(rng, 40) for _ in range(3))
+    rows = [(1, one), (1, other), (1, other + " extra"), (1, ""), (2, third), (2, one), (2, None), (3, ""), (3, " "), (None, other)]
+    out = corpus_pipeline.ngram_jaccard(spark, docs(rows), "")
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert got == sorted([(1, one), (1, other + " extra"), (2, third), (3, " "), (None, other)], key=str)
