@@ -134,7 +134,7 @@ def plausible(sizes: np.ndarray, marks: list[bytes], percent: int) -> tuple[np.n
         return tuple(np.array(out, np.int64).reshape(-1, 2).T)
     rows, cols = [], []
     for to in np.unique(bits):
-        mine, other = np.flatnonzero(bits == to), np.flatnonzero((bits == to) | (bits == 2 * to))
+        mine, other = np.flatnonzero(bits == to), np.flatnonzero((bits >= to) & (bits * percent < 200 * to))  # widths differ less than twice as much as sizes
         width = max(int(to) // 64, 1)
 
         def matrix(at: np.ndarray) -> np.ndarray:

@@ -120,6 +120,16 @@ def test_jaccard_without_rows(docs):
     assert jaccard_components(docs([(1, None)])).collect()[0]["component_id"] == 1
 
 
+@pytest.mark.parametrize("percent", [20, 49, 75])
+def test_large_groups_compare_all_widths(percent):
+    rng = np.random.default_rng(4)
+    grams = np.sort(rng.integers(0, 2 ** 63, 1300).astype(np.uint64))
+    sets = [grams[:n] for n in (64, 65, 128, 129, 257, 260, 300, 513, 640, 700, 1025, 1300)]
+    a, b = ngram_join.plausible(np.array([len(s) for s in sets]), [ngram_join.parities(s) for s in sets], percent)
+    found = {(min(i, j), max(i, j)) for i, j in zip(a.tolist(), b.tolist())}
+    assert {(i, j) for j in range(len(sets)) for i in range(j) if 100 * len(sets[i]) >= percent * len(sets[j])} <= found
+
+
 def test_parities_never_rule_out_a_link():
     rng = np.random.default_rng(0)
     for n in (3, 60, 500, 5000):
