@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +24,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The frame as a table in the shared folder: computed once, and safe when executors are lost."""
+_SCOPES: list[list[str]] = []  # folders to delete at the end of each open `scratch`
+
+
+def stored(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The frame as a table in the shared folder, and its path."""
     spark = df.sparkSession
     path = new_folder(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, and safe when executors are lost.
+
+    It is deleted at the end of the `scratch` it was made in, and stays where there is none: a lazy result
+    may still read it.
+    """
+    frame, path = stored(df, purpose)
+    delete_later(path)
+    return frame
+
+
+def delete_later(path: str) -> None:
+    """Hands a folder to the open `scratch`, if any."""
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that `written` makes inside; what is computed from them must be stored before the end."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            delete_folder(spark, path)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where the frame has a column of that name in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def ascii_lower(text: Column) -> Column:
@@ -49,7 +97,8 @@ def id_crc(ids: pa.Array) -> np.ndarray:
 def blocks(batches: Iterator[pa.RecordBatch], column: str, budget: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts record batches into runs of rows with about `budget` bytes in a text column.
 
-    A row is never cut: one very long text makes a block of its own.
+    A row is never cut: one very long text makes a block of its own. Memory that Arrow has freed goes back to
+    the system at the end, so that a worker does not keep the most a task ever needed.
     """
     for batch in batches:
         if batch.num_rows == 0:
@@ -62,4 +111,4 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, budget: int = 8 << 20
             stop = max(start + 1, int(np.searchsorted(ends, base + budget, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
-
+    pa.default_memory_pool().release_unused()

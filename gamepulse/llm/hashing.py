@@ -2,7 +2,8 @@
 
 Texts are taken as UTF-8 bytes. The separators are the ASCII bytes 0x20 and 0x09-0x0D, so
 splitting bytes equals splitting code points. A word's 64-bit hash is a polynomial over
-randomised byte values, read from one running sum; equal words have equal hashes everywhere.
+randomised byte values, read from running sums; equal words have equal hashes everywhere.
+The only tables kept in a process are two of STRETCH powers, 2 MB in all.
 """
 
 from __future__ import annotations
@@ -13,8 +14,7 @@ import pyarrow as pa
 U64 = np.uint64
 _GOLD = 0x9E3779B97F4A7C15
 _BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2^64
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS = {_BASE: np.ones(1, U64), _INVERSE: np.ones(1, U64)}
+STRETCH = 1 << 17  # bytes hashed at a time; the tables of powers have this length, whatever the texts
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -28,14 +28,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 … base**(n-1) modulo 2^64; grown on demand and kept for the process."""
-    have = _POWERS[base]
-    if len(have) < n:
-        steps = np.full(max(n, 2 * len(have)), base, U64)
-        steps[0] = 1
-        have = _POWERS[base] = np.multiply.accumulate(steps)
-    return have[:n]
+def _powers(base: int) -> np.ndarray:
+    """base**0 … base**(STRETCH-1) modulo 2^64."""
+    steps = np.full(STRETCH, base, U64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+_POWERS, _INVERSES = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
 
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -79,14 +79,27 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans of data."""
-    if len(starts) == 0:
-        return np.zeros(0, U64)
-    n = len(data)
-    sums = np.empty(n + 1, U64)
-    sums[0] = 0
-    np.cumsum(BYTE_VALUES[data] * powers(_BASE, n), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * powers(_INVERSE, n)[starts])
+    """64-bit hashes of disjoint byte spans of data, in order.
+
+    One running sum per stretch of STRETCH bytes: a span inside it is a difference of two sums, one that
+    goes on adds up its parts, moved on by the power of the distance from its start. So memory is bounded
+    for any length of data or span.
+    """
+    out = np.zeros(len(starts), U64)
+    sums = np.zeros(STRETCH + 1, U64)
+    for low in range(int(starts[0]) if len(starts) else 0, len(data), STRETCH):
+        high = min(low + STRETCH, len(data))
+        a, b = np.searchsorted(starts, (low, high))
+        begun = a and ends[a - 1] > low  # a span that began in an earlier stretch
+        if a == b and not begun:
+            continue
+        np.cumsum(BYTE_VALUES[data[low:high]] * _POWERS[:high - low], out=sums[1:high - low + 1])
+        own, stop = starts[a:b] - low, np.minimum(ends[a:b], high) - low
+        out[a:b] = (sums[stop] - sums[own]) * _INVERSES[own]
+        if begun:
+            with np.errstate(over="ignore"):
+                out[a - 1] += sums[min(int(ends[a - 1]), high) - low] * U64(pow(_BASE, low - int(starts[a - 1]), 1 << 64))
+    return mix(out)
 
 
 def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:

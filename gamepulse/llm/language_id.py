@@ -1,6 +1,6 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a random vector of +1 and -1. A run of three letters is the product (binding) of
+Every letter, of any script, has a random vector of +1 and -1 from a hash of its code point. A run of three letters is the product (binding) of
 its letters' vectors, each permuted by its place in the run; a text is the sum (bundling) of its
 runs. A language prototype bundles all texts of a language. The prediction is the prototype
 with the largest cosine.
@@ -14,127 +14,119 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gamepulse.llm.common import blocks
+from gamepulse.llm.hashing import U64, mix
 
-SYMBOLS = 64  # a-z, hashed places for all other letters, and one for the gap between words
-GAP = SYMBOLS - 1
-RUNS = SYMBOLS ** 3
-_TABLES: dict[str, np.ndarray] = {}
-
-
-def symbol_table() -> np.ndarray:
-    """Symbol of every code point: letters by identity (a-z) or hash, all else is the gap."""
-    if "symbols" not in _TABLES:
-        points = np.arange(0x110000)
-        letters = np.array([chr(i).isalpha() for i in range(0x110000)])
-        table = np.full(0x110000, GAP, np.uint8)
-        table[letters] = 26 + (points[letters] * 2654435761 >> 7) % (GAP - 26)
-        table[97:123] = np.arange(26)
-        _TABLES["symbols"] = table
-    return _TABLES["symbols"]
-
-
-def letter_runs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of all three-letter runs of the texts in a row; (first, end) run of every text."""
-    strings = [t.lower() for t in texts.fill_null("").to_pylist()]
-    sizes = np.array([len(s) for s in strings], np.int64)
-    joined = "\n" + "\n".join(strings) + "\n"
-    symbols = symbol_table()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    gap = symbols == GAP
-    keep = np.ones(len(symbols), bool)
-    keep[1:] = ~(gap[1:] & gap[:-1])
-    edges = np.concatenate([[0], np.cumsum(sizes + 1)])  # the gaps between texts
-    place = np.cumsum(keep) - 1
-    s = symbols[keep].astype(np.int32)
-    runs = (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:] if len(s) > 2 else np.zeros(0, np.int32)
-    first = place[edges[:-1]]
-    end = place[edges[1:]]
-    return runs, np.stack([first, np.maximum(end - 1, first)], axis=1)
-
-
-class RunVectors:
-    """The bound vectors of letter runs, made when first seen and kept as signs."""
-
-    def __init__(self, dimensions: int, seed: int):
-        signs = np.random.default_rng(seed).integers(0, 2, (SYMBOLS, dimensions), np.int8) * 2 - 1
-        self.letters = [np.roll(signs, 2 - k, axis=1) for k in range(3)]
-        self.row = np.full(RUNS, -1, np.int32)
-        self.vectors = np.zeros((1024, dimensions), np.int8)
-        self.n = 0
-
-    def of(self, runs: np.ndarray) -> np.ndarray:
-        new = runs[self.row[runs] < 0]
-        if len(new):
-            while self.n + len(new) > len(self.vectors):
-                self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
-            a, b, c = self.letters
-            self.vectors[self.n:self.n + len(new)] = a[new // SYMBOLS ** 2] * b[new // SYMBOLS % SYMBOLS] * c[new % SYMBOLS]
-            self.row[new] = np.arange(self.n, self.n + len(new))
-            self.n += len(new)
-        return self.vectors[self.row[runs]]
-
-    def bundle(self, runs: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        out = np.zeros(self.vectors.shape[1])
-        for k in range(0, len(runs), 4096):
-            out += counts[k:k + 4096].astype(np.float32) @ self.of(runs[k:k + 4096]).astype(np.float32)
-        return out
+GAP = 0  # the symbol of everything between words
+POINTS = 0x110000
+_LETTERS: list[np.ndarray] = []
 
 
-_VECTORS: dict[tuple[int, int], RunVectors] = {}
+def letters() -> np.ndarray:
+    """Whether each code point is a letter: one table of 1.1 MB per process."""
+    if not _LETTERS:
+        _LETTERS.append(np.array([chr(i).isalpha() for i in range(POINTS)]))
+    return _LETTERS[0]
 
 
-def vectors_for(dimensions: int, seed: int) -> RunVectors:
-    if (dimensions, seed) not in _VECTORS:
-        _VECTORS[dimensions, seed] = RunVectors(dimensions, seed)
-    return _VECTORS[dimensions, seed]
+def sign_bits(points: np.ndarray, dimensions: int, seed: int) -> np.ndarray:
+    """The random vector of every code point as bits (set: -1), from a seeded hash: one row of 64-bit words each."""
+    word = mix(np.arange(dimensions // 64, dtype=U64) + U64((seed + 1) << 32))
+    return mix(mix(points.astype(U64))[:, None] + word[None, :])
+
+
+class LetterRuns:
+    """All three-letter runs of a block of texts, and the vectors of its letters.
+
+    Runs are numbered by the block's own different letters, so that nothing is shared or kept between blocks.
+    `spans` holds the first run of every text and the one after its last.
+    """
+
+    def __init__(self, texts: pa.Array):
+        strings = [t.lower() for t in texts.fill_null("").to_pylist()]
+        sizes = np.array([len(s) for s in strings], np.int64)
+        joined = "\n" + "\n".join(strings) + "\n"
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        points = np.where(letters()[points], points, GAP)
+        keep = np.ones(len(points), bool)
+        keep[1:] = (points[1:] != GAP) | (points[:-1] != GAP)
+        edges = np.concatenate([[0], np.cumsum(sizes + 1)])  # the gaps between texts
+        place = np.cumsum(keep) - 1
+        seen = np.zeros(POINTS, bool)
+        seen[points] = True
+        self.points = np.flatnonzero(seen)
+        number = np.zeros(POINTS, np.int32)
+        number[self.points] = np.arange(len(self.points))
+        self.base = len(self.points)
+        s = number[points[keep]].astype(np.int32 if self.base ** 3 < 1 << 31 else np.int64)
+        self.runs = (s[:-2] * self.base + s[1:-1]) * self.base + s[2:]
+        first = place[edges[:-1]]
+        self.spans = np.stack([first, np.maximum(place[edges[1:]] - 1, first)], axis=1)
+
+    def of(self, runs: np.ndarray, dimensions: int, seed: int) -> np.ndarray:
+        """Bits of the bound vectors: the letters', each permuted by its place in the run, multiplied."""
+        signs = sign_bits(self.points, dimensions, seed)
+        at = (runs // self.base ** 2, runs // self.base % self.base, runs % self.base)
+        bits = np.roll(signs, 2, axis=1)[at[0]]
+        bits ^= np.roll(signs, 1, axis=1)[at[1]]
+        bits ^= signs[at[2]]
+        return bits
+
+    def bundle(self, runs: np.ndarray, counts: np.ndarray, dimensions: int, seed: int) -> np.ndarray:
+        """The sum of the runs' vectors, each as often as counted."""
+        out = np.full(dimensions, float(counts.sum()))
+        for k in range(0, len(runs), 4096):
+            bits = np.unpackbits(self.of(runs[k:k + 4096], dimensions, seed).view(np.uint8), axis=1)
+            out -= 2 * (counts[k:k + 4096].astype(np.float32) @ bits.astype(np.float32))
+        return out
 
 
 def partial_prototypes(dimensions: int, seed: int, open_langs: int = 32) -> Callable:
-    """Per task and language the bundled vector of its texts; counts first, one bundling at the end."""
+    """Per task and language the bundled vector of its texts and their number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, counts = vectors_for(dimensions, seed), {}
+        sums: dict[str, np.ndarray] = {}  # the texts' number, then their vector
 
         def flush() -> pa.RecordBatch:
-            rows = [(lang, made.bundle(r := np.flatnonzero(c), c[r]).tolist()) for lang, c in counts.items()]
-            counts.clear()
+            rows = list(sums.items())
+            sums.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.float64()))], names=["lang", "vector"])
+                [pa.array([k for k, _ in rows], pa.string()), pa.array([v.tolist() for _, v in rows], pa.list_(pa.float64()))], names=["lang", "vector"])
 
         for block in blocks(batches, "text", 2 << 20):
-            runs, spans = letter_runs(block.column("text"))
-            langs = block.column("lang").to_pylist()
+            found = LetterRuns(block.column("text"))
             by: dict[str, list[np.ndarray]] = {}
-            for lang, (a, b) in zip(langs, spans):
-                by.setdefault(lang, []).append(runs[a:b])
+            for lang, (a, b) in zip(block.column("lang").to_pylist(), found.spans):
+                by.setdefault(lang, []).append(found.runs[a:b])
             for lang, parts in by.items():
-                if lang not in counts and len(counts) >= open_langs:
+                if lang not in sums and len(sums) >= open_langs:
                     yield flush()
-                have = counts.setdefault(lang, np.zeros(RUNS, np.int64))
-                have += np.bincount(np.concatenate(parts), minlength=RUNS)
-        if counts:
+                own, counts = np.unique(np.concatenate(parts), return_counts=True)
+                have = sums.setdefault(lang, np.zeros(dimensions + 1))
+                have += np.concatenate([[len(parts)], found.bundle(own, counts, dimensions, seed)])
+        if sums:
             yield flush()
 
     return run
 
 
 def learn_prototypes(labelled: DataFrame, dimensions: int = 512, seed: int = 7, max_langs: int = 4096) -> dict[str, np.ndarray]:
-    """Unit prototype per language from all rows (text, lang); `dimensions` numbers a language reach the driver.
+    """Unit prototype per language from all rows (text, lang); `dimensions` (a multiple of 64) numbers a language reach the driver.
 
-    More than `max_langs` different values are not languages and raise an error.
+    Of more than `max_langs` different values, those with the most texts are learnt (ties: the smaller value);
+    labels beyond that number are no languages. Repeated rows count each; null and empty texts add nothing; an
+    empty table gives no prototype.
     """
     sums = (
-        labelled.select("text", "lang").mapInArrow(partial_prototypes(dimensions, seed), "lang string, vector array<double>")
+        labelled.select("text", "lang").filter("lang is not null").mapInArrow(partial_prototypes(dimensions, seed), "lang string, vector array<double>")
         .select("lang", F.posexplode("vector").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
         .groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
         .select("lang", F.col("v.x").alias("v"))
     )
-    rows = sums.limit(max_langs + 1).collect()
-    if len(rows) > max_langs:
-        raise ValueError(f"more than {max_langs} values of lang")
     out = {}
-    for r in sorted(rows, key=lambda r: r["lang"]):
-        v = np.array(r["v"])
+    for r in sorted(sums.orderBy(F.col("v")[0].desc(), "lang").limit(max_langs).collect(), key=lambda r: r["lang"]):
+        v = np.array(r["v"][1:])
         if norm := float(np.linalg.norm(v)):
             out[r["lang"]] = v / norm
     return out
@@ -149,27 +141,42 @@ def identify(
     A null text, a text without a letter, and any text when nothing was learnt are `unknown` with
     score 0. Equal cosines go to the alphabetically first language. Rows are judged one by one, so
     repeated rows and null ids have the same result as any other; input columns named like the two new
-    ones are replaced.
+    ones, in any case, are replaced.
     """
     langs, matrix = list(prototypes), np.array(list(prototypes.values()))
     dimensions = matrix.shape[1] if langs else 0
-    kept = [f for f in docs.schema.fields if f.name not in (lang_col, score_col)]
+    new = {lang_col.lower(), score_col.lower()}
+    kept = [f for f in docs.schema.fields if f.name.lower() not in new]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = vectors_for(dimensions, seed) if langs else None
         for block in blocks(batches, text_col, 2 << 20):
             pred, score = [unknown] * block.num_rows, np.zeros(block.num_rows)
             if langs:
-                runs, spans = letter_runs(block.column(text_col))
-                for i, (a, b) in enumerate(spans):
+                found = LetterRuns(block.column(text_col))
+                for i, (a, b) in enumerate(found.spans):
                     if b > a:
-                        own, counts = np.unique(runs[a:b], return_counts=True)
-                        v = made.bundle(own, counts)
+                        own, counts = np.unique(found.runs[a:b], return_counts=True)
+                        v = found.bundle(own, counts, dimensions, seed)
                         cosines = matrix @ v / (np.linalg.norm(v) or 1.0)
                         best = int(np.argmax(cosines))
                         pred[i], score[i] = langs[best], min(max(float(cosines[best]), 0.0), 1.0)
             columns = [block.column(f.name) for f in kept] + [pa.array(pred, pa.string()), pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in kept] + [lang_col, score_col])
 
-    schema = docs.select(*[f"`{f.name}`" for f in kept]).schema.add(lang_col, "string").add(score_col, "double")
-    return docs.select(*[f"`{f.name}`" for f in kept]).mapInArrow(run, schema)
+    rows = docs.select(*[f"`{f.name}`" for f in kept])
+    schema = StructType([*rows.schema.fields]).add(lang_col, "string").add(score_col, "double")
+    return rows.mapInArrow(run, schema)
+
+
+def least_cosine(labelled: DataFrame, prototypes: dict[str, np.ndarray], max_rows: int = 16384, share: float = 0.001, seed: int = 7) -> float:
+    """A cosine below which a text resembles no learnt language: half the `share` quantile of labelled texts.
+
+    Taken from about `max_rows` rows, those with the smallest hash of their text; 0 without rows or prototypes.
+    """
+    if not prototypes:
+        return 0.0
+    total = labelled.count()
+    part = min(1.0, max_rows / max(total, 1))
+    sample = labelled.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(part * (1 << 30)))
+    judged = identify(sample, prototypes, seed).filter("lang_pred <> 'und'")
+    return float(judged.agg(F.percentile_approx("score", F.lit(share), F.lit(10_000)).alias("q")).first()["q"] or 0.0) / 2

@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gamepulse.llm.common import SPACE_CHARS, ascii_lower, two_hashes
+from gamepulse.llm.common import SPACE_CHARS, ascii_lower, fresh, two_hashes
 
 
 def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(SPACE_CHARS)))
 
 
+def _holds(sorted_keys: Column, key: Column) -> Column:
+    """Whether a sorted array holds the key, by halving: a document's work is its lines times a logarithm."""
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        below = (at["low"] < at["high"]) & (F.element_at(sorted_keys, middle) < key)
+        return F.struct(F.when(below, middle + 1).otherwise(at["low"]).alias("low"), F.when(below, at["high"]).otherwise(middle).alias("high"))
+
+    size = F.size(sorted_keys)
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(size.cast("double"))).cast("int") + 1)
+    start = F.struct(F.lit(1).alias("low"), size.alias("high"))
+    return F.aggregate(steps, start, halve, lambda at: F.element_at(sorted_keys, at["low"]) == key)
+
+
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
@@ -46,23 +59,22 @@ def dedup_lines(
         held.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.min("id").alias("keeper"))
         .filter(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper")
     )
+    drop, own, kept, count = fresh(docs, "drop", "own", "kept", "count")
     drops = (
         held.join(common, ["h1", "h2"]).filter(F.col("id") != F.col("keeper"))
-        .groupBy("id").agg(F.collect_list(F.struct("h1", "h2")).alias("__drops")).withColumnRenamed("id", "__id")
+        .groupBy("id").agg(F.array_sort(F.collect_list(F.struct("h1", "h2"))).alias(drop)).withColumnRenamed("id", own)
     )
 
     def stays(line: Column) -> Column:
-        key = line_key(line)
-        return ~((F.length(key) >= min_chars) & F.array_contains(F.col("__drops"), two_hashes(key)))
+        return ~((line["n"] >= min_chars) & _holds(F.col(drop), line["key"]))
 
     lines = _lines(F.col(text_col))
-    joined = docs.join(drops, docs[id_col] == drops["__id"], "left").drop("__id")
-    kept = F.when(F.col("__drops").isNull(), lines).otherwise(F.filter(lines, stays))
-    out = joined.withColumn("__kept", kept)
-    if stats:
-        n = F.size(_lines(F.col(text_col))).cast("long")
-        out = out.withColumns({"__n": n, "__d": n - F.size("__kept")})
-    out = out.withColumn(text_col, F.array_join("__kept", "\n"))
+    keyed = F.transform(F.transform(lines, lambda x: F.struct(x.alias("line"), line_key(x).alias("key"))), lambda x: F.struct(
+        x["line"].alias("line"), F.length(x["key"]).alias("n"), two_hashes(x["key"]).alias("key")))
+    joined = docs.join(drops, docs[id_col] == drops[own], "left").drop(own)
+    left = F.when(F.col(drop).isNull(), lines).otherwise(F.transform(F.filter(keyed, stays), lambda x: x["line"]))
+    out = joined.withColumns({kept: left, count: F.size(lines).cast("long")}) if stats else joined.withColumn(kept, left)
+    out = out.withColumn(text_col, F.array_join(kept, "\n"))
     if stats:
-        out = out.withColumns({"n_lines": F.col("__n"), "n_dropped": F.col("__d")})
-    return out.drop("__kept", "__drops", "__n", "__d")
+        out = out.withColumns({"n_lines": F.col(count), "n_dropped": F.col(count) - F.size(kept)})
+    return out.drop(kept, drop, count)

@@ -99,7 +99,7 @@ def _prefixes(n: int, percent: int, order: np.ndarray, hot: int):
                 key = hashlib.md5(grams_of.tobytes()).digest()
                 if key in seen or not len(grams_of):
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < 100_000:  # about 10 MB
                     seen.add(key)  # copies beyond these are met like other documents
                 k = prefix_size(len(grams_of), percent)
                 rank = order[_buckets(grams_of)]
@@ -245,7 +245,7 @@ def _candidates(percent: int):
                     found += links(held)
                     held, unit = [], (gram, i, j)
                 held.append((doc, n, parity))
-            if len(root) > 2_000_000:
+            if len(root) > 200_000:  # about 20 MB; forgetting repeats links, it loses none
                 root.clear()
             yield _edge_batch(found)
         yield _edge_batch(links(held) if held else [])
@@ -317,7 +317,7 @@ def _links(n: int, percent: int, order: np.ndarray, fragments: int):
 
 def jaccard_components(
     docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text",
-    fragments: int = 4, few: int = 8, unit_docs: int = 1024, unit_grams: int = 1 << 20, hot: int = 20_000,
+    fragments: int = 4, few: int = 8, unit_docs: int = 1024, unit_grams: int = 1 << 19, hot: int = 20_000,
 ) -> DataFrame:
     """Per input row: id, n_shingles and component_id, for links of Jaccard similarity >= percent / 100.
 

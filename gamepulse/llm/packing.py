@@ -13,6 +13,7 @@ import os
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -195,27 +196,55 @@ CUT = np.array([chr(b) in ",.!?;:" for b in range(256)])
 ASCII_LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
 
 
+class Words:
+    """Token ids of words: arrays sorted by the words' hashes, and a pool that they point into."""
+
+    def __init__(self, kind: type):
+        self.words, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool, self.used = np.zeros(1 << 12, kind), 0
+
+    def has(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(len(words), bool)
+        return self.words[np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)] == words
+
+    def ids_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, which must be there, in a row, and how many each has."""
+        place = np.searchsorted(self.words, words)
+        at, n = self.at[place], self.n[place]
+        begin = np.cumsum(n, dtype=np.int64) - n
+        return self.pool[np.repeat(at - begin, n) + np.arange(n.sum(dtype=np.int64))], n
+
+    def add(self, words: np.ndarray, flat: np.ndarray, n: np.ndarray) -> None:
+        if self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool[:self.used], np.zeros(max(len(flat), self.used // 2), self.pool.dtype)])
+        self.pool[self.used:self.used + len(flat)] = flat
+        at = self.used + np.cumsum(n, dtype=np.int64) - n
+        self.used += len(flat)
+        where = np.searchsorted(self.words, words)
+        self.words, self.n, self.at = np.insert(self.words, where, words), np.insert(self.n, where, n), np.insert(self.at, where, at)
+
+
 class WordTokens:
-    """Token ids of whole texts, encoding every distinct word once per worker.
+    """Token ids of whole texts, encoding most distinct words once per worker.
 
     Holds for tokenizers that lower-case, drop white space and merge neither across it nor across the
     end of a run of letters: a text's ids are then its words' ids in a row. Words are cut at ASCII
     white space and before a mark behind a letter; whatever else parts a word, the tokenizer parts
-    itself. Words with "<|" keep their case, which special tokens depend on. The
-    cache is arrays sorted by word hash and is emptied beyond `limit` words.
+    itself. Words with "<|" keep their case, which special tokens depend on.
+
+    Known words are kept in two generations of at most `limit` words (about 30 bytes each, so 2 x 8 MB):
+    when the younger is full it becomes the older one, and words in use move over from there. A block's own
+    words come on top while it is encoded.
     """
 
-    def __init__(self, path: str, limit: int = 3_000_000):
+    def __init__(self, path: str, limit: int = 1 << 18):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.empty()
-
-    def empty(self) -> None:
-        self.words, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.pool, self.used = np.zeros(1 << 16, self.kind), 0
+        self.young, self.old = Words(self.kind), Words(self.kind)
 
     def spans(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         raw, offsets = text_bytes(texts)
@@ -230,45 +259,41 @@ class WordTokens:
             data[starts[i]:ends[i]] = raw[starts[i]:ends[i]]
         return data, starts, ends, np.searchsorted(starts, offsets)
 
-    def add(self, words: np.ndarray, strings: list[str]) -> None:
-        ids = [np.array(e.ids, self.kind) for k in range(0, len(strings), 8192)
-               for e in self.tokenizer.encode_batch_fast(strings[k:k + 8192], add_special_tokens=False)]
-        n = np.array([len(x) for x in ids], np.int32)
-        flat = np.concatenate(ids)
-        if self.used + len(flat) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(len(flat), len(self.pool)), self.kind)])
-        self.pool[self.used:self.used + len(flat)] = flat
-        where = np.searchsorted(self.words, words)
-        self.words, self.n = np.insert(self.words, where, words), np.insert(self.n, where, n)
-        self.at = np.insert(self.at, where, self.used + np.cumsum(n) - n)
-        self.used += len(flat)
+    def learn(self, words: np.ndarray, spans: Callable[[np.ndarray], list[str]]) -> None:
+        """Makes all the words young; `spans` gives the strings of some by number."""
+        missing = ~self.young.has(words)
+        known = words[missing & self.old.has(words)]
+        if len(known):
+            self.young.add(known, *self.old.ids_of(known))
+        new = np.flatnonzero(missing & ~self.old.has(words))
+        for k in range(0, len(new), 1 << 16):
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(spans(new[k:k + (1 << 16)]), add_special_tokens=False)]
+            self.young.add(words[new[k:k + (1 << 16)]], np.array(list(chain.from_iterable(ids)), self.kind), np.array([len(x) for x in ids], np.int32))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the first id of every text (n+1 values)."""
         data, starts, ends, first = self.spans(texts)
-        words, sample, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.words) > self.limit:
-            self.empty()
-        have = np.searchsorted(self.words, words)
-        new = np.flatnonzero(self.words[np.minimum(have, len(self.words) - 1)] != words) if len(self.words) else np.arange(len(words))
-        if len(new):
-            body, low, high = data.tobytes(), starts[sample[new]].tolist(), ends[sample[new]].tolist()
-            self.add(words[new], [body[a:b].decode() for a, b in zip(low, high)])
-        place = np.searchsorted(self.words, words)[inverse]
-        if not len(place):
+        if not len(starts):
             return np.zeros(0, self.kind), np.zeros(len(first), np.int64)
-        at, n = self.at[place], self.n[place]
-        total = np.concatenate([[0], np.cumsum(n)])
-        ids = self.pool[np.repeat(at - total[:-1], n) + np.arange(total[-1])]
-        return ids, total[first]
+        hashes = span_hashes(data, starts, ends)
+        words, sample = np.unique(hashes, return_index=True)
+        body = data.tobytes()
+        self.learn(words, lambda at: [body[a:b].decode() for a, b in zip(starts[sample[at]].tolist(), ends[sample[at]].tolist())])
+        ids, n = self.young.ids_of(hashes)
+        if len(self.young.words) > self.limit:
+            self.old, self.young = self.young if len(self.young.words) <= 2 * self.limit else Words(self.kind), Words(self.kind)
+        return ids, np.concatenate([[0], np.cumsum(n, dtype=np.int64)])[first]
 
 
-_ENCODERS: dict[str, WordTokens] = {}
+_ENCODERS: dict[str, WordTokens] = {}  # the one last used
 
 
 def tokens_of(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS[path] = _ENCODERS.get(path) or WordTokens(path)
+        if path not in _ENCODERS:
+            _ENCODERS.clear()
+            _ENCODERS[path] = WordTokens(path)
+        encoder = _ENCODERS[path]
         row = TaskContext.get().partitionId() << 36
         for block in blocks(batches, "text", 4 << 20):
             ids, first = encoder.encode(block.column("text"))
@@ -313,7 +338,7 @@ def ranked(capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
 def assigned(plan: Plan, rank_at: dict[tuple[int, int], int], full_at: dict[int, int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in blocks(batches, "ids", 4 << 20):
             cols = {name: batch.column(name).to_pylist() for name in ("doc_id", "doc_tokens", "width", "ids", "part", "rest", "rank", "before")}
             out: list[tuple] = []
             for doc, tokens, width, ids, part, rest, rank, before in zip(*cols.values()):

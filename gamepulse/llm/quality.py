@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gamepulse.llm.common import blocks, written
 from gamepulse.llm.hashing import LOWER, mix, span_hashes, text_bytes, word_spans
@@ -148,11 +149,11 @@ def score_quality(docs: DataFrame, model: OrdinalModel, select_grade: int, selec
 
     tail_prob is P(grade >= select_grade), keep is tail_prob >= select_at. Null and empty texts have
     no words and are judged by their form alone. Rows are judged one by one; input columns named
-    like the three new ones are replaced.
+    like the three new ones, in any case, are replaced.
     """
     new = ["expected_grade", "tail_prob", "keep"]
-    kept = [f"`{c}`" for c in docs.columns if c not in new]
-    names = [c for c in docs.columns if c not in new]
+    names = [c for c in docs.columns if c.lower() not in new]
+    rows = docs.select(*[f"`{c}`" for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(BUCKETS, np.float64)
@@ -164,8 +165,8 @@ def score_quality(docs: DataFrame, model: OrdinalModel, select_grade: int, selec
             yield pa.RecordBatch.from_arrays(
                 [block.column(c) for c in names] + [pa.array(tails.sum(axis=1)), pa.array(at), pa.array(at >= select_at)], names=names + new)
 
-    schema = docs.select(*kept).schema.add("expected_grade", "double").add("tail_prob", "double").add("keep", "boolean")
-    return docs.select(*kept).mapInArrow(run, schema)
+    schema = StructType([*rows.schema.fields]).add("expected_grade", "double").add("tail_prob", "double").add("keep", "boolean")
+    return rows.mapInArrow(run, schema)
 
 
 def graded_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gamepulse.llm import language_id, maxent_lm, ngram_join
+from gamepulse.llm import hashing, language_id, maxent_lm, ngram_join
 from gamepulse.llm.chat_format import format_chats
 from gamepulse.llm.components import connected
 from gamepulse.llm.decontaminate import Walks, contaminated, drop_contaminated, find, index_of
@@ -56,6 +56,23 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 # ---- hashing and components
 
+def test_hash_tables_do_not_grow_with_texts():
+    """Hashes in stretches equal those of a plain polynomial, and a very long text leaves nothing behind."""
+    spans = [b"ab", b"", b"x" * 1000, "é€".encode() * 300]
+    data = np.frombuffer(b" ".join(spans), np.uint8)
+    ends = np.cumsum([len(s) + 1 for s in spans]) - 1
+    starts = ends - [len(s) for s in spans]
+    whole = hashing.span_hashes(data, starts, ends)
+    sums = [sum(int(hashing.BYTE_VALUES[b]) * pow(hashing._BASE, i, 1 << 64) for i, b in enumerate(s)) % (1 << 64) for s in spans]
+    assert whole.tolist() == hashing.mix(np.array(sums, np.uint64)).tolist()
+    long = b"y" * (3 * hashing.STRETCH + 7)
+    assert hashing.span_hashes(np.frombuffer(long, np.uint8), np.array([0]), np.array([len(long)])) == hashing.mix(
+        np.array([int(hashing.BYTE_VALUES[ord("y")]) * sum(pow(hashing._BASE, i, 1 << 64) for i in range(len(long))) % (1 << 64)], np.uint64))
+    before = [t.nbytes for t in (hashing._POWERS, hashing._INVERSES)]
+    shingle_sets(pa.array(["word " * 10_000_000]), 5)  # 50 MB
+    assert [t.nbytes for t in (hashing._POWERS, hashing._INVERSES)] == before == [8 * hashing.STRETCH] * 2
+
+
 def test_word_hashes_follow_words():
     texts = ODD[:-2] + ["A b", "a B c\x0bd", "x\u00a0y"]
     hashes, first = word_hashes(pa.array(texts, pa.string()))
@@ -173,12 +190,49 @@ def test_language_id_cases(docs):
 
 
 def test_runs_are_bound_and_bundled():
-    runs, spans = language_id.letter_runs(pa.array(["Ab c", "", "-"]))
-    assert [b - a for a, b in spans] == [4, 0, 0]  # _ab ab_ b_c _c_
-    made = language_id.RunVectors(64, 1)
-    a, b, c = (int(runs[0]) // 4096, int(runs[0]) // 64 % 64, int(runs[0]) % 64)
-    assert (made.of(runs[:1])[0] == made.letters[0][a] * made.letters[1][b] * made.letters[2][c]).all()
-    assert np.allclose(made.bundle(runs[:4], np.ones(4)), made.of(runs[:4]).sum(axis=0))
+    found = language_id.LetterRuns(pa.array(["Ab c", "", "-", None, "жя"]))
+    assert [b - a for a, b in found.spans] == [4, 0, 0, 0, 2]  # _ab ab_ b_c _c_, _жя жя_
+    signs = lambda points: 1 - 2 * np.unpackbits(language_id.sign_bits(points, 128, 1).view(np.uint8), axis=1).astype(int)
+    text = np.array([0, ord("a"), ord("b"), 0, ord("c"), 0])
+    each = signs(text)
+    want = sum(np.roll(each[i], 128) * np.roll(each[i + 1], 64) * each[i + 2] for i in range(4))
+    assert (found.bundle(found.runs[:4], np.ones(4), 128, 1) == want).all()
+    assert len({tuple(v) for v in signs(np.array([0x436, 0x44F, 0x4E2D, 0xE9, 0x61])).tolist()}) == 5  # every letter its own
+
+
+def brute_language(train, texts, dimensions=512, seed=7):
+    vector = {}
+
+    def of(ch):
+        if ch not in vector:
+            vector[ch] = 1 - 2 * np.unpackbits(language_id.sign_bits(np.array([ord(ch) if ch != " " else 0]), dimensions, seed).view(np.uint8)).astype(int)
+        return vector[ch]
+
+    def bundle(text):
+        s = " " + re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in text.lower())).strip(" ") + " "
+        return sum((np.roll(of(s[i]), 128) * np.roll(of(s[i + 1]), 64) * of(s[i + 2]) for i in range(len(s) - 2)), np.zeros(dimensions))
+
+    learnt = {}
+    for text, lang in train:
+        learnt[lang] = learnt.get(lang, 0) + bundle(text)
+    cosine = lambda a, b: a @ b / (np.linalg.norm(a) * np.linalg.norm(b))
+    return [max(((cosine(v, bundle(t)), lang) for lang, v in sorted(learnt.items())), key=lambda x: x[0]) for t in texts]
+
+
+def test_language_id_equals_brute_force(docs):
+    train = [("the cat, and the dog", "en"), ("a dog in the house", "en"), ("der hund und die katze", "de"), ("кошка и собака", "ru"), ("ein haus", "de")]
+    texts = ["the house", "das haus", "собака дома", "Katze!", "dog и die", "x"]
+    got = {r["doc_id"]: r for r in identify(docs(list(enumerate(texts))), learn_prototypes(docs([(i, t, g) for i, (t, g) in enumerate(train)]))).collect()}
+    for i, (score, lang) in enumerate(brute_language(train, texts)):
+        assert got[i]["lang_pred"] == lang and abs(got[i]["score"] - max(score, 0)) < 1e-6
+
+
+def test_many_labels_and_least_cosine(docs):
+    rows = [(i, "the cat and the dog", "en") for i in range(5)] + [(9, "der hund", "de"), (10, "le chat", "fr")]
+    assert list(learn_prototypes(docs(rows), max_langs=2)) == ["de", "en"]
+    learnt = learn_prototypes(docs(rows[:5]))
+    least = language_id.least_cosine(docs(rows[:5]), learnt)
+    assert 0.4 < least <= 0.5 and language_id.least_cosine(docs([]), learnt) == 0 and language_id.least_cosine(docs(rows), {}) == 0
 
 
 # ---- 3: packing
