@@ -10,7 +10,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gamepulse.session import new_folder
@@ -112,3 +112,24 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, budget: int = 8 << 20
             yield batch.slice(start, stop - start)
             start = stop
     pa.default_memory_pool().release_unused()
+
+
+def numbered(df: DataFrame, order: list[Column], group: list[str] | None = None) -> DataFrame:
+    """The rows with their `rank` from 0 in the order, within each value of the group columns, and `of`, their number.
+
+    Ranges of (group, order) are sorted and stored with their place in the range; what lies before a
+    range is added per range and group, so a group of any size is spread over many tasks. The group columns
+    must not be null. Rows that are equal in group and order get neighbouring ranks.
+    """
+    group = group or []
+    keys = [*map(F.col, group), *order]
+    placed = written(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("at", 33)
+    ranges = placed.groupBy(*group, part.alias("part")).agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    whole = Window.partitionBy(*group or [F.lit(0)])
+    before = F.sum("n").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = ranges.select(*group, "part", "first", F.coalesce(before, F.lit(0)).alias("before"), F.sum("n").over(whole).alias("of"))
+    if not group:
+        ranges = F.broadcast(ranges)  # one row per shuffle partition
+    out = placed.withColumn("part", part).join(ranges, [*group, "part"])
+    return out.withColumn("rank", F.col("before") + F.col("at") - F.col("first")).drop("part", "at", "first", "before")

@@ -22,7 +22,68 @@ def _mixing_steps(order: int) -> str:
     return out
 
 
+#: crc32 of a string: its bytes, and eight shifts for each, on the reflected polynomial.
+_CRC32 = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(encode({0}))), lambda i: "
+    "('0x' || substr(hex(encode({0})), 2 * i + 1, 2))::BIGINT)), lambda c, b: "
+    "list_reduce(list_prepend(xor(c, b), range(0, 8)), lambda x, n: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}))::VARCHAR || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return f"sha256({' || '.join(map(_field, values))})"
+
+
+def _up(name: str, start: str) -> str:
+    """All nodes (grp, lvl, i, n, h) of the trees over a table (grp, i, n, h), as a recursive table."""
+    return f"""
+        {name} AS (
+            SELECT grp, 0 AS lvl, i, n, h FROM {start}
+            UNION ALL
+            SELECT grp, lvl + 1, i // 3, max((n + 2) // 3), sha256(string_agg(h, '' ORDER BY i)) FROM {name} WHERE n > 1 GROUP BY grp, lvl, i // 3)"""
+
+
+def _fold(name: str, start: str, nodes: str) -> str:
+    """Leaves (k, grp, i, h) of `start` hashed up among the nodes, gathering the siblings, as a recursive table."""
+    return f"""
+        {name} AS (
+            SELECT k, grp, 0 AS lvl, i, h, p FROM {start}
+            UNION ALL
+            SELECT f.k, f.grp, f.lvl + 1, f.i // 3, sha256(coalesce(l.h2, '') || f.h || coalesce(r.h2, '')), f.p || coalesce(l.h2, '') || coalesce(r.h2, '')
+            FROM {name} f JOIN runs x ON x.src = '{nodes}' AND x.grp = f.grp AND x.lvl = f.lvl AND x.run = f.i // 3
+            CROSS JOIN LATERAL (SELECT array_to_string(x.hs[:f.i % 3], '') AS h2) l
+            CROSS JOIN LATERAL (SELECT array_to_string(x.hs[f.i % 3 + 2:], '') AS h2) r)"""
+
+
 ORACLES = {
+    "op11_merkle_manifest": f"""
+        WITH RECURSIVE docs AS (
+            SELECT *, CASE WHEN source IS NULL THEN '-' ELSE '=' || source END AS grp, {_leaf('text')} AS h,
+                   CASE WHEN {_CRC32.format('doc_id::VARCHAR')} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS t
+            FROM documents),
+        placed AS MATERIALIZED (
+            SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY grp) AS n,
+                   row_number() OVER () AS k FROM docs),
+        {_up('lower_nodes', 'placed')},
+        subroots AS MATERIALIZED (
+            SELECT grp AS name, '' AS grp, row_number() OVER (ORDER BY encode(grp)) - 1 AS i, count(*) OVER () AS n, h FROM lower_nodes WHERE n = 1),
+        {_up('upper_nodes', 'subroots')},
+        runs AS MATERIALIZED (
+            SELECT 'lower' AS src, grp, lvl, i // 3 AS run, array_agg(h ORDER BY i) AS hs FROM lower_nodes WHERE n > 1 GROUP BY ALL
+            UNION ALL
+            SELECT 'upper', grp, lvl, i // 3, array_agg(h ORDER BY i) FROM upper_nodes WHERE n > 1 GROUP BY ALL),
+        from_leaf AS (SELECT k, grp, i, t AS h, '' AS p FROM placed),
+        {_fold('lower_folds', 'from_leaf', 'lower')},
+        at_subroot AS MATERIALIZED (SELECT k, grp, h, p FROM lower_folds QUALIFY row_number() OVER (PARTITION BY k ORDER BY lvl DESC) = 1),
+        from_subroot AS (SELECT a.k, s.grp, s.i, a.h, a.p FROM at_subroot a JOIN subroots s ON s.name = a.grp),
+        {_fold('upper_folds', 'from_subroot', 'upper')},
+        at_root AS (SELECT k, h, p FROM upper_folds QUALIFY row_number() OVER (PARTITION BY k ORDER BY lvl DESC) = 1)
+        SELECT d.doc_id, d.h AS leaf, s.h AS subroot, u.h AS root, sha256(a.p) AS proof_sha256, a.h AS folded_root, a.h = u.h AS verified
+        FROM placed d JOIN subroots s ON s.name = d.grp JOIN at_root a ON a.k = d.k CROSS JOIN (SELECT h FROM upper_nodes WHERE n = 1) u""",
     "op5_url_filter": f"""
         WITH p AS MATERIALIZED (
             SELECT page_id, {_LOWER.format("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} AS host,
@@ -91,4 +152,29 @@ ORACLES = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(size) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op13_importance_resampling": f"""
+        WITH texts AS (
+            SELECT true AS doc, doc_id, row_number() OVER () AS k, text FROM documents
+            UNION ALL SELECT false, NULL, row_number() OVER (), text FROM benchmark),
+        split AS MATERIALIZED (
+            SELECT doc, doc_id, k, coalesce(regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS ws FROM texts),
+        features AS MATERIALIZED (
+            SELECT doc, k, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS f FROM split),
+        hashed AS MATERIALIZED (SELECT f, {_CRC32.format('f')} % 10000 AS bucket FROM (SELECT DISTINCT f FROM features)),
+        counted AS (SELECT bucket, count_if(doc) AS s, count_if(NOT doc) AS t FROM features JOIN hashed USING (f) GROUP BY bucket),
+        whole AS (SELECT count_if(doc)::DOUBLE AS s, count_if(NOT doc)::DOUBLE AS t FROM features),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((c.t + 1.0::DOUBLE) * (w.s + 10000.0::DOUBLE) / ((c.s + 1.0::DOUBLE) * (w.t + 10000.0::DOUBLE))))::BIGINT AS gain
+            FROM counted c, whole w),
+        weighed AS (
+            SELECT k, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+            FROM features JOIN hashed USING (f) JOIN gains USING (bucket) WHERE doc GROUP BY k),
+        scored AS MATERIALIZED (
+            SELECT p.doc_id, p.k, len(p.ws) AS words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(p.doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+                   / 4294967296.0::DOUBLE)))::BIGINT AS score
+            FROM split p LEFT JOIN weighed w ON w.k = p.k WHERE p.doc),
+        ranked AS (
+            SELECT k, row_number() OVER (ORDER BY score DESC, doc_id) AS r, 25 * count(*) OVER () // 100 AS m FROM scored WHERE words >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN r <= m THEN r END AS rank FROM scored LEFT JOIN ranked USING (k)""",
 }

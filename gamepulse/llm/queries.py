@@ -10,9 +10,11 @@ from gamepulse.llm.chat_format import format_chats, unescape
 from gamepulse.llm.common import table
 from gamepulse.llm.decontaminate import contaminated
 from gamepulse.llm.hilbert_ann import nearest
+from gamepulse.llm.importance import resample
 from gamepulse.llm.language_id import identify, learn_prototypes
 from gamepulse.llm.line_dedup import dedup_lines
 from gamepulse.llm.maxent_lm import score_texts
+from gamepulse.llm.merkle import fold, leaf_digest, merkle_manifest, proof_digests
 from gamepulse.llm.ngram_join import jaccard_components
 from gamepulse.llm.packing import pack
 from gamepulse.llm.quality import graded_documents, learn_quality, score_quality
@@ -79,6 +81,22 @@ def op10_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    touched = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    damaged = F.when(touched, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    altered = docs.withColumn("altered_leaf", leaf_digest(*[damaged if c == "text" else F.col(c) for c in fields]))
+    folded = fold(F.col("altered_leaf"), F.col("proof"))
+    return merkle_manifest(altered, fields, keep=["altered_leaf"]).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(proof_digests(F.col("proof")), 256).alias("proof_sha256"), folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_language_id": op2_language_id,
@@ -90,4 +108,6 @@ QUERIES = {
     "op8_ordinal_quality": op8_ordinal_quality,
     "op9_chat_format": op9_chat_format,
     "op10_hilbert_ann": op10_hilbert_ann,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_importance_resampling": op13_importance_resampling,
 }

@@ -45,7 +45,7 @@ def text_of(rng, n, vocabulary=3000):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "pages"):
+    for t in ("documents", "conversations", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     got = QUERIES[name](spark, sf_dir)
     want = con.execute(ORACLES[name])
