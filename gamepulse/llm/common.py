@@ -24,6 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """The frame, in a session whose record batches hold at most 4 MB.
+
+    A worker holds a batch, its result and what is computed between, so this bounds them for rows of any length;
+    one row may be longer. The setting changes no result.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    return df
+
+
 _SCOPES: list[list[str]] = []  # folders to delete at the end of each open `scratch`
 
 

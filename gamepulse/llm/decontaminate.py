@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gamepulse.llm.common import blocks
+from gamepulse.llm.common import blocks, small_batches
 from gamepulse.llm.hashing import U64, mix, ngram_hashes, word_hashes
 
 FILTER_BITS = 20
@@ -292,7 +292,7 @@ def contaminated(
     Items are searched in blocks of about `block_chars` characters, each a pass over the documents;
     a block is what a task holds of the items, so its size is bounded.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text is not null")
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text is not null")
     schema = "id long, item_id long, distance long, end_word long, item_words long"
     out = docs.sparkSession.createDataFrame([], schema)
     for part in item_blocks(items, item_id, item_text, block_chars):
@@ -306,5 +306,5 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of docs that hold no item, in the sense of `contaminated`, with all their columns."""
     for part in item_blocks(items, item_id, item_text, block_chars):
-        docs = docs.mapInArrow(_clean(part, walks, max_rate, text_col), docs.schema)
+        docs = small_batches(docs).mapInArrow(_clean(part, walks, max_rate, text_col), docs.schema)
     return docs

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gamepulse.llm.common import blocks, numbered, written
+from gamepulse.llm.common import blocks, numbered, small_batches, written
 
 #: What lies between words, after lower-casing: all ASCII but digits and letters.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -100,7 +100,7 @@ def _counts(longest: int, buckets: int) -> Callable:
 
 def bucket_counts(texts: DataFrame, longest: int, buckets: int, text_col: str = "text") -> np.ndarray:
     """How many runs of all texts fall into each bucket; `buckets` numbers reach the driver."""
-    parts = texts.select(F.col(text_col).alias("text")).mapInArrow(_counts(longest, buckets), "bucket long, n long")
+    parts = small_batches(texts).select(F.col(text_col).alias("text")).mapInArrow(_counts(longest, buckets), "bucket long, n long")
     out = np.zeros(buckets, np.int64)
     for r in parts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[r["bucket"]] = r["n"]
@@ -145,7 +145,7 @@ def resample(
     Texts are read twice and never shuffled; only ids and scores of documents long enough are ordered.
     """
     gains = bucket_gains(bucket_counts(docs, longest, buckets, text_col), bucket_counts(target, longest, buckets, target_text))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     h = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256), 1, 8), 16, 10).cast("double")
     noise = F.floor(-1000 * F.log(-F.log((h + 0.5) / 4294967296.0))).cast("long")
     scored = written(

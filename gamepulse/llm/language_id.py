@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gamepulse.llm.common import blocks
+from gamepulse.llm.common import blocks, small_batches
 from gamepulse.llm.hashing import U64, mix
 
 GAP = 0  # the symbol of everything between words
@@ -119,7 +119,7 @@ def learn_prototypes(labelled: DataFrame, dimensions: int = 512, seed: int = 7,
     empty table gives no prototype.
     """
     sums = (
-        labelled.select("text", "lang").filter("lang is not null").mapInArrow(partial_prototypes(dimensions, seed), "lang string, vector array<double>")
+        small_batches(labelled).select("text", "lang").filter("lang is not null").mapInArrow(partial_prototypes(dimensions, seed), "lang string, vector array<double>")
         .select("lang", F.posexplode("vector").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
         .groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
         .select("lang", F.col("v.x").alias("v"))
@@ -163,7 +163,7 @@ def identify(
             columns = [block.column(f.name) for f in kept] + [pa.array(pred, pa.string()), pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in kept] + [lang_col, score_col])
 
-    rows = docs.select(*[f"`{f.name}`" for f in kept])
+    rows = small_batches(docs).select(*[f"`{f.name}`" for f in kept])
     schema = StructType([*rows.schema.fields]).add(lang_col, "string").add(score_col, "double")
     return rows.mapInArrow(run, schema)
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gamepulse.llm.common import blocks, written
+from gamepulse.llm.common import blocks, small_batches, written
 from gamepulse.llm.components import connected
 from gamepulse.llm.hashing import shingle_sets
 
@@ -333,7 +333,7 @@ def jaccard_components(
     over several tasks. None of these changes the result.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     profiles = written(texts.mapInArrow(_profiles(n), "id long, n long, key binary, parity binary, slice int, counts binary"), "ngram-profiles")
     order = np.zeros(1 << BUCKET_BITS, np.int64)
     for r in profiles.filter("slice is not null").select("slice", "counts").groupBy("slice").applyInArrow(_summed, "slice int, total array<long>").collect():

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gamepulse.llm.common import blocks, written
+from gamepulse.llm.common import blocks, small_batches, written
 from gamepulse.llm.hashing import LOWER, span_hashes, text_bytes, word_spans
 
 Pattern = dict[int, int]
@@ -367,7 +367,7 @@ def pack(
 
     The driver sees counts only: at most `capacity` lengths plus one row per partition.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     tokens = written(texts.mapInArrow(
         tokens_of(tokenizer, end_id), "row long, doc_id long, doc_tokens long, width int, ids binary"), "pack-tokens")
     sizes = tokens.select("row", "doc_id", "doc_tokens", (F.col("doc_tokens") % capacity).alias("rest"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gamepulse.llm.common import blocks, written
+from gamepulse.llm.common import blocks, small_batches, written
 from gamepulse.llm.hashing import LOWER, mix, span_hashes, text_bytes, word_spans
 
 BUCKETS = 1 << 20
@@ -153,7 +153,7 @@ def score_quality(docs: DataFrame, model: OrdinalModel, select_grade: int, selec
     """
     new = ["expected_grade", "tail_prob", "keep"]
     names = [c for c in docs.columns if c.lower() not in new]
-    rows = docs.select(*[f"`{c}`" for c in names])
+    rows = small_batches(docs).select(*[f"`{c}`" for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(BUCKETS, np.float64)

@@ -17,6 +17,7 @@ from gamepulse.llm.maxent_lm import score_texts
 from gamepulse.llm.merkle import fold, leaf_digest, merkle_manifest, proof_digests
 from gamepulse.llm.ngram_join import jaccard_components
 from gamepulse.llm.packing import pack
+from gamepulse.llm.pii import KINDS, find_pii, learn_spans
 from gamepulse.llm.quality import graded_documents, learn_quality, score_quality
 from gamepulse.llm.url_filter import Rule, filter_urls
 
@@ -97,6 +98,14 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = find_pii(docs, learn_spans(docs))
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, KINDS), F.sha2(told(F.col("base")), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_language_id": op2_language_id,
@@ -109,5 +118,6 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_hilbert_ann": op10_hilbert_ann,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_pii": op12_pii,
     "op13_importance_resampling": op13_importance_resampling,
 }
