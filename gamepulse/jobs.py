@@ -25,7 +25,7 @@ from gamepulse.session import build_session
 from gamepulse.sources import logs
 from gamepulse.sources.streams import file_lines, kafka_lines
 from gamepulse.sources.tables import Tables, catalog_tables, parquet_tables, text_lines
-from gamepulse.streaming.jobs import BaseKpiJob, PointsJob, SideJob, compact
+from gamepulse.streaming.jobs import KeyedKpiJob, PointsJob, SideJob, compact
 from gamepulse.streaming.run import start
 from gamepulse.streaming.store import AppendTable, MergeTable, list_commits
 
@@ -189,7 +189,7 @@ STREAM = ("base-kpi", "side", "points")
 def stream_job(name: str, t: Inputs, args: argparse.Namespace):
     if name == "base-kpi":
         dims = {n: t[n] for n in ("game_sdk", "pkg", "pkg_day", *(["publish_game_main"] if args.game_main else []))}
-        return BaseKpiJob(args.out, dims, args.day)
+        return KeyedKpiJob(args.out, dims, args.day)
     if name == "side":
         return SideJob(args.out)
     dims = {"binds": t["account_bind"], "members": t["member"], "game_names": t["game_name"]}
@@ -244,7 +244,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             compact(spark, [r for r in results(args.out).values() if list_commits(spark, r.path)])
         return
     job = stream_job(args.job, tables, args)
-    query = start(_stream_lines(spark, args), job.process, f"{args.out}/_checkpoints/{args.job}", args.every)
+    lines = _stream_lines(spark, args)
+    if isinstance(job, KeyedKpiJob):
+        lines = job.stream(lines)
+    query = start(lines, job.process, f"{args.out}/_checkpoints/{args.job}", args.every)
     query.awaitTermination()
     if args.compact:
         compact(spark, job.merge_tables())

@@ -99,8 +99,16 @@ def _counts(rows: DataFrame, **columns) -> DataFrame:
 def batch_measures(lines: DataFrame, regi_batch: DataFrame, regi: DataFrame, games: DataFrame) -> DataFrame:
     """Additive measures of one batch of lines, one row per source, hour, game and channel.
 
-    `regi` and `games` are everything known including this batch. Each source is reduced to
-    its groups before the whitelist meets it; the measures of other sources are null.
+    `regi` and `games` are everything known including this batch; the measures of other sources are null.
+    """
+    money = net_pay_money_hour(logs.parse(lines, "order"), regi, games)
+    return batch_counts(lines, regi_batch, games).unionByName(money, allowMissingColumns=True)
+
+
+def batch_counts(lines: DataFrame, regi_batch: DataFrame, games: DataFrame) -> DataFrame:
+    """The measures that need nothing but the batch and the list of games.
+
+    Each source is reduced to its groups before the whitelist meets it.
     """
     kind = F.col("type")
     channel = _counts(
@@ -111,8 +119,15 @@ def batch_measures(lines: DataFrame, regi_batch: DataFrame, regi: DataFrame, gam
     requests = _counts(logs.parse_request(lines), request_num=F.count(F.lit(1)))
     registrations = _counts(regi_batch, regi_account_num=F.count(F.lit(1)))
     listed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [channel, requests, registrations])
-    money = net_pay_money_hour(logs.parse(lines, "order"), regi, games)
-    return listed_games(listed, games).unionByName(money, allowMissingColumns=True)
+    return listed_games(listed, games)
+
+
+def with_listed_games(changes: DataFrame, games: DataFrame) -> DataFrame:
+    """Changes of accounts with `listed`: whether one of the registered games behind them is on the list."""
+    sets = changes.select("regi_games").distinct()
+    each = sets.select("regi_games", F.explode(F.split("regi_games", ",").cast("array<int>")).alias("game_id"))
+    known = listed_games(each, games).select("regi_games").distinct().withColumn("listed", F.lit(True))
+    return changes.join(known, "regi_games", "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
 
 
 KEY_COLUMNS = ["publish_time", "game_id", *PARTS]

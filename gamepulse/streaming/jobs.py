@@ -14,10 +14,12 @@ from gamepulse.operators.dims import enrich_kpi
 from gamepulse.operators.merge import INCREMENT, INSERT_ONLY, zero_stale
 from gamepulse.plans import kpi_stream, points, side
 from gamepulse.sources import logs
+from gamepulse.streaming.account_state import account_changes, account_events
 from gamepulse.streaming.run import held
 from gamepulse.streaming.store import AppendTable, MergeTable
 
 Dims = Mapping[str, DataFrame]
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 REGI_KEYS = {
     "game_account": "string", "expand_channel": "string", "game_id": "int", "resource_id": "int",
     "publish_time": "string",
@@ -83,9 +85,12 @@ class BaseKpiJob:
         spark = lines.sparkSession
         # Stored repeats are harmless here: each use below groups or tests for membership.
         games, regi = self.games.rows(spark), self.regi.rows(spark)
-        measures = list(S.STREAM_MEASURES)
         rows = kpi_stream.batch_measures(lines, logs.parse(lines, "regi"), regi, games)
-        pay = self._pay_accounts(lines, regi, games)
+        self._store(lines, rows, self._pay_accounts(lines, regi, games), batch_id, S.STREAM_HOUR_POLICY)
+
+    def _store(self, lines: DataFrame, rows: DataFrame, pay: DataFrame, batch_id: int, policy: Mapping[str, str]) -> None:
+        """Writes the measures and first-pay counts of a batch by hour and by day, and what the gate turns down."""
+        measures = list(S.STREAM_MEASURES)
         both = split_channel(rows, case=self.case).unionByName(pay, allowMissingColumns=True)
         merged = both.groupBy(*kpi_stream.KEY_COLUMNS).agg(
             *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures], F.sum("pay_account_num").alias("pay_account_num")
@@ -95,7 +100,7 @@ class BaseKpiJob:
         # Kept with the rows the gate turns down, so all three outputs share one computation.
         with held(rich) as rich:
             hours, gated = gate_channel(rich)
-            self.kpi_hour.write(hours, self.writer, batch_id, S.STREAM_HOUR_POLICY, unique=True)
+            self.kpi_hour.write(hours, self.writer, batch_id, policy, unique=True)
             # Attributes depend on game, package and day only, so the days inherit them.
             days = kpi_stream.days_from_hours(hours.drop("pay_account_num"), measures)
             days = kpi_stream.nonzero(days, measures)
@@ -138,6 +143,73 @@ class BaseKpiJob:
         compact(spark, self.merge_tables())
 
 
+PENDING_KEYS = {"publish_time": "string", "game_id": "int", "expand_channel": "string", "regi_games": "string"}
+
+
+@dataclass(frozen=True)
+class KeyedKpiJob(BaseKpiJob):
+    """The same tables from keyed state: a batch reads the states of its own accounts, and no stored rows of others.
+
+    `stream` turns lines into lines and changes of accounts, which `process` stores, so it runs on streams only. First-pay
+    accounts arrive as differences and are added up. Those whose registered games are not listed yet wait in
+    `pending`, which is read only by a batch that lists a new game.
+    """
+
+    @property
+    def pending(self) -> MergeTable:
+        return MergeTable(f"{self.root}/pending", PENDING_KEYS, {"pay_account_num": "bigint"})
+
+    def stream(self, lines: DataFrame) -> DataFrame:
+        lines.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        raw = lines.select("value")
+        changes = account_changes(account_events(raw, self.run_date))
+        return raw.unionByName(changes, allowMissingColumns=True)
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        with held(batch) as rows:
+            if rows.isEmpty():
+                return
+            lines = rows.filter("value is not null").select("value")
+            changes = rows.filter("value is null").drop("value")
+            spark = lines.sparkSession
+            before = self.games.rows(spark, without=(self.writer, batch_id))
+            named = logs.parse(lines, "pubgame").select("game_id").distinct()
+            with held(named.join(before, "game_id", "left_anti")) as new:
+                games = before.union(new)
+                if lists_games := not new.isEmpty():
+                    self.games.write(new, self.writer, batch_id, {})
+                marked = kpi_stream.with_listed_games(changes, games)
+                money = marked.filter("listed").groupBy(*kpi_stream.GROUP).agg(F.sum("pay_money").cast("decimal(38,2)").alias("pay_money"))
+                money = money.filter("pay_money is not null")
+                accounts = marked.filter("pay_account_num is not null").select(*PENDING_KEYS, "pay_account_num", "listed")
+                moved = self._pending_of(new, batch_id) if lists_games else None
+                self._wait(accounts, moved, batch_id)
+                if moved is not None:
+                    accounts = accounts.unionByName(moved.withColumn("listed", F.lit(True)))
+                counts = accounts.filter("listed").groupBy(*kpi_stream.GROUP).agg(F.sum("pay_account_num").alias("pay_account_num"))
+                pay, _ = kpi_stream.keyed(counts, ["pay_account_num"], self.case)
+                measured = kpi_stream.batch_counts(lines, logs.parse(lines, "regi"), games).unionByName(money, allowMissingColumns=True)
+                policy = {**S.STREAM_HOUR_POLICY, "pay_account_num": INCREMENT}
+                self._store(lines, measured, pay.filter("pay_account_num <> 0"), batch_id, policy)
+
+    def _pending_of(self, new: DataFrame, batch_id: int) -> DataFrame:
+        """Waiting counts with one of the new games behind them."""
+        own = (F.col("writer") == self.writer) & (F.col("batch_id") == str(batch_id))
+        waiting = self.pending.read(new.sparkSession, where=lambda d: d.filter(~own)).filter("pay_account_num <> 0")
+        return kpi_stream.with_listed_games(waiting, new).filter("listed").drop("listed")
+
+    def _wait(self, accounts: DataFrame, moved: DataFrame | None, batch_id: int) -> None:
+        """Keeps the counts that no listed game is behind, and takes out those that move."""
+        waits = accounts.filter("not listed").drop("listed")
+        if moved is not None:
+            waits = waits.unionByName(moved.withColumn("pay_account_num", -F.col("pay_account_num")))
+        if not waits.isEmpty():
+            self.pending.write(waits, self.writer, batch_id, {"pay_account_num": INCREMENT})
+
+    def merge_tables(self) -> list[MergeTable]:
+        return [self.kpi_hour, self.kpi_day, self.games, self.pending]
+
+
 @dataclass(frozen=True)
 class SideJob:
     """System counts per day, login accounts per hour and activation events."""

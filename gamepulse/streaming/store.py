@@ -9,6 +9,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gamepulse.operators.merge import OVERWRITE, as_delta, delta_columns, fold
 
@@ -80,9 +81,12 @@ class MergeTable:
         folders = [c.folder(self.path) for c in live]
         return spark.read.schema(self._schema()).option("basePath", self.path).parquet(*folders)
 
-    def rows(self, spark: SparkSession) -> DataFrame:
-        """Keys as stored, with repeats across commits."""
-        return self.deltas(spark).select(*self.keys)
+    def rows(self, spark: SparkSession, without: tuple[str, str | int] | None = None) -> DataFrame:
+        """Keys as stored, with repeats across commits; `without` leaves out one (writer, batch id)."""
+        rows = self.deltas(spark)
+        if without:
+            rows = rows.filter(~((F.col("writer") == without[0]) & (F.col("batch_id") == str(without[1]))))
+        return rows.select(*self.keys)
 
     def read(self, spark: SparkSession, *names: str, where: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
         """The current table; with `names`, only those values are folded and scanned.
