@@ -1,12 +1,11 @@
 """Benchmark decontamination: near matches of benchmark items inside documents.
 
-A random walk over a word sequence (step j repeats or leaves the current word, by a random bit of
-the word) embeds edit distance in Hamming distance. Bits of the walk, here the words at sampled
-steps, are hash keys: windows of documents that share a key with a window of an item become
-candidates, over several walks and samples. Edits can spoil all keys of a match, so exact runs complete
-the candidates: of an item cut into one piece more than it may have edits, one piece is in the
-document as it is. A candidate counts if the edit distance of the whole item to the best place in
-the document is small, computed exactly.
+A random walk over a word sequence (each step stays at a word or leaves it, by a random bit of the word and the
+step) embeds edit distance in Hamming distance: the walks of two windows agree wherever their words do. Bits of the
+walk, here the words at a run of sampled steps, are hash keys. Item-sized windows start at every word of an item, the
+walk going on to its end, and at every stride-th word of a document; windows that share a key make a candidate. Several
+independent walks repeat the sampling. How many, how long and at which stride follows from a target recall.
+A candidate counts if the edit distance of the whole item to the best place in the document is small, computed exactly.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -28,60 +28,64 @@ PIECE = 8  # longest run of words that is looked up of a piece
 PART = 1 << 20  # candidates of pieces held at a time
 
 
+@dataclass(frozen=True)
+class Sampling:
+    """How windows are sampled: `walks` walks of `width` steps that visit `visits` words at least, at every stride-th word."""
+
+    walks: int
+    width: int
+    visits: int
+    stride: int
+
+
 @dataclass(frozen=True)
 class Walks:
-    """Parameters of the embedding: windows of `size` words make walks of 3/2 size steps."""
+    """Parameters of the embedding; `target` is the least recall of matches with as many edits as are allowed."""
 
-    walks: int = 2
-    samples: int = 4  # keys per walk and window size
-    width: int = 4  # steps per key
-    stride: int = 4  # documents have a window at every stride-th word, or every word (stride_for); items at every word
+    target: float = 0.98
+    most_walks: int = 16
     seed: int = 11
 
-    @staticmethod
-    def size_for(words: int) -> int:
-        """The window size of an item: the largest power of two within 3/5 of it."""
-        return 1 << max(int(words * 0.6), 1).bit_length() - 1
+    def miss(self, run: int, width: int, visits: int, stride: int) -> float:
+        """Chance that one walk misses a match with an unedited run of so many words, at the worst phase of the stride.
 
-    def steps_of(self, size: int) -> int:
-        return max(1, 3 * size // 2)
+        From its j-th word, a walk of width - 1 moves must visit enough words and stay inside the run.
+        """
+        moves = width - 1
+        inside = [sum(comb(moves, a) for a in range(visits - 1, min(moves, run - 1 - j) + 1)) / 2 ** moves for j in range(run)]
+        return max(float(np.prod([1 - p for p in inside[phase::stride]])) for phase in range(stride))
 
-    def stride_for(self, size: int, shortest: int) -> int:
-        """Words between the windows of documents, for items of at least `shortest` words.
+    def sampling(self, words: int, max_rate: float) -> Sampling:
+        """The cheapest sampling that reaches the target for an item: e edits leave a run of (words - e) / (e + 1) words.
 
-        A walk can take a step at every word, so only the windows with room for a whole walk are sure to
-        match. An item with fewer of them than the stride could fall between two windows.
+        Walks visit three words, or the whole run where it is shorter, so that a key is no single frequent word.
         """
-        return self.stride if shortest - self.steps_of(size) + 1 >= self.stride else 1
-
-    def sampled(self, size: int, walk: int) -> np.ndarray:
-        """Steps of each key, one from every stretch of the walk; the same for documents and items."""
-        rng = np.random.default_rng([self.seed, size, walk])
-        cuts = np.linspace(0, self.steps_of(size), min(self.width, self.steps_of(size)) + 1).astype(int)
-        return np.stack([rng.integers(cuts[:-1], cuts[1:]) for _ in range(self.samples)])
-
-    def keys(self, words: np.ndarray, starts: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(size, table, keys of all starts) for every wanted size; words past the end are zero."""
-        if not len(starts) or not sizes:
-            return
-        steps = max(self.steps_of(s) for s in sizes)
-        padded = np.concatenate([words, np.zeros(steps + 1, U64)])
-        for walk in range(self.walks):
-            bits = mix(padded + U64(0x1000 * (walk + 1) + self.seed))
-            wanted = [(s, k, self.sampled(s, walk)[k]) for s in sizes for k in range(self.samples)]
-            sums = {(s, k): np.zeros(len(starts), U64) for s, k, _ in wanted}
+        edits = int(max_rate * words)
+        if not edits:  # equal or no match: one walk that moves at every step
+            return Sampling(1, words, words, 1)
+        run = min(-(-(words - edits) // (edits + 1)), 8)
+        visits = min(run, 3)
+        best: list[tuple[float, Sampling]] = []
+        for width in range(visits + 1, visits + 4):
+            for stride in range(1, run + 1):
+                miss = self.miss(run, width, visits, stride)
+                walks = 1 if miss <= 0 else ceil(log(1 - self.target) / log(miss)) if miss < 1 else self.most_walks + 1
+                if walks <= self.most_walks:
+                    best.append((walks / stride, Sampling(walks, width, visits, stride)))
+        return min(best, key=lambda x: (x[0], x[1].width))[1]
+
+    def keys(self, words: np.ndarray, starts: np.ndarray, sampling: Sampling) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(key, last word visited) of all starts, walk by walk; words past the end are zero."""
+        padded = np.concatenate([words, np.zeros(sampling.width, U64)])
+        for walk in range(sampling.walks):
+            moves = mix(padded + U64(0x1000 * (walk + 1) + self.seed)) if sampling.width > sampling.visits else np.full(len(padded), ~U64(0))
             at = starts.astype(np.int64)
-            for step in range(steps):
-                users = [(s, k, int(np.flatnonzero(w == step)[0])) for s, k, w in wanted if step in w]
-                if users:
-                    word = padded[at]
-                    for s, k, i in users:
-                        sums[s, k] += word * U64(2 * (i * 0x9E3779B97F4A7 + 0x7F4A7C15 * (k + 1)) + 1)
-                if step and step % 64 == 0:
-                    bits = mix(bits)
-                at += ((bits[at] >> U64(step % 64)) & U64(1)).astype(np.int64)
-            for s, k, _ in wanted:
-                yield s, walk * self.samples + k, sums[s, k]
+            sums = np.full(len(at), walk + 1, U64)
+            for step in range(sampling.width):
+                sums = sums * U64(0x9E3779B97F4A7C15) + padded[at]
+                if step < sampling.width - 1:
+                    at = at + ((moves[at] >> U64(step % 64)) & U64(1)).astype(np.int64)
+            yield mix(sums), at
 
 
 def best_place(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -120,58 +124,50 @@ def matched(table: tuple, keys: np.ndarray, starts: np.ndarray, most: int | None
 
 
 class ItemIndex:
-    """Keys of all windows of the items, per window size and table."""
+    """Keys of the windows of all items, per sampling and walk."""
 
-    def __init__(self, ids: list, words: list[np.ndarray], walks: Walks):
-        self.walks, self.ids, self.words = walks, ids, words
-        self.cut: dict[float, dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]] = {}
-        by_size: dict[int, list[int]] = {}
+    def __init__(self, ids: list, words: list[np.ndarray], walks: Walks, max_rate: float):
+        self.walks, self.ids, self.words, self.max_rate = walks, ids, words, max_rate
+        self.cut: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+        alike: dict[Sampling, list[int]] = {}
         for i, w in enumerate(words):
-            by_size.setdefault(walks.size_for(len(w)), []).append(i)
-        self.strides: dict[int, list[int]] = {}
-        for size, items in sorted(by_size.items()):
-            self.strides.setdefault(walks.stride_for(size, min(len(words[i]) for i in items)), []).append(size)
-        self.tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
-        for size, items in by_size.items():
-            longest = walks.steps_of(size) + 1
-            flat, starts, owner, shift = [], [], [], []
-            base = 0
-            for i in items:
-                n = len(words[i]) - size + 1
-                flat += [words[i], mix(np.arange(longest, dtype=U64) + U64(i * 1000 + 1))]  # words no text has
-                starts.append(base + np.arange(n))
-                owner.append(np.full(n, i))
-                shift.append(np.arange(n))
-                base += len(words[i]) + longest
-            starts, owner, shift = (np.concatenate(x) for x in (starts, owner, shift))
-            for s, table, keys in walks.keys(np.concatenate(flat), starts, [size]):
-                self.tables[s, table] = by_key(keys, owner, shift)
-
-    def candidates(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Distinct (start of the item in words, window, item) that some shared key suggests."""
-        found = [np.zeros((0, 3), np.int64)]
-        for stride, sizes in self.strides.items():
-            starts = window_starts(first, stride)
-            for size, table, keys in self.walks.keys(words, starts, sizes):
-                found += matched(self.tables[size, table], keys, starts)
-        return np.unique(np.concatenate(found), axis=0)
-
-    def pieces(self, max_rate: float) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+            alike.setdefault(walks.sampling(len(w), max_rate), []).append(i)
+        self.tables: dict[Sampling, list[tuple]] = {}
+        for sampling, items in alike.items():
+            sizes = np.array([len(words[i]) for i in items])
+            begin = np.cumsum(sizes) - sizes
+            flat, owner = np.concatenate([words[i] for i in items]), np.repeat(items, sizes)
+            shift = np.arange(len(flat)) - np.repeat(begin, sizes)
+            end = np.repeat(begin + sizes, sizes)
+            self.tables[sampling] = []
+            for keys, last in walks.keys(flat, np.arange(len(flat)), sampling):
+                ok = (last < end) & (last - np.arange(len(flat)) >= sampling.visits - 1)
+                self.tables[sampling].append(by_key(keys[ok], owner[ok], shift[ok]))
+
+    def candidates(self, words: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
+        """(start of the item in words, window, item) that shared keys suggest, in parts."""
+        for sampling, tables in self.tables.items():
+            starts = window_starts(first, sampling.stride)
+            for table, (keys, last) in zip(tables, self.walks.keys(words, starts, sampling)):
+                ok = last - starts >= sampling.visits - 1
+                yield from matched(table, keys[ok], starts[ok], PART)
+
+    def pieces(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Per length the keys of slack + 1 disjoint runs of every item; an edit spoils at most one of them."""
-        if max_rate not in self.cut:
+        if not self.cut:
             held: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
             for i, words in enumerate(self.words):
-                n = int(max_rate * len(words)) + 1
+                n = int(self.max_rate * len(words)) + 1
                 apart = len(words) // n
                 if length := min(apart, PIECE):
                     at = apart * np.arange(n)
                     held.setdefault(length, []).append((ngram_hashes(words, length)[at], np.full(n, i), at))
-            self.cut[max_rate] = {length: by_key(*(np.concatenate(x) for x in zip(*rows))) for length, rows in sorted(held.items())}
-        return self.cut[max_rate]
+            self.cut = {length: by_key(*(np.concatenate(x) for x in zip(*rows))) for length, rows in sorted(held.items())}
+        return self.cut
 
-    def whole_pieces(self, words: np.ndarray, max_rate: float) -> Iterator[np.ndarray]:
-        """As candidates, in parts: every place of every piece in words."""
-        for length, table in self.pieces(max_rate).items():
+    def whole_pieces(self, words: np.ndarray) -> Iterator[np.ndarray]:
+        """As candidates: every place of every piece in words."""
+        for length, table in self.pieces().items():
             keys = ngram_hashes(words, length)
             yield from matched(table, keys, np.arange(len(keys)), PART)
 
@@ -182,11 +178,11 @@ def window_starts(first: np.ndarray, stride: int) -> np.ndarray:
     return np.repeat(first[:-1] - stride * (np.cumsum(tries) - tries), tries) + stride * np.arange(tries.sum())
 
 
-def index_of(items: list[tuple], walks: Walks) -> ItemIndex:
+def index_of(items: list[tuple], walks: Walks, max_rate: float) -> ItemIndex:
     flat, first = word_hashes(pa.array([t for _, t in items], pa.string()))
     words = [flat[a:b] for a, b in zip(first[:-1], first[1:])]
     full = [k for k, w in enumerate(words) if len(w)]
-    return ItemIndex([items[k][0] for k in full], [words[k] for k in full], walks)
+    return ItemIndex([items[k][0] for k in full], [words[k] for k in full], walks, max_rate)
 
 
 def plausible(index: ItemIndex, cand: np.ndarray, own: np.ndarray, first: np.ndarray, max_rate: float) -> np.ndarray:
@@ -214,15 +210,16 @@ def plausible(index: ItemIndex, cand: np.ndarray, own: np.ndarray, first: np.nda
     return cand[keep]
 
 
-def find(index: ItemIndex, texts: pa.Array, max_rate: float) -> dict[tuple[int, int], tuple[int, int]]:
+def find(index: ItemIndex, texts: pa.Array, complete: bool = False) -> dict[tuple[int, int], tuple[int, int]]:
     """(text, item) -> (distance, end word) of all verified matches in a run of texts."""
+    max_rate = index.max_rate
     own, first = word_hashes(texts)
     hits: dict[tuple[int, int], tuple[int, int]] = {}
     if not len(own) or not index.words:
         return hits
     done: dict[tuple[int, int], set[int]] = {}
-    parts = chain([index.candidates(own, first)], index.whole_pieces(own, max_rate))
-    likely = [plausible(index, part, own, first, max_rate) for part in parts]
+    parts = chain(index.candidates(own, first), index.whole_pieces(own) if complete else ())
+    likely = [np.zeros((0, 3), np.int64), *(plausible(index, np.unique(part, axis=0), own, first, max_rate) for part in parts if len(part))]
     for place, window, item in np.unique(np.concatenate(likely), axis=0).tolist():
         word = index.words[item]
         slack = int(max_rate * len(word))
@@ -240,11 +237,11 @@ def find(index: ItemIndex, texts: pa.Array, max_rate: float) -> dict[tuple[int,
     return hits
 
 
-def _matches(items: list[tuple], walks: Walks, max_rate: float):
+def _matches(items: list[tuple], walks: Walks, max_rate: float, complete: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = index_of(items, walks)
+        index = index_of(items, walks, max_rate)
         for block in blocks(batches, "text", 4 << 20):
-            hits = sorted(find(index, block.column("text"), max_rate).items())
+            hits = sorted(find(index, block.column("text"), complete).items())
             rows = [(block.column("id")[d].as_py(), index.ids[i], distance, end, len(index.words[i])) for (d, i), (distance, end) in hits]
             cols = list(zip(*rows)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "item_id", "distance", "end_word", "item_words"])
@@ -252,12 +249,12 @@ def _matches(items: list[tuple], walks: Walks, max_rate: float):
     return run
 
 
-def _clean(items: list[tuple], walks: Walks, max_rate: float, text_col: str):
+def _clean(items: list[tuple], walks: Walks, max_rate: float, text_col: str, complete: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = index_of(items, walks)
+        index = index_of(items, walks, max_rate)
         for block in blocks(batches, text_col, 4 << 20):
             keep = np.ones(block.num_rows, bool)
-            keep[[d for d, _ in find(index, block.column(text_col), max_rate)]] = False
+            keep[[d for d, _ in find(index, block.column(text_col), complete)]] = False
             yield block.filter(pa.array(keep))
 
     return run
@@ -277,13 +274,15 @@ def item_blocks(items: DataFrame, item_id: str, item_text: str, block_chars: int
 def contaminated(
     docs: DataFrame, items: DataFrame, max_rate: float = 0.2, walks: Walks = Walks(), id_col: str = "doc_id",
     text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_chars: int = 8 << 20,
+    complete: bool = False,
 ) -> DataFrame:
     """(id, item_id, distance, end_word, item_words): items found in documents.
 
     Words are cut at ASCII white space, A-Z lower-cased. A match is a run of a document's words within
     max_rate * (words of the item) word edits of the whole item; the best run is reported, where
-    it ends as a word count from the start. Candidates come from shared keys and from the pieces of
-    the items, which no match within max_rate (below 1) can lack all, so none is missed.
+    it ends as a word count from the start. Candidates come from shared keys of the walks: a match without edits is
+    always found, one with as many as allowed with the chance `walks.target` at least, at every length. With `complete`,
+    exact pieces of the items are looked up as well, which no match within max_rate (below 1) can lack all.
 
     Every row of docs is searched by itself, whole: repeated rows give repeated results, a null id
     gives null. Null, empty and blank texts and items match nothing; repeated items each match; other
@@ -296,15 +295,16 @@ def contaminated(
     schema = "id long, item_id long, distance long, end_word long, item_words long"
     out = docs.sparkSession.createDataFrame([], schema)
     for part in item_blocks(items, item_id, item_text, block_chars):
-        out = out.union(texts.mapInArrow(_matches(part, walks, max_rate), schema))
+        out = out.union(texts.mapInArrow(_matches(part, walks, max_rate, complete), schema))
     return out.withColumnRenamed("id", id_col)
 
 
 def drop_contaminated(
     docs: DataFrame, items: DataFrame, max_rate: float = 0.2, walks: Walks = Walks(), text_col: str = "text",
     item_id: str = "item_id", item_text: str = "text", block_chars: int = 8 << 20,
+    complete: bool = False,
 ) -> DataFrame:
     """The rows of docs that hold no item, in the sense of `contaminated`, with all their columns."""
     for part in item_blocks(items, item_id, item_text, block_chars):
-        docs = small_batches(docs).mapInArrow(_clean(part, walks, max_rate, text_col), docs.schema)
+        docs = small_batches(docs).mapInArrow(_clean(part, walks, max_rate, text_col, complete), docs.schema)
     return docs

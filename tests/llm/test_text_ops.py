@@ -437,7 +437,7 @@ def test_verbatim_items_are_found_at_every_offset():
     for n in [*range(1, 9), 13, 14, 15, 26, 27]:  # lengths on both sides of the window sizes
         items = [(i, text_of(rng, n, 10 ** 9)) for i in range(40)]
         texts = [f"{text_of(rng, before, 10 ** 9)} {t} {text_of(rng, after, 10 ** 9)}" for _, t in items for before in range(4) for after in (0, 30)]
-        hits = find(index_of(items, Walks()), pa.array(texts), 0.2)
+        hits = find(index_of(items, Walks(), 0.2), pa.array(texts))
         assert all(hits.get((d, d // 8)) == (0, d % 8 // 2 + n) for d in range(len(texts))), n
 
 
@@ -453,10 +453,38 @@ def test_items_with_all_accepted_edits_are_found():
                 item[p:p + rng.randrange(2)] = [f"q{k}"] * rng.randrange(2)
             texts.append(f"{text_of(rng, rng.randrange(40), 10 ** 9)} {' '.join(item)} {text_of(rng, rng.randrange(40), 10 ** 9)}")
             want.append(edits(t.split(), texts[-1].split()))
-        hits = find(index_of(items, Walks()), pa.array(texts), 0.2)
+        hits = find(index_of(items, Walks(), 0.2), pa.array(texts), complete=True)
         assert {k: d for k, (d, _) in hits.items()} == {(k, k): d for k, d in enumerate(want)}, n
 
 
+@pytest.mark.parametrize("n", [5, 9, 10, 14, 15, 20, 25, 35, 60, 200])
+def test_walks_alone_reach_the_target_recall(n):
+    """Items with all the edits that are accepted, found by the keys of the walks and nothing else."""
+    rng, found, tries = random.Random(n), 0, 60 if n == 200 else 400
+    for part in range(0, tries, 20):
+        items = [(i, text_of(rng, n, 10 ** 9)) for i in range(20)]
+        texts = []
+        for k, (_, t) in enumerate(items):
+            item = t.split()
+            for _ in range(n // 5):
+                p = rng.randrange(len(item))
+                item[p:p + rng.randrange(2)] = [f"q{k}"] * rng.randrange(2)
+            texts.append(f"{text_of(rng, rng.randrange(40), 10 ** 9)} {' '.join(item)} {text_of(rng, rng.randrange(40), 10 ** 9)}")
+        hits = find(index_of(items, Walks(), 0.2), pa.array(texts))
+        assert all(d == i for d, i in hits)
+        found += len(hits)
+    assert found >= 0.97 * tries
+
+
+def test_sampling_follows_from_the_target():
+    for n in (5, 7, 10, 15, 20, 60, 400):
+        for target in (0.9, 0.98, 0.999):
+            walks = Walks(target, most_walks=64)
+            s, run = walks.sampling(n, 0.2), -(-(n - n // 5) // (n // 5 + 1))
+            assert walks.miss(run, s.width, s.visits, s.stride) ** s.walks <= 1 - target
+    assert Walks().sampling(3, 0.2).walks == 1
+
+
 # ---- 8: quality
 
 def test_quality_separates_grades(spark, docs):
