@@ -154,6 +154,12 @@ add("retention", f"""
            {', '.join(f'retained_{d}day' for d in RETURN_DAYS)}
     from r join s on r.reg_day = s.reg_day and r.game_id = s.game_id and r.expand_channel = s.expand_channel""",
     "fx_regi", "fx_login", "fx_publish_game")
+ORACLES["retention_bitmap"] = ORACLES["retention"]
+add("regi_distinct_sketch_day", f"""
+    select {day('r.reg_time')} as publish_time, r.game_id, {channel('r.expand_channel')} as expand_channel,
+           count(distinct r.game_account) as regi_num, count(distinct r.imei) as regi_device_num, true as accounts_near, true as devices_near
+    from fx_regi r where {between('r.reg_time')} and r.game_id in (select old_game_id from {SDK} g)
+    group by 1, 2, 3""", "fx_regi", "fx_game_sdk")
 PAID_WITHIN = ", ".join(
     f"cast(coalesce(sum(case when dur >= 0 and dur < {n} then amount end), 0) as double) as ltv_{n - 1}day" for n in LTV_WINDOWS
 )
@@ -360,6 +366,15 @@ for name, order in (("co_download_topk", "download_num desc, game_id_rs"),
         select game_id, string_agg(cast(game_id_rs as varchar), '|' order by rn) as game_id_rs
         from (select *, row_number() over (partition by game_id order by {order}) as rn from {PAIRS} p) t
         where rn <= {P.TOP_K} group by game_id""", "fx_appdownload")
+ORACLES["co_download_topk_pruned"] = ORACLES["co_download_topk"]
+PRODUCT = " + ".join(
+    f"((a.game_id * {i + 2} + {3 * i}) % 13 - 4) * ((b.game_id * {2 * i + 3} + {i}) % 11 - 5) * (case when b.game_id % 7 = 0 then 9 else 1 end)" for i in range(5))
+add("als_lists_fixed", f"""
+    with g as (select distinct cast(game_id as int) as game_id from fx_appdownload where game_id is not null),
+    r as (select a.game_id, b.game_id as game_id_rs, row_number() over (partition by a.game_id order by {PRODUCT} desc, b.game_id) as rn
+          from g a join g b on a.game_id <> b.game_id)
+    select game_id, string_agg(cast(game_id_rs as varchar), '|' order by rn) as game_id_rs from r where rn <= {P.TOP_K} group by game_id""",
+    "fx_appdownload")
 add("als_ratings", """
     select cast(dense_rank() over (order by imei) - 1 as int) as user_id, game_id, cast(1 as float) as rating
     from fx_appdownload""", "fx_appdownload")

@@ -13,11 +13,12 @@ from gamepulse.functions.times import access_log_hour, day_range
 from gamepulse.operators.accounts import listed_games
 from gamepulse.operators.dims import enrich_game_group, enrich_packages
 from gamepulse.operators.merge import INCREMENT, INSERT_ONLY, OVERWRITE, insert_or_touch, upsert
-from gamepulse.plans import bills, cohort, kpi_batch, kpi_stream, points, recommend, side
+from gamepulse.plans import activity, bills, cohort, kpi_batch, kpi_stream, points, recommend, side, sketches
 from gamepulse.session import new_folder
 from gamepulse.sources import logs
 from gamepulse.sources.fixtures import fixture_tables, log_lines
 from gamepulse.sources.tables import text_lines
+from gamepulse.streaming.store import AppendTable
 
 Tables = Mapping[str, DataFrame]
 KPI_KEYS = ["publish_time", "game_id", *PARTS]
@@ -127,6 +128,33 @@ def retention(t: Tables) -> DataFrame:
     return cohort.retention(t["fx_regi"], t["fx_login"], t["fx_publish_game"], P.COHORT_DAY)
 
 
+@register
+def retention_bitmap(t: Tables) -> DataFrame:
+    """Retention from masks of active days, kept as a table and merged from two ranges of days."""
+    spark = t["fx_login"].sparkSession
+    table = AppendTable(new_folder(spark, "activity"), activity.MASK_SCHEMA)
+    early = F.col("login_time") < P.LATE_SPLIT_DAY
+    for n, rows in enumerate((t["fx_login"].filter(early), t["fx_login"].filter(~early))):
+        table.write(activity.activity_masks(rows), "logins", n)
+    return activity.retention_from_masks(t["fx_regi"], activity.merged_masks(table.read(spark)), t["fx_publish_game"], P.COHORT_DAY)
+
+
+@register
+def regi_distinct_sketch_day(t: Tables) -> DataFrame:
+    """Exact counts per day, and whether those of hourly sketches, stored in two increments, are within two percent."""
+    spark, keys = t["fx_regi"].sparkSession, list(sketches.KEYS)
+    table = AppendTable(new_folder(spark, "sketches"), sketches.SKETCH_SCHEMA)
+    early = F.col("reg_time") < P.LATE_SPLIT_DAY
+    for n, rows in enumerate((t["fx_regi"].filter(early), t["fx_regi"].filter(~early))):
+        table.write(kpi_batch.regi_sketches_hour(rows, *RANGE), "regi", n)
+    names = ("regi_num", "regi_device_num")
+    rough = sketches.counted(sketches.days_of(table.read(spark))).withColumnsRenamed({c: f"rough_{c}" for c in names})
+    exact = kpi_batch.regi_key_day(t["fx_regi"], t["fx_game_sdk"], *RANGE)
+    both = exact.join(rough, keys, "left")
+    near = lambda c: F.coalesce(F.abs(F.col(f"rough_{c}") - F.col(c)) <= F.col(c) * 0.02, F.lit(False))
+    return both.select(*keys, *names, near("regi_num").alias("accounts_near"), near("regi_device_num").alias("devices_near"))
+
+
 @register
 def ltv(t: Tables) -> DataFrame:
     rows = cohort.ltv(t["fx_regi"], t["fx_order"], t["fx_publish_game"], P.COHORT_DAY)
@@ -494,6 +522,22 @@ def co_download_topk_text(t: Tables) -> DataFrame:
     return recommend.co_download_topk(recommend.co_download_counts(t["fx_appdownload"]), P.TOP_K, "text")
 
 
+@register
+def co_download_topk_pruned(t: Tables) -> DataFrame:
+    return recommend.co_download_topk_pruned(t["fx_appdownload"], P.TOP_K)
+
+
+@register
+def als_lists_fixed(t: Tables) -> DataFrame:
+    """Lists from whole-number factors computed from the games, so that SQL can repeat the search over all games."""
+    games = t["fx_appdownload"].select(F.col("game_id").cast("int").alias("id")).filter("id is not null").distinct()
+    features = [((F.col("id") * (2 * i + 3) + i) % 11 - 5) * F.when(F.col("id") % 7 == 0, 9).otherwise(1) for i in range(5)]
+    tastes = [(F.col("id") * (i + 2) + 3 * i) % 13 - 4 for i in range(5)]
+    made = games.select("id", F.array(*[x.cast("double") for x in features]).alias("features"))
+    taste = games.select(F.col("id").alias("game_id"), F.array(*[x.cast("double") for x in tastes]).alias("taste"))
+    return recommend.factor_lists(taste, made, P.TOP_K, block=16)
+
+
 def _downloads(t: Tables) -> DataFrame:
     return logs.parse(log_lines(t, "appdownload"), "appdownload")
 

@@ -103,7 +103,7 @@ def base_kpi_offline(t: Inputs, out: dict[str, MergeTable], args: argparse.Names
     _overwrite(out["kpi_hour"], hours, args)
     day_rows, bad_days = keyed_rows([
         kpi_batch.pay_money_key_day(orders, regi, sdk, *days),
-        kpi_batch.regi_key_day(regi, sdk, *days).withColumnRenamed("regi_num", "regi_account_num"),
+        kpi_batch.regi_key_day(regi, sdk, *days, args.approximate).withColumnRenamed("regi_num", "regi_account_num"),
     ], ["pay_money", "regi_account_num", "regi_device_num"])
     _overwrite(out["kpi_day"], _dated(day_rows.join(game_attributes(sdk), "game_id", "left")), args)
     _keep_rejects(args, kpi_hour=bad_hours, kpi_day=bad_days)
@@ -216,6 +216,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--day", help="cohort day, or the only day of first payments")
     p.add_argument("--run-id", default=datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f"))
     p.add_argument("--zero-stale", action="store_true", help="zero stored keys of the days that no longer qualify")
+    p.add_argument("--approximate", action="store_true", help="count accounts and devices of a day by sketches, within about two percent")
     p.add_argument("--brokers")
     p.add_argument("--topics", default="")
     p.add_argument("--first-run", default="earliest", choices=["earliest", "latest"])

@@ -18,17 +18,17 @@ LTV_WINDOWS = (2, 3, 4, 5, 6, 7, 15, 30, 60)
 COHORT = ("reg_time", "game_id", "expand_channel")
 
 
-def _account(normalise: bool) -> Column:
+def account_of(normalise: bool) -> Column:
     return account_key("game_account") if normalise else F.col("game_account")
 
 
-def _cohort_accounts(regi: DataFrame, run_date: date, normalise: bool) -> DataFrame:
+def cohort_accounts(regi: DataFrame, run_date: date, normalise: bool) -> DataFrame:
     """Registrations of the look-back as (cohort, account, rows)."""
     first = run_date - timedelta(days=LOOK_BACK_DAYS - 1)
     rows = day_range(regi, "reg_time", first, run_date)
     return rows.groupBy(
         day_of("reg_time").alias("reg_time"), "game_id",
-        blank_to_default("expand_channel").alias("expand_channel"), _account(normalise).alias("account"),
+        blank_to_default("expand_channel").alias("expand_channel"), account_of(normalise).alias("account"),
     ).agg(F.count("game_account").alias("n"))
 
 
@@ -38,7 +38,7 @@ def _span(df: DataFrame, time_col: str, run_date: date) -> DataFrame:
     return day_range(df, time_col, first, run_date + timedelta(days=LOOK_BACK_DAYS - 1))
 
 
-def _text_day(df: DataFrame) -> DataFrame:
+def text_day(df: DataFrame) -> DataFrame:
     return df.withColumn("reg_time", F.col("reg_time").cast("string"))
 
 
@@ -53,11 +53,11 @@ def retention(
     """
     day = as_date(run_date)
     names = [f"retained_{d}day" for d in RETURN_DAYS]
-    cohort = listed_games(_cohort_accounts(regi, day, normalise), games).filter(
+    cohort = listed_games(cohort_accounts(regi, day, normalise), games).filter(
         F.col("game_id").isNotNull() & F.col("expand_channel").isNotNull()
     )
     seen = (
-        _span(logins, "login_time", day).groupBy(_account(normalise).alias("account"))
+        _span(logins, "login_time", day).groupBy(account_of(normalise).alias("account"))
         .agg(F.collect_set(day_of("login_time")).alias("days"))  # at most one per day of the look-back
     )
     back = [F.coalesce(F.array_contains("days", F.date_add("reg_time", d)), F.lit(False)) for d in RETURN_DAYS]
@@ -66,7 +66,7 @@ def retention(
     )
     if not keep_empty:
         table = table.filter(sum((F.col(c) for c in names[1:]), F.col(names[0])) > 0)
-    return _text_day(table.select(*COHORT, "add_user_num", *names))
+    return text_day(table.select(*COHORT, "add_user_num", *names))
 
 
 def ltv(
@@ -79,12 +79,12 @@ def ltv(
     """
     day = as_date(run_date)
     names = [f"ltv_{n - 1}day" for n in LTV_WINDOWS]
-    cohort = listed_games(_cohort_accounts(regi, day, normalise), games)
+    cohort = listed_games(cohort_accounts(regi, day, normalise), games)
     signed = F.when(F.col("order_status") == PAID, F.col("ori_price")).otherwise(-F.col("ori_price"))
     paid = (
         _span(orders, "order_time", day)
         .filter(F.col("order_status").isin(PAID, REFUNDED))
-        .groupBy(_account(normalise).alias("account"), day_of("order_time").alias("pay_day"))
+        .groupBy(account_of(normalise).alias("account"), day_of("order_time").alias("pay_day"))
         .agg(F.sum(signed).alias("amount"))
         .groupBy("account").agg(F.collect_list(F.struct("pay_day", "amount")).alias("paid"))  # one per day of the span
     )
@@ -99,4 +99,4 @@ def ltv(
     table = cohort.join(paid, "account", "left").groupBy(*COHORT).agg(
         F.sum("n").alias("add_user_num"), *[F.sum(within(n)).cast("decimal(38,2)").alias(c) for n, c in zip(LTV_WINDOWS, names)]
     )
-    return _text_day(table.select(*COHORT, "add_user_num", *names))
+    return text_day(table.select(*COHORT, "add_user_num", *names))

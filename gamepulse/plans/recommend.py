@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gamepulse.operators.ordering import COPIES, dense_numbers, expand_copies
@@ -87,6 +87,76 @@ def co_download_topk(counts: DataFrame, k: int = CO_DOWNLOAD_TOP, ranking: str =
     return _pipe_list(counts.withColumn("rn", rn).filter(F.col("rn") <= k))
 
 
+def head_pairs(baskets: DataFrame, heads: list[int]) -> DataFrame:
+    """(game_id, game_id_rs, devices) of every game of a basket with each other head game in it."""
+    known = F.array(*map(F.lit, heads)).cast("array<int>")
+    own = F.transform("games", lambda g: g["game"])
+    rows = baskets.select("devices", F.explode(own).alias("game_id"), F.array_intersect(own, known).alias("others"))
+    return rows.select("devices", "game_id", F.explode("others").alias("game_id_rs")).filter("game_id <> game_id_rs")
+
+
+def tail_pairs(baskets: DataFrame, heads: list[int], chunk: int = BASKET_CHUNK) -> DataFrame:
+    """The same with the other games, but only those that can enter the list of the first.
+
+    A basket holds (-devices of the game, game, count and number of the last game known in its list), most frequent
+    games first. The chunks of a large basket are spread over the tasks.
+    """
+    known = F.array(*map(F.lit, heads)).cast("array<int>")
+    rest = F.filter("games", lambda g: ~F.array_contains(known, g["game"]))
+    cut = baskets.select("devices", "games", rest.alias("rest")).filter(F.size("rest") > 0)
+    size = F.size("games")
+    last = F.floor((size - 1) / chunk).cast("int")
+    large = cut.filter(size > chunk).select("devices", "rest", "games", F.explode(F.sequence(F.lit(0), last)).alias("p"))
+    large = large.select("devices", "rest", F.slice("games", F.col("p") * chunk + 1, F.lit(chunk)).alias("games")).repartition("games", "rest")
+    each = cut.filter(size <= chunk).select("devices", "rest", "games").unionByName(large).select("devices", "rest", F.explode("games").alias("g"))
+
+    def enters(b: Column) -> Column:
+        most = -F.greatest(b["less"], F.col("g.less"))
+        return (b["game"] != F.col("g.game")) & ((most > F.col("g.least")) | ((most == F.col("g.least")) & (b["game"] < F.col("g.last"))))
+
+    able = F.filter("rest", enters)
+    return each.select("devices", F.col("g.game").alias("game_id"), F.explode(able).alias("b")).select(
+        "devices", "game_id", F.col("b.game").alias("game_id_rs"))
+
+
+def _counted(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("game_id", "game_id_rs").agg(F.sum("devices").alias("download_num"))
+
+
+def pruned_pairs(downloads: DataFrame, k: int = CO_DOWNLOAD_TOP, heads: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(pairs with head games, pairs with others that can still enter a list of k), before they are counted.
+
+    Two games are together on no more devices than either is on. The `heads` most frequent games (2 k by default) are
+    counted with every game first; to enter the list of a game, another must be able to beat the k-th best of these
+    counts, or to reach it with a smaller number.
+    """
+    enable_checkpoints(downloads.sparkSession)
+    owned = downloads.select("imei", F.col("game_id").cast("int").alias("game")).filter("imei is not null and game is not null").distinct()
+    several = owned.groupBy("imei").agg(F.collect_list("game").alias("games")).filter(F.size("games") > 1)
+    owned = several.select("imei", F.explode("games").alias("game")).checkpoint()
+    sizes = owned.groupBy("game").agg(F.count(F.lit(1)).alias("n"))
+    first = [r["game"] for r in sizes.orderBy(F.col("n").desc(), "game").limit(heads or 2 * k).collect()]
+
+    def baskets(stats: DataFrame) -> DataFrame:
+        entry = F.struct((-F.col("n")).alias("less"), "game", "least", "last")
+        sets = owned.join(stats, "game").groupBy("imei").agg(F.array_sort(F.collect_list(entry)).alias("games"))
+        return sets.groupBy("games").agg(F.count(F.lit(1)).alias("devices"))
+
+    plain = baskets(sizes.withColumns({"least": F.lit(0).cast("bigint"), "last": F.lit(0)}))
+    with_heads = head_pairs(plain, first)
+    place = F.row_number().over(Window.partitionBy("game_id").orderBy(F.col("download_num").desc(), "game_id_rs"))  # at most `heads` rows each
+    kth = _counted(with_heads).withColumn("place", place).filter(F.col("place") == k).select(
+        F.col("game_id").alias("game"), F.col("download_num").alias("least"), F.col("game_id_rs").alias("last"))
+    bounded = sizes.join(kth, "game", "left").withColumns({"least": F.coalesce("least", F.lit(0).cast("bigint")), "last": F.coalesce("last", F.lit(0))})
+    return with_heads, tail_pairs(baskets(bounded), first)
+
+
+def co_download_topk_pruned(downloads: DataFrame, k: int = CO_DOWNLOAD_TOP, heads: int | None = None) -> DataFrame:
+    """`co_download_topk` of all counts, forming only pairs that can enter a list; for large catalogues and baskets."""
+    head, tail = pruned_pairs(downloads, k, heads)
+    return co_download_topk(_counted(head.unionByName(tail)), k)
+
+
 def als_ratings(downloads: DataFrame, repeats: bool = True) -> DataFrame:
     """(user_id, game_id, rating): devices numbered densely, every download rated 1.
 
@@ -173,11 +243,80 @@ def _block_scores(k: int):
     return run
 
 
+def _norm(vector: str) -> Column:
+    return F.sqrt(F.aggregate(F.transform(vector, lambda x: x.cast("double")), F.lit(0.0), lambda a, x: a + x * x))
+
+
+@dataclass
+class NormBlocks:
+    """Games in blocks of falling norm. A block's first norm bounds every score with it, by Cauchy and Schwarz."""
+
+    games: DataFrame  # id, features, block
+    bounds: list[float]  # largest norm per block, falling
+    sizes: list[int]
+
+    @staticmethod
+    def of(games: DataFrame, block: int) -> "NormBlocks":
+        enable_checkpoints(games.sparkSession)
+        normed = games.select("id", "features", _norm("features").alias("norm"))
+        parts = max(1, -(-games.count() // block))
+        placed = normed.repartitionByRange(parts, F.col("norm").desc(), "id").withColumn("block", F.spark_partition_id()).checkpoint()
+        found = sorted(placed.groupBy("block").agg(F.max("norm").alias("m"), F.count(F.lit(1)).alias("n")).collect(), key=lambda r: r["block"])
+        if not found:
+            return NormBlocks(placed, [], [])
+        numbers = {r["block"]: i for i, r in enumerate(found)}
+        number = F.create_map(*[F.lit(x) for kv in numbers.items() for x in kv])[F.col("block")] if len(numbers) < parts else F.col("block")
+        return NormBlocks(placed.withColumn("block", number), [r["m"] for r in found], [r["n"] for r in found])
+
+    def first(self, k: int) -> int:
+        """How many blocks hold more than k games."""
+        held = np.cumsum(self.sizes)
+        return min(int(np.searchsorted(held, k, side="right")) + 1, len(held))
+
+
+def _scored(pairs: DataFrame, blocks: NormBlocks, k: int) -> DataFrame:
+    """The k best of each block for pairs (game_id, taste, p, block) of chunks of owners and blocks."""
+    wanted = pairs.select("p", "block").distinct()
+    right = blocks.games.join(wanted, "block").select("id", "features", "p", "block").toDF("id", "features", "chunk", "part")
+    return pairs.groupBy("p", "block").cogroup(right.groupBy("chunk", "part")).applyInPandas(
+        _block_scores(k), "game_id int, game_id_rs int, score double")
+
+
+def surviving_blocks(taste: DataFrame, best: DataFrame, blocks: NormBlocks, k: int) -> DataFrame:
+    """(game_id, taste, p, block) beyond the first blocks whose bound reaches the k-th best score so far."""
+    place = F.row_number().over(Window.partitionBy("game_id").orderBy(F.col("score").desc()))
+    kth = best.withColumn("place", place).filter(F.col("place") == k).select("game_id", F.col("score").alias("kth"))
+    bounds = F.array(*map(F.lit, blocks.bounds))
+    reach = F.filter(bounds, lambda b: F.col("kth").isNull() | (b * F.col("length") * (1 + 1e-9) >= F.col("kth")))
+    cut = taste.join(kth, "game_id", "left").withColumn("length", _norm("taste")).withColumn("reach", F.size(reach))
+    first = blocks.first(k)
+    return cut.filter(F.col("reach") > first).select("game_id", "taste", "p", F.explode(F.sequence(F.lit(first), F.col("reach") - 1)).alias("block"))
+
+
+def factor_lists(taste: DataFrame, games: DataFrame, k: int = ALS_TOP, block: int = 1024) -> DataFrame:
+    """One list per row (game_id, taste): the k games (id, features) with the largest inner products, itself left out.
+
+    Exact. Games lie in blocks of falling norm; every row meets the blocks with the largest norms first, and later
+    only those whose norm times its own can still reach its k-th best score. Equal scores: the smaller id.
+    """
+    enable_checkpoints(taste.sparkSession)
+    blocks = NormBlocks.of(games, block)
+    if not blocks.bounds:
+        return _pipe_list(games.sparkSession.createDataFrame([], "game_id int, rn int, game_id_rs int"))
+    chunks = max(1, -(-taste.count() // block))
+    left = taste.select("game_id", "taste", F.pmod(F.xxhash64("game_id"), F.lit(chunks)).cast("int").alias("p"))
+    start = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks.first(k) - 1))))
+    best = _scored(start, blocks, k).checkpoint()
+    later = _scored(surviving_blocks(left, best, blocks, k), blocks, k)
+    rn = F.row_number().over(Window.partitionBy("game_id").orderBy(F.col("score").desc(), "game_id_rs"))
+    return _pipe_list(best.unionByName(later).withColumn("rn", rn).filter(F.col("rn") <= k))
+
+
 def als_lists(model: ALSModel, ratings: DataFrame, k: int = ALS_TOP, block: int = 1024) -> DataFrame:
     """One list per game: the games its owners score highest on average, the game itself left out.
 
     The mean score of a game over all owners is the owners' mean factors times the game's, so
-    owners are reduced to one row per game first, and only games meet games, in blocks.
+    owners are reduced to one row per game first, and only games meet games, in blocks bounded by norms.
     """
     owned = ratings.select("user_id", "game_id").distinct()
     taste = (
@@ -185,13 +324,4 @@ def als_lists(model: ALSModel, ratings: DataFrame, k: int = ALS_TOP, block: int
         .select("game_id", F.posexplode("features").alias("i", "x")).groupBy("game_id", "i").agg(F.avg("x").alias("x"))
         .groupBy("game_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda f: f["x"]).alias("taste"))
     )
-    games = model.itemFactors
-    blocks = -(-games.count() // block)
-    every = F.explode(F.sequence(F.lit(0), F.lit(max(blocks, 1) - 1)))
-    part = lambda c: F.pmod(F.xxhash64(c), F.lit(max(blocks, 1))).cast("int")
-    left = taste.withColumn("p", part("game_id")).withColumn("q", every)
-    right = games.withColumn("q", part("id")).withColumn("p", every)
-    scored = left.groupBy("p", "q").cogroup(right.groupBy("p", "q")).applyInPandas(
-        _block_scores(k), "game_id int, game_id_rs int, score double")
-    rn = F.row_number().over(Window.partitionBy("game_id").orderBy(F.col("score").desc(), "game_id_rs"))
-    return _pipe_list(scored.withColumn("rn", rn).filter(F.col("rn") <= k))
+    return factor_lists(taste, model.itemFactors, k, block)
