@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gamepulse.llm.common import ascii_lower
+from gamepulse.llm.common import ascii_lower, two_hashes
 
 
 class Rule(NamedTuple):
@@ -22,6 +22,7 @@ class Rule(NamedTuple):
     path: str
 
 
+SALTS = 64
 PAD, STOP = "\u0002", "\u0003"
 
 
@@ -49,19 +50,22 @@ def left_out(url: str, one_in: int) -> Column:
 
 
 def _grams(urls: DataFrame, order: int, keep: list[str]) -> DataFrame:
-    """One row per character of a URL (with an end sign): the character behind `order` before it."""
-    padded = F.concat(F.lit(PAD * order), "u", F.lit(STOP))
-    return (
-        urls.select(*keep, padded.alias("p"), F.explode(F.sequence(F.lit(1), F.length("u") + 1)).alias("i"))
-        .select(*keep, F.col("p").substr(F.col("i"), F.lit(order + 1)).alias("gram"))
-    )
+    """One row per character of a URL (with an end sign): the character behind `order` before it.
+
+    The characters are cut once, so a URL costs time in proportion to its length, and rows carry `keep` only.
+    """
+    chars = F.regexp_extract_all(F.concat(F.lit(PAD * order), "u", F.lit(STOP)), F.lit("(?s)."), F.lit(0))
+    cut = urls.select(*keep, chars.alias("chars"))
+    grams = F.transform(F.sequence(F.lit(1), F.size("chars") - order), lambda i: F.array_join(F.slice("chars", i, F.lit(order + 1)), ""))
+    return cut.select(*keep, F.explode(grams).alias("gram"))
 
 
 def model_ratios(train: DataFrame, wanted: DataFrame, order: int, alphabet: int = 256) -> DataFrame:
     """(gram, ratio): log10 of the accepted over the rejected probability of every wanted gram.
 
     `train` has gram, good, n. For a context seen n times before t different characters,
-    P(x) = (count(x) + t * P_shorter(x)) / (n + t); an unseen context passes on the shorter one.
+    P(x) = (count(x) + t * P_shorter(x)) / (n + t); an unseen context passes on the shorter one. The contexts of no
+    and one character, which all grams share, are met in SALTS copies.
     """
     suffixes = F.explode(F.expr(f"transform(sequence(0, {order}), k -> struct(k AS k, right(gram, k + 1) AS s))"))
     cut = lambda df, *more: df.select("gram", *more, suffixes.alias("x")).select(
@@ -72,8 +76,11 @@ def model_ratios(train: DataFrame, wanted: DataFrame, order: int, alphabet: int
     contexts = counts.groupBy("k", "c").agg(
         F.sum("ng").alias("cg"), F.sum("nb").alias("cb"),
         F.count_if(F.col("ng") > 0).alias("tg"), F.count_if(F.col("nb") > 0).alias("tb"))
+    short = F.col("k") < 2
+    salt = F.when(short, F.pmod(F.xxhash64("gram"), F.lit(SALTS))).otherwise(F.lit(0).cast("bigint")).alias("salt")
+    copies = F.explode(F.when(short, F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).otherwise(F.array(F.lit(0).cast("bigint")))).alias("salt")
     steps = (
-        cut(wanted).join(counts.drop("c"), ["k", "s"], "left").join(contexts, ["k", "c"], "left")
+        cut(wanted).join(counts.drop("c"), ["k", "s"], "left").select("*", salt).join(contexts.select("*", copies), ["k", "c", "salt"], "left")
         .groupBy("gram").agg(F.array_sort(F.collect_list(F.struct("k", "ng", "nb", "cg", "cb", "tg", "tb"))).alias("steps"))
     )
 
@@ -93,7 +100,7 @@ def filter_urls(
 ) -> DataFrame:
     """Per row: id, url, host, path, rule, verdict, score (null where a rule decides).
 
-    Distinct URLs are learnt from and scored once. One of `holdout` rule-judged URLs, by hash, is
+    Distinct URLs (told apart by 128 hashed bits) are learnt from and scored once, in time linear in their length. One of `holdout` rule-judged URLs, by hash, is
     left out of the models; the threshold lies between the mean ratios of held-out accepted and
     rejected URLs, nearer to the one that spreads less. With one kind only, the threshold is 0; with
     no rule-judged URL every ratio is 0 and the URL is allowed. A null URL has an empty host and path
@@ -105,13 +112,15 @@ def filter_urls(
     rows = rows.withColumns({"host": host, "path": path}).withColumns({
         "rule": matched_rule(F.col("host"), F.col("path"), rules, "name"),
         "judged": matched_rule(F.col("host"), F.col("path"), rules, "verdict"), "u": F.lower(F.coalesce("url", F.lit("")))})
-    urls = rows.groupBy("u").agg(F.max(F.col("judged") == "allow").alias("good"), F.max(F.col("rule").isNull()).alias("open"))
+    rows = rows.withColumn("key", two_hashes(F.col("u")))
+    urls = rows.groupBy("key", "u").agg(F.max(F.col("judged") == "allow").alias("good"), F.max(F.col("rule").isNull()).alias("open"))
     urls = urls.withColumn("held", F.col("good").isNotNull() & (left_out("u", holdout)))
     train = _grams(urls.filter(F.col("good").isNotNull() & ~F.col("held")), order, ["good"]).groupBy("gram", "good").agg(F.count("*").alias("n"))
     scored = urls.filter(F.col("open") | F.col("held"))
-    grams = _grams(scored, order, ["u", "good", "held", "open"])
+    grams = _grams(scored, order, ["key"]).groupBy("key", "gram").agg(F.count("*").alias("times"))
     ratios = model_ratios(train, grams.select("gram").distinct(), order)
-    scores = grams.join(ratios, "gram").groupBy("u", "good", "held", "open").agg(F.avg("ratio").alias("score"))
+    means = grams.join(ratios, "gram").groupBy("key").agg((F.sum(F.col("ratio") * F.col("times")) / F.sum("times")).alias("score"))
+    scores = scored.select("key", "good", "held", "open").join(means, "key")
     held = F.col("held")
     cut = scores.agg(
         F.avg(F.when(held & F.col("good"), F.col("score"))).alias("mg"), F.avg(F.when(held & ~F.col("good"), F.col("score"))).alias("mb"),
@@ -119,8 +128,8 @@ def filter_urls(
     ).select(F.coalesce(
         F.when(F.col("sg") + F.col("sb") > 0, (F.col("mg") * F.col("sb") + F.col("mb") * F.col("sg")) / (F.col("sg") + F.col("sb")))
         .otherwise((F.col("mg") + F.col("mb")) / 2), F.lit(0.0)).alias("threshold"))
-    judged = scores.filter("open").select("u", "score", (F.col("score") >= cut.scalar()).alias("pass"))
-    free = rows.filter(F.col("rule").isNull()).join(judged, "u").select(
+    judged = scores.filter("open").select("key", "score", (F.col("score") >= cut.scalar()).alias("pass"))
+    free = rows.filter(F.col("rule").isNull()).join(judged, "key").select(
         "id", "url", "host", "path", "rule", F.when(F.col("pass"), "allow").otherwise("block").alias("verdict"), "score")
     ruled = rows.filter(F.col("rule").isNotNull()).select(
         "id", "url", "host", "path", "rule", F.col("judged").alias("verdict"), F.lit(None).cast("double").alias("score"))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -331,6 +332,17 @@ def brute_ratio(train, urls, order=4):
     return out
 
 
+def test_long_open_urls_take_linear_time(spark):
+    """A URL of 200,000 characters that no rule decides, beside short ones."""
+    urls = ["http://good.org/fr/a", "http://bad.net/x", "http://open.de/" + "ab/é" * 50_000, "http://open.de/\U0001F600x", None, ""]
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    begin = time.perf_counter()
+    got = {r["page_id"]: r for r in filter_urls(frame, [Rule("allow", "org", "/"), Rule("block", "net", "/")], holdout=1 << 20).collect()}
+    assert len(got) == len(urls) and time.perf_counter() - begin < 60
+    want = brute_ratio([(urls[0], True), (urls[1], False)], [urls[3], ""])
+    assert abs(got[3]["score"] - want[urls[3]]) < 1e-9 and abs(got[4]["score"] - want[""]) < 1e-9
+
+
 def test_url_rules_and_ratio(spark, table):
     rng = random.Random(2)
     urls = [f"http://{rng.choice(['good', 'bad'])}{rng.choice('abc')}.{rng.choice(['org', 'net'])}/{rng.choice(['fr', 'xx'])}/{rng.choice('qwz') * 3}" for _ in range(120)]
