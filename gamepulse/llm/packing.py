@@ -208,9 +208,10 @@ class Words:
             return np.zeros(len(words), bool)
         return self.words[np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)] == words
 
-    def ids_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the words, which must be there, in a row, and how many each has."""
+    def ids_of(self, words: np.ndarray, uses: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, which must be there, in a row, and how many each has; `uses` numbers the words used."""
         place = np.searchsorted(self.words, words)
+        place = place if uses is None else place[uses]
         at, n = self.at[place], self.n[place]
         begin = np.cumsum(n, dtype=np.int64) - n
         return self.pool[np.repeat(at - begin, n) + np.arange(n.sum(dtype=np.int64))], n
@@ -233,12 +234,12 @@ class WordTokens:
     white space and before a mark behind a letter; whatever else parts a word, the tokenizer parts
     itself. Words with "<|" keep their case, which special tokens depend on.
 
-    Known words are kept in two generations of at most `limit` words (about 30 bytes each, so 2 x 8 MB):
+    Known words are kept in two generations of at most `limit` words (about 30 bytes each, so 2 x 16 MB):
     when the younger is full it becomes the older one, and words in use move over from there. A block's own
     words come on top while it is encoded.
     """
 
-    def __init__(self, path: str, limit: int = 1 << 18):
+    def __init__(self, path: str, limit: int = 1 << 19):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -276,10 +277,10 @@ class WordTokens:
         if not len(starts):
             return np.zeros(0, self.kind), np.zeros(len(first), np.int64)
         hashes = span_hashes(data, starts, ends)
-        words, sample = np.unique(hashes, return_index=True)
+        words, sample, uses = np.unique(hashes, return_index=True, return_inverse=True)
         body = data.tobytes()
         self.learn(words, lambda at: [body[a:b].decode() for a, b in zip(starts[sample[at]].tolist(), ends[sample[at]].tolist())])
-        ids, n = self.young.ids_of(hashes)
+        ids, n = self.young.ids_of(words, uses)
         if len(self.young.words) > self.limit:
             self.old, self.young = self.young if len(self.young.words) <= 2 * self.limit else Words(self.kind), Words(self.kind)
         return ids, np.concatenate([[0], np.cumsum(n, dtype=np.int64)])[first]
