@@ -31,6 +31,8 @@ def seconds(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    # Python workers import the package from here, wherever the bench was started.
+    os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [os.path.dirname(os.path.abspath(__file__)), os.environ.get("PYTHONPATH")]))
     spark = build_session(
         f"local[{cpus}]", shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
         **{"spark.driver.memory": "20g", "spark.ui.showConsoleProgress": "false"},
