@@ -433,6 +433,7 @@ add("stream_base_kpi", f"""
     *BASE_VIEWS, "fx_game_sdk", "fx_pkg", "fx_pkg_day")
 ADDITIVE = MEASURES[:-1]
 DAY_SUMS = ", ".join(f"cast(sum({m}) as {'double' if m == 'pay_money' else 'bigint'}) as {m}" for m in ADDITIVE)
+ORACLES["stream_keyed_kpi"] = ORACLES["stream_base_kpi"]
 add("stream_base_kpi_day", f"""
     select * from (select {day('publish_time')} as publish_date, game_id, parent_channel, child_channel, ad_label, {DAY_SUMS}
                    from {BASE_KPI.replace("cast(sum(pay_money) as double)", "sum(pay_money)")} k group by 1, 2, 3, 4, 5) t

@@ -18,7 +18,7 @@ from gamepulse.session import new_folder
 from gamepulse.sources.fixtures import VIEWS, fixture_tables, log_lines
 from gamepulse.sources.streams import file_lines
 from gamepulse.sources.tables import Tables, text_lines
-from gamepulse.streaming.jobs import KeyedKpiJob, SideJob
+from gamepulse.streaming.jobs import BaseKpiJob, KeyedKpiJob, SideJob
 from gamepulse.streaming.run import BatchFn, run_available
 from gamepulse.streaming.store import MergeTable
 from gamepulse.streaming.windows import channel_hours
@@ -70,9 +70,9 @@ def base_kpi_steps(t: Tables) -> list[DataFrame]:
     ]
 
 
-def base_kpi_job(t: Tables, folder: str) -> KeyedKpiJob:
+def base_kpi_job(t: Tables, folder: str, kind: type[BaseKpiJob] = BaseKpiJob) -> BaseKpiJob:
     dims = {"game_sdk": t["fx_game_sdk"], "pkg": t["fx_pkg"], "pkg_day": t["fx_pkg_day"]}
-    return KeyedKpiJob(f"{folder}/tables", dims)
+    return kind(f"{folder}/tables", dims)
 
 
 def keyed_lines(spark: SparkSession, steps: Iterable[DataFrame], folder: str, job: KeyedKpiJob) -> None:
@@ -86,6 +86,16 @@ ATTRIBUTES = ("parent_game_id", "os", "group_id", "medium_account", "promotion_c
 def stream_base_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, folder = fixture_tables(spark, sf_dir), new_folder(spark, "base-kpi")
     job = base_kpi_job(t, folder)
+    stream_lines(spark, base_kpi_steps(t), folder, job.process)
+    rows = job.kpi_hour.read(spark).select(*KEY_COLUMNS, *STREAM_MEASURES, "pay_account_num", *ATTRIBUTES)
+    return rows.withColumn("pay_money", F.col("pay_money").cast("double"))
+
+
+@register
+def stream_keyed_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same hours from keyed state, without reading what earlier batches stored."""
+    t, folder = fixture_tables(spark, sf_dir), new_folder(spark, "keyed-kpi")
+    job = base_kpi_job(t, folder, KeyedKpiJob)
     keyed_lines(spark, base_kpi_steps(t), folder, job)
     rows = job.kpi_hour.read(spark).select(*KEY_COLUMNS, *STREAM_MEASURES, "pay_account_num", *ATTRIBUTES)
     return rows.withColumn("pay_money", F.col("pay_money").cast("double"))
@@ -95,7 +105,7 @@ def stream_base_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_base_kpi_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, folder = fixture_tables(spark, sf_dir), new_folder(spark, "base-kpi-day")
     job = base_kpi_job(t, folder)
-    keyed_lines(spark, base_kpi_steps(t), folder, job)
+    stream_lines(spark, base_kpi_steps(t), folder, job.process)
     rows = job.kpi_day.read(spark).select("publish_date", *KEY_COLUMNS[1:], *STREAM_MEASURES)
     return rows.withColumn("pay_money", F.col("pay_money").cast("double"))
 
