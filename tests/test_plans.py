@@ -57,8 +57,31 @@ def test_running_total_uses_no_single_partition_window(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("t"), F.lit(1).alias("v"))
     out = running_total(df, ["t"], "v", "total")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    rows_window = [ln for ln in plan.splitlines() if "Window [" in ln and "windowspecdefinition(_part" in ln]
-    assert any("windowspecdefinition(_part#" in ln and "t#" in ln for ln in rows_window)
+    windows = [ln for ln in plan.splitlines() if "windowspecdefinition(" in ln]
+    assert windows and all("sum(_sum#" in ln and "windowspecdefinition(_part#" in ln for ln in windows)
+
+
+def test_running_total_moves_rows_once(spark):
+    """After the range shuffle, only the totals of the partitions are exchanged."""
+    df = spark.range(1000).select(F.col("id").cast("string").alias("t"), F.lit(1).alias("v"))
+    plan = running_total(df, ["t"], "v", "total")._jdf.queryExecution().executedPlan().toString()
+    moved = [ln for ln in plan.splitlines() if "Exchange " in ln and "BroadcastExchange" not in ln]
+    assert moved and "SortMergeJoin" not in plan
+    below = plan.splitlines()
+    start = next(i for i, ln in enumerate(below) if "BroadcastExchange" in ln)
+    assert all(below.index(ln) > start for ln in moved)
+
+
+def test_running_total_carries_over_batches(spark):
+    """Partitions of several record batches, names that need quoting and an empty partition."""
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(500).select(F.format_string("%04d", "id").alias("a b"), F.col("id").cast("int").alias("v"))
+        got = {r["a b"]: r["total"] for r in running_total(df, ["a b"], "v", "total").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == {f"{i:04d}": i * (i + 1) // 2 for i in range(500)}
 
 
 def test_expand_copies_in_blocks(spark):
