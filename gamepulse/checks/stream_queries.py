@@ -17,11 +17,11 @@ from gamepulse.schema import STREAM_MEASURES
 from gamepulse.session import new_folder
 from gamepulse.sources.fixtures import VIEWS, fixture_tables, log_lines
 from gamepulse.sources.streams import file_lines
-from gamepulse.sources.tables import Tables, text_lines
+from gamepulse.sources.tables import Tables
 from gamepulse.streaming.jobs import BaseKpiJob, KeyedKpiJob, SideJob
 from gamepulse.streaming.run import BatchFn, run_available
 from gamepulse.streaming.store import MergeTable
-from gamepulse.streaming.windows import channel_hours
+from gamepulse.streaming.windows import WINDOW_KEYS, WindowJob, channel_hours
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TIMES = {"fx_channel": "channel_time", "fx_order": "order_time", "fx_login": "login_time", "fx_active": "update_time"}
@@ -142,9 +142,6 @@ def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return job.os_day.read(spark)
 
 
-WINDOW_KEYS = {"publish_time": "string", "type": "int", "game_id": "int", "expand_channel": "string"}
-
-
 def _window_counts(spark: SparkSession, folder: str, steps: list[DataFrame], delay: str) -> DataFrame:
     table = MergeTable(f"{folder}/hours", WINDOW_KEYS, {"event_num": "bigint"})
 
@@ -178,10 +175,9 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, folder = fixture_tables(spark, sf_dir), new_folder(spark, "late-rows")
     day = P.LATE_SPLIT_DAY
     steps = [log_lines(in_days(t, since=day), "channel"), log_lines(in_days(t, before=day), "channel")]
-    counted = _window_counts(spark, folder, steps, "1 hour")
-    on_time = counted.groupBy("publish_time").agg(F.sum("event_num").alias("on_time_num"))
-    hour = F.substring_index(F.get(F.split("value", r"\|"), F.lit(4)), ":", 1).alias("publish_time")
-    lines = text_lines(spark, f"{folder}/lines/*").groupBy(hour).agg(F.count(F.lit(1)).alias("all_num"))
-    both = lines.join(on_time, "publish_time", "left")
-    seen = F.coalesce("on_time_num", F.lit(0))
-    return both.select("publish_time", seen.alias("on_time_num"), (F.col("all_num") - seen).alias("late_num"))
+    job = WindowJob(f"{folder}/tables", "1 hour")
+    stream_lines(spark, steps, folder, job.process)
+    sums = [t.read(spark).groupBy("publish_time").agg(F.sum("event_num").alias(n))
+            for t, n in ((job.hours, "on_time_num"), (job.late, "late_num"))]
+    both = sums[0].join(sums[1], "publish_time", "full")
+    return both.select("publish_time", *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in ("on_time_num", "late_num")])

@@ -8,6 +8,7 @@ from gamepulse.sources.fixtures import fixture_tables, log_lines
 from gamepulse.sources.streams import file_lines
 from gamepulse.streaming.jobs import BaseKpiJob, PointsJob, SideJob
 from gamepulse.streaming.run import run_available
+from gamepulse.streaming.windows import WindowJob
 
 HEAD = "2024-01-01 00:00:00,000 [INFO] bi: "
 HOUR = ["publish_time", "game_id", "parent_channel", "child_channel", "ad_label"]
@@ -158,3 +159,25 @@ def test_a_small_batch_writes_only_the_keys_it_touches(spark, dims, tmp_path):
     spark.catalog.clearCache()
     deltas = job.kpi_hour.deltas(spark).filter("batch_id = '1'")
     assert {r["publish_time"] for r in deltas.collect()} <= {"2024-01-10 03", "2024-01-10 05"} and deltas.count() > 0
+
+
+def test_window_job_counts_late_rows_and_repeats(spark, tmp_path):
+    """A batch is judged by the batches before it, also when it comes again later; bad times are kept."""
+    def events(*times):
+        return text(spark, *[f"bi_channel|1|a_b_c||{t}|7|x|1" for t in times])
+
+    job = WindowJob(str(tmp_path / "t"), "1 hour")
+    first = events("2024-01-01 12:10:00", "2024-01-01 02:00:00")
+    second = events("2024-01-01 10:59:00", "2024-01-01 11:00:00", "2024-01-01 10:05:00", "no time")
+    job.process(first, 0)
+    job.process(second, 1)
+    job.process(events("2024-01-03 00:00:00"), 2)
+    job.process(second, 1)  # comes again after a later batch
+    job.process(text(spark), 3)
+
+    def counts(table):
+        return {r["publish_time"]: r["event_num"] for r in table.read(spark).collect()}
+
+    assert counts(job.hours) == {"2024-01-01 12": 1, "2024-01-01 02": 1, "2024-01-01 11": 1, "2024-01-03 00": 1}
+    assert counts(job.late) == {"2024-01-01 10": 2}
+    assert [r["kind"] for r in job.rejects.read(spark).collect()] == ["time"]
