@@ -104,9 +104,11 @@ def _best(k: int, window: int):
             scores[np.abs(rank[part][:, None] - rank[mine][None, :]) > window] = -np.inf
             cut = np.partition(scores, -k, axis=1)[:, -k] if len(mine) > k else np.full(len(part), -np.inf)
             for q, row, low in zip(part, scores, cut):
-                at = np.flatnonzero((row >= low) & np.isfinite(row))
-                at = at[np.lexsort((rep[mine[at]], -row[at]))[:k]]
-                out.append(pd.DataFrame({"query_rep": rep[q], "rep": rep[mine[at]], "score": row[at]}))
+                # The matrix product rounds by the shape of the block; row by row, a pair has one score everywhere.
+                at = np.flatnonzero((row >= low - 1e-9 * abs(low)) & np.isfinite(row)) if np.isfinite(low) else np.flatnonzero(np.isfinite(row))
+                score = (x[mine[at]] * x[q]).sum(axis=1)
+                best = np.lexsort((rep[mine[at]], -score))[:k]
+                out.append(pd.DataFrame({"query_rep": rep[q], "rep": rep[mine[at[best]]], "score": score[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_rep": [], "rep": [], "score": []})
 
     return run
@@ -114,7 +116,7 @@ def _best(k: int, window: int):
 
 def nearest(
     vectors: DataFrame, is_query: Column | str, k: int = 20, curves: int = 16, dims: int = 6, bits: int = 10,
-    window_share: float = 0.05, min_window: int = 256, block_rows: int = 4096, seed: int = 3,
+    window_share: float = 0.05, min_window: int = 256, block_rows: int = 4096, group_queries: int = 8192, seed: int = 3,
     id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest inner products found, in double precision.
@@ -122,8 +124,9 @@ def nearest(
     Queries are the rows where `is_query` holds; candidates all rows but those with the query's
     id. Equal scores go to the smaller id. The window is window_share of the different vectors to
     each side, at least min_window: for vectors without structure in 64 dimensions a smaller share
-    does not reach 0.9 recall. A block of a curve is one task's work: block_rows vectors and the
-    queries within reach.
+    does not reach 0.9 recall. One group of work is a block of a curve, block_rows vectors, and about
+    group_queries of the queries within reach, however many reach it: they are dealt by a hash, and
+    the block is sent once to each deal.
 
     Left out: null vectors, those with a null or non-finite part, all-zero ones, rows without id, and
     those of another length than the commonest. Repeated rows count once. Equal vectors are
@@ -168,12 +171,18 @@ def nearest(
     ranked = ranked.withColumn("rank", at[F.col("part")] + F.col("local") - F.col("curve") * F.lit(n))  # each curve has n places
     reach = -(-window // block_rows)
     own = F.floor(F.col("rank") / block_rows).cast("int")
+    loads = ranked.groupBy("curve", own.alias("block")).agg(F.sum(F.col("asks").cast("long")).alias("asking"))  # a row per block
+    within = Window.partitionBy("curve").orderBy("block").rangeBetween(-reach, reach)
+    deals = loads.select("curve", "block", F.greatest(F.lit(1), F.ceil(F.sum("asking").over(within) / group_queries)).cast("int").alias("deals"))
+    deals = written(deals, "ann-deals")
     last = (n - 1) // block_rows
-    base = ranked.select("curve", own.alias("block"), "rank", "rep", "embedding", F.lit(False).alias("query"))
+    base = ranked.select("curve", own.alias("block"), "rank", "rep", "embedding", F.lit(False).alias("query")).join(deals, ["curve", "block"])
+    base = base.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
     asked = ranked.filter("asks").select(
         "curve", F.explode(F.sequence(F.greatest(own - reach, F.lit(0)), F.least(own + reach, F.lit(last)))).alias("block"), "rank", "rep", "embedding",
-        F.lit(True).alias("query"))
-    found = base.union(asked).groupBy("curve", "block").applyInPandas(_best(k + 1, window), "query_rep long, rep long, score double")
+        F.lit(True).alias("query")).join(deals, ["curve", "block"])
+    asked = asked.withColumn("deal", F.pmod(F.xxhash64("rep"), F.col("deals")).cast("int"))
+    found = base.union(asked).drop("deals").groupBy("curve", "block", "deal").applyInPandas(_best(k + 1, window), "query_rep long, rep long, score double")
     by_query = Window.partitionBy("query_rep").orderBy(F.col("score").desc(), "rep")
     merged = (
         found.groupBy("query_rep", "rep").agg(F.max("score").alias("score"))

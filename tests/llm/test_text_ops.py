@@ -569,6 +569,9 @@ def test_nearest_recall_and_cases(spark):
         assert [tuple(t) for t in own[["score", "vec_id"]].values] == sorted((tuple(t) for t in own[["score", "vec_id"]].values), key=lambda t: (-t[0], t[1]))
         hit += len(set(np.lexsort((np.arange(1500), -scores))[:20]) & set(own.vec_id))
     assert len(got) == 75 * 20 and hit >= 0.9 * len(got)
+    dealt = nearest(frame, "vec_id % 20 = 0", k=20, min_window=100, window_share=0.1, block_rows=64, group_queries=3).toPandas()
+    order = ["query_id", "rank"]
+    assert dealt.sort_values(order).reset_index(drop=True).equals(got.sort_values(order).reset_index(drop=True))
     assert nearest(frame.filter("vec_id > 4999"), "true").count() == 0 and nearest(frame.filter("false"), "true").count() == 0
     assert nearest(frame.filter("vec_id < 3"), "vec_id = 0").count() == 2
 
