@@ -496,6 +496,7 @@ add("offline_kpi_day", f"""
         from (select t as publish_date, game_id, {parts('ch')}, pay_money, regi, devices from ({DAY_PARTS}) p) k
         where {FITS} group by 1, 2, 3, 4, 5) d
     left join {ATTRIBUTES} a on a.old_game_id = d.game_id""", "fx_order", "fx_regi", "fx_game_sdk")
+ORACLES["offline_by_day"] = ORACLES["pay_money_day"]
 add("offline_game_day", f"""
     select publish_date, game_id, os, group_id, parent_game_id, regi_device_num from (
         select {day('reg_time')} as publish_date, game_id, count(distinct imei) as regi_device_num from fx_regi

@@ -11,6 +11,7 @@ from gamepulse.checks import stream_queries
 from gamepulse.functions.channel import PARTS, default_channel, gate_channel, split_channel
 from gamepulse.functions.times import access_log_hour, day_range
 from gamepulse.operators.accounts import listed_games
+from gamepulse.operators.day_table import DayTable
 from gamepulse.operators.dims import enrich_game_group, enrich_packages
 from gamepulse.operators.merge import INCREMENT, INSERT_ONLY, OVERWRITE, insert_or_touch, upsert
 from gamepulse.plans import activity, bills, cohort, kpi_batch, kpi_stream, points, recommend, side, sketches
@@ -208,6 +209,20 @@ def offline_game_day(t: Tables) -> DataFrame:
     return jobs.results(_offline(t))["game_day"].read(t["fx_order"].sparkSession)
 
 
+@register
+def offline_by_day(t: Tables) -> DataFrame:
+    """Daily revenue from a table by day: a run that missed one day's afternoon, then a rerun of that day."""
+    spark, regi, sdk = t["fx_order"].sparkSession, t["fx_regi"], t["fx_game_sdk"]
+    table = DayTable(new_folder(spark, "by-day"))
+    rerun = P.LATE_SPLIT_DAY
+    missed = (F.col("order_time") >= f"{rerun} 12") & (F.col("order_time") <= f"{rerun} 24")
+    rows = kpi_batch.pay_money_day(t["fx_order"].filter(~missed), regi, sdk, *RANGE)
+    table.write(rows, "publish_time", *RANGE)
+    table.write(kpi_batch.pay_money_day(t["fx_order"], regi, sdk, rerun, rerun), "publish_time", rerun, rerun)
+    schema = ", ".join(f"{n} {k}" for n, k in rows.dtypes)
+    return _double(table.read(spark, schema, *RANGE).drop("day"), "pay_money")
+
+
 @register
 def offline_rejects(t: Tables) -> DataFrame:
     """How many rows the job refused, per result."""

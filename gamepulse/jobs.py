@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from gamepulse import schema as S
 from gamepulse.functions.channel import fold_channel, gate_channel, split_channel
 from gamepulse.functions.times import day_range
+from gamepulse.operators.day_table import DayTable
 from gamepulse.operators.dims import game_attributes
 from gamepulse.operators.merge import OVERWRITE, zero_stale
 from gamepulse.plans import bills, cohort, kpi_batch, recommend
@@ -76,12 +77,23 @@ def _keep_rejects(args: argparse.Namespace, **frames: DataFrame) -> None:
     rejects_table(args.out).write(reduce(DataFrame.unionByName, texts), args.job, args.run_id)
 
 
+def by_day(table: MergeTable, args: argparse.Namespace) -> DayTable:
+    return DayTable(f"{args.out}/by_day/{args.job}/{table.path.rsplit('/', 1)[1]}")
+
+
 def _overwrite(table: MergeTable, rows: DataFrame, args: argparse.Namespace) -> None:
-    """Write one result; with --zero-stale, stored keys of the same days it lacks become zero."""
+    """Write one result; with --zero-stale, stored keys of the same days it lacks become zero.
+
+    With --by-day, a result of whole days goes to the job's own day table instead, which needs no zeroes.
+    """
     names = [c for c in rows.columns if c in table.values]
+    time_col = next(iter(table.keys))
+    if args.by_day and time_col in ("publish_time", "publish_date") and args.start and args.end:
+        typed = [F.col(c).cast(t).alias(c) for c, t in {**table.keys, **table.values}.items() if c in rows.columns]
+        by_day(table, args).write(rows.select(*typed), time_col, args.start, args.end)
+        return
     if args.zero_stale and args.start and args.end:
         measures = [c for c in names if table.values[c] != "string"]
-        time_col = next(iter(table.keys))
         stored = day_range(table.read(rows.sparkSession, *measures), time_col, args.start, args.end)
         rows = zero_stale(stored, rows, list(table.keys), measures)
     table.write(rows, args.job, args.run_id, {c: OVERWRITE for c in names}, unique=True)
@@ -216,6 +228,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--day", help="cohort day, or the only day of first payments")
     p.add_argument("--run-id", default=datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f"))
     p.add_argument("--zero-stale", action="store_true", help="zero stored keys of the days that no longer qualify")
+    p.add_argument("--by-day", action="store_true", help="keep KPI results as the job's own tables partitioned by day; a rerun replaces its days")
     p.add_argument("--approximate", action="store_true", help="count accounts and devices of a day by sketches, within about two percent")
     p.add_argument("--brokers")
     p.add_argument("--topics", default="")
