@@ -15,7 +15,7 @@ from gamepulse.operators.merge import INCREMENT, INSERT_ONLY, zero_stale
 from gamepulse.plans import kpi_stream, points, side
 from gamepulse.sources import logs
 from gamepulse.streaming.account_state import account_changes, account_events
-from gamepulse.streaming.run import held
+from gamepulse.streaming.run import held, together
 from gamepulse.streaming.store import AppendTable, MergeTable
 
 Dims = Mapping[str, DataFrame]
@@ -76,10 +76,9 @@ class BaseKpiJob:
             self._count(lines, batch_id)
 
     def _remember(self, lines: DataFrame, batch_id: int) -> None:
-        self.games.write(logs.parse(lines, "pubgame"), self.writer, batch_id, {})
-        self.regi.write(logs.parse(lines, "regi"), self.writer, batch_id, {})
         first = kpi_stream.first_payments(logs.parse(lines, "order"), self.run_date)
-        self.first_paid.write(first, self.writer, batch_id, {})
+        kept = ((self.games, logs.parse(lines, "pubgame")), (self.regi, logs.parse(lines, "regi")), (self.first_paid, first))
+        together(lines.sparkSession, *[lambda t=t, r=r: t.write(r, self.writer, batch_id, {}) for t, r in kept])
 
     def _count(self, lines: DataFrame, batch_id: int) -> None:
         spark = lines.sparkSession
@@ -100,13 +99,16 @@ class BaseKpiJob:
         # Kept with the rows the gate turns down, so all three outputs share one computation.
         with held(rich) as rich:
             hours, gated = gate_channel(rich)
-            self.kpi_hour.write(hours, self.writer, batch_id, policy, unique=True)
             # Attributes depend on game, package and day only, so the days inherit them.
             days = kpi_stream.days_from_hours(hours.drop("pay_account_num"), measures)
             days = kpi_stream.nonzero(days, measures)
-            self.kpi_day.write(days, self.writer, batch_id, S.STREAM_DAY_POLICY, unique=True)
+            writes = [
+                lambda: self.kpi_hour.write(hours, self.writer, batch_id, policy, unique=True),
+                lambda: self.kpi_day.write(days, self.writer, batch_id, S.STREAM_DAY_POLICY, unique=True),
+            ]
             if self.keep_rejects:
-                self.rejects.write(self._rejects(lines, gated), self.writer, batch_id)
+                writes.append(lambda: self.rejects.write(self._rejects(lines, gated), self.writer, batch_id))
+            together(lines.sparkSession, *writes)
 
     def _pay_accounts(self, lines: DataFrame, regi: DataFrame, games: DataFrame) -> DataFrame:
         """Counts of the days and games the batch touches; hours that lost all accounts become zero."""

@@ -1,9 +1,11 @@
 """Starting a micro-batch job on a stream of lines."""
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -31,3 +33,14 @@ def held(rows: DataFrame) -> Iterator[DataFrame]:
         yield kept
     finally:
         kept.unpersist()
+
+
+def together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Run writes that do not read each other's results at the same time, so that small ones share the cluster.
+
+    Returns when all have ended; the first error is raised then, and the batch comes again as a whole.
+    """
+    with ThreadPoolExecutor(len(writes)) as pool:
+        ended = [pool.submit(inheritable_thread_target(spark)(w)) for w in writes]
+    for e in ended:
+        e.result()
