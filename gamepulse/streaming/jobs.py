@@ -108,7 +108,10 @@ class BaseKpiJob:
             ]
             if self.keep_rejects:
                 writes.append(lambda: self.rejects.write(self._rejects(lines, gated), self.writer, batch_id))
-            together(lines.sparkSession, *writes)
+            self._run(lines.sparkSession, *writes)
+
+    def _run(self, spark, *writes) -> None:
+        together(spark, *writes)
 
     def _pay_accounts(self, lines: DataFrame, regi: DataFrame, games: DataFrame) -> DataFrame:
         """Counts of the days and games the batch touches; hours that lost all accounts become zero."""
@@ -167,6 +170,11 @@ class KeyedKpiJob(BaseKpiJob):
         changes = account_changes(account_events(raw, self.run_date))
         return raw.unionByName(changes, allowMissingColumns=True)
 
+    def _run(self, spark, *writes) -> None:
+        """One after the other: the rows of a batch come out of the state store."""
+        for write in writes:
+            write()
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         with held(batch) as rows:
             if rows.isEmpty():
