@@ -58,7 +58,8 @@ def run_buckets(texts: pa.Array, longest: int, buckets: int) -> tuple[np.ndarray
 
     Within a text, runs of one word come first, then those of two, and so on.
     """
-    lists = pc.split_pattern_regex(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")), GAPS)
+    # Lower-cased before the cast: pyarrow 23 lower-cases the wrong bytes of a slice that was cast to large strings.
+    lists = pc.split_pattern_regex(pc.ascii_lower(texts).cast(pa.large_string()).fill_null(""), GAPS)
     flat, offsets = pc.list_flatten(lists), lists.offsets.to_numpy() - lists.offsets[0].as_py()
     full = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
     first = np.concatenate([[0], np.cumsum(full)])[offsets]

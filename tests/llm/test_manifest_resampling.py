@@ -91,6 +91,15 @@ def test_buckets_of_runs(longest):
     assert len(run_buckets(pa.array([None, ""], pa.string()), longest, 10)[0]) == 0
 
 
+def test_buckets_of_a_slice():
+    """Blocks are slices of record batches; those without a null once gave other words."""
+    texts = ["One two three", "Été B", "four FIVE", "C", "six"]
+    for start in range(len(texts)):
+        got, ends = run_buckets(pa.array(texts, pa.string()).slice(start, 2), 2, 10_000)
+        for text, a, b in zip(texts[start:start + 2], ends[:-1], ends[1:]):
+            assert sorted(got[a:b].tolist()) == sorted(zlib.crc32(r.encode()) % 10_000 for r in brute_runs(text, 2)[1])
+
+
 def test_resampling_equals_brute_force(spark, docs):
     rng = random.Random(5)
     rows = list(enumerate(TEXTS)) + [(20 + i, " ".join(f"w{rng.randrange(60)}" for _ in range(rng.randrange(5, 60)))) for i in range(60)]
