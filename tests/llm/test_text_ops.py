@@ -236,6 +236,17 @@ def test_many_labels_and_least_cosine(docs):
     assert 0.4 < least <= 0.5 and language_id.least_cosine(docs([]), learnt) == 0 and language_id.least_cosine(docs(rows), {}) == 0
 
 
+def test_least_cosine_sees_every_text(docs):
+    """One rare far text in 200 is the quantile, whatever its hash; once only texts of small hashes were judged."""
+    learnt = learn_prototypes(docs([(0, "the cat and the dog", "en")]))
+    far = docs([(i, f"the c{'xyzvw'[i % 5]}{'bgjkq'[i // 5]}", "en") for i in range(25)])
+    unseen = far.filter("pmod(xxhash64(text), 1 << 30) >= 0.9 * (1 << 30)").first()["text"]
+    rows = docs([(i, unseen if i % 200 == 0 else "the cat and the dog", "en") for i in range(20_000)])
+    own = identify(docs([(0, unseen, "en")]), learnt).first()["score"]
+    assert own < 0.9 and language_id.least_cosine(rows, learnt) == own / 2
+    assert language_id.least_cosine(identify(rows, learnt), learnt, judged=("lang_pred", "score")) == own / 2
+
+
 # ---- 3: packing
 
 def check_packing(rows, got, capacity):
