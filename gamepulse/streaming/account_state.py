@@ -1,7 +1,7 @@
 """Keyed state of a stream: what is known of each account, and what a micro-batch changes in its counts.
 
-An account keeps its distinct registrations and its first paid order of every day and game. A batch meets only the
-states of the accounts it names, so its work does not depend on how much was stored before.
+An account keeps its distinct registrations and its first paid order of every day and game. Accounts share states by
+a hash; a batch meets only the states its accounts are in.
 """
 
 import json
@@ -28,6 +28,7 @@ CHANGES = (
     "publish_time string, game_id int, expand_channel string, regi_games string, pay_money decimal(38,2), pay_account_num bigint"
 )
 STATE = "known string"
+ACCOUNT_BUCKETS = 1 << 13
 EVENT_KEYS = ["game_account", "kind", "game_id", "expand_channel", "resource_id", "time"]
 
 
@@ -71,40 +72,62 @@ def _positions(regi: dict, first: dict, days: list[str]) -> Counter:
     return Counter((first[d].split(":")[0], int(d.split("|")[1]), channel, games) for d in days if d in first for channel, games in sets.items())
 
 
+def _learn(known: list, events: Iterator[tuple]) -> tuple[dict, list[str]]:
+    """Adds an account's events to what is known of it; its amounts per (hour, game) and the days to count again."""
+    regi, first = known  # {channel: {game: [id and time]}}, {day|game: time}
+    amounts, touched, joined = {}, set(), False
+    for kind, game, channel, resource, time, amount, paid in events:
+        if kind == REGISTERED:
+            games = regi.setdefault(channel, {})
+            joined |= str(game) not in games
+            known = games.setdefault(str(game), [])
+            if (one := f"{int(resource)}|{time}") not in known:
+                known.append(one)
+        elif kind == AMOUNT:
+            amounts[time, game] = amounts.get((time, game), Decimal(0)) + amount
+        else:
+            day = f"{time}|{game}"
+            if day not in first or paid < first[day]:
+                first[day] = paid
+                touched.add(day)
+    return amounts, list(first) if joined else sorted(touched)
+
+
 def _change(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    regi, first = json.loads(state.get[0]) if state.exists else ({}, {})  # {channel: {game: [id and time]}}, {day|game: time}
-    before, amounts, touched, joined = json.loads(json.dumps([regi, first])), {}, set(), False
+    """One bucket of accounts. What its accounts move is added up; their states are kept side by side."""
+    accounts = json.loads(state.get[0]) if state.exists else {}
+    events: dict[str, list[tuple]] = {}
     for frame in frames:
-        for kind, game, channel, resource, time, amount, paid in frame[EVENT_KEYS[1:] + ["amount", "first"]].itertuples(index=False):
-            if kind == REGISTERED:
-                games = regi.setdefault(channel, {})
-                joined |= str(game) not in games
-                known = games.setdefault(str(game), [])
-                if (one := f"{int(resource)}|{time}") not in known:
-                    known.append(one)
-            elif kind == AMOUNT:
-                amounts[time, game] = amounts.get((time, game), Decimal(0)) + amount
-            else:
-                day = f"{time}|{game}"
-                if day not in first or paid < first[day]:
-                    first[day] = paid
-                    touched.add(day)
-    state.update((json.dumps([regi, first]),))
-    days = list(first) if joined else sorted(touched)
-    moved = _positions(regi, first, days)
-    moved.subtract(_positions(*before, days))
-    rows = [(*place, None, n) for place, n in moved.items() if n]
-    rows += [
-        (hour, game, channel, listed, amount * len(known), None)
-        for (hour, game), amount in amounts.items() for channel, games in regi.items() for listed, known in games.items()]
-    yield pd.DataFrame(rows, columns=[f.split()[0] for f in CHANGES.split(", ")]).astype({"pay_account_num": "Int64"})
-
-
-def account_changes(events: DataFrame) -> DataFrame:
+        columns = [frame[c] for c in ["game_account", *EVENT_KEYS[1:], "amount", "first"]]
+        for account, *event in zip(*columns):
+            events.setdefault(account, []).append(event)
+    moved, money = Counter(), {}
+    for account, own in events.items():
+        known = accounts.setdefault(account, [{}, {}])
+        before = json.loads(json.dumps(known))
+        amounts, days = _learn(known, own)
+        moved.update(_positions(*known, days))
+        moved.subtract(_positions(*before, days))
+        for (hour, game), amount in amounts.items():
+            for channel, games in known[0].items():
+                for listed, times in games.items():
+                    place = (hour, game, channel, listed)
+                    money[place] = money.get(place, Decimal(0)) + amount * len(times)
+    state.update((json.dumps(accounts),))
+    rows = [(*place, None, n) for place, n in moved.items() if n] + [(*place, amount, None) for place, amount in money.items()]
+    if rows:
+        yield pd.DataFrame(rows, columns=[f.split()[0] for f in CHANGES.split(", ")]).astype({"pay_account_num": "Int64"})
+
+
+def account_changes(events: DataFrame, buckets: int = ACCOUNT_BUCKETS) -> DataFrame:
     """Per micro-batch what its events change, of all accounts, keyed by the registered games behind it.
 
-    `pay_money` rows are amounts times the registrations of one game; `pay_account_num` rows add an account to an hour, or
-    take it away, under all games it is registered with in a channel. Whether such games are listed is for
+    `pay_money` rows are amounts times the registrations of one game; `pay_account_num` rows add accounts to an hour, or
+    take them away, under all games they are registered with in a channel. Whether such games are listed is for
     the reader to decide: the state holds listed and other registrations alike.
+
+    Accounts are dealt by a hash into `buckets` states, because a call and a state cost far more than an account. A batch
+    reads the buckets of its accounts. The number belongs to the checkpoint: choose it once, for a few hundred accounts each.
     """
-    return events.groupBy("game_account").applyInPandasWithState(_change, CHANGES, STATE, "append", GroupStateTimeout.NoTimeout)
+    bucket = F.pmod(F.xxhash64("game_account"), F.lit(buckets)).alias("bucket")
+    return events.select("*", bucket).groupBy("bucket").applyInPandasWithState(_change, CHANGES, STATE, "append", GroupStateTimeout.NoTimeout)

@@ -14,7 +14,7 @@ from gamepulse.operators.dims import enrich_kpi
 from gamepulse.operators.merge import INCREMENT, INSERT_ONLY, zero_stale
 from gamepulse.plans import kpi_stream, points, side
 from gamepulse.sources import logs
-from gamepulse.streaming.account_state import account_changes, account_events
+from gamepulse.streaming.account_state import ACCOUNT_BUCKETS, account_changes, account_events
 from gamepulse.streaming.run import held, together
 from gamepulse.streaming.store import AppendTable, MergeTable
 
@@ -153,13 +153,16 @@ PENDING_KEYS = {"publish_time": "string", "game_id": "int", "expand_channel": "s
 
 @dataclass(frozen=True)
 class KeyedKpiJob(BaseKpiJob):
-    """The same tables from keyed state: a batch reads the states of its own accounts, and no stored rows of others.
+    """The same tables from keyed state: a batch reads the states its accounts are in, and no stored rows.
 
     `stream` turns lines into lines and changes of accounts, which `process` stores, so it runs on streams only. First-pay
     accounts arrive as differences and are added up. Those whose registered games are not listed yet wait in
-    `pending`, which is read only by a batch that lists a new game.
+    `pending`, which is read only by a batch that lists a new game. `account_buckets` is the number of states and belongs
+    to the checkpoint.
     """
 
+    account_buckets: int = ACCOUNT_BUCKETS
+
     @property
     def pending(self) -> MergeTable:
         return MergeTable(f"{self.root}/pending", PENDING_KEYS, {"pay_account_num": "bigint"})
@@ -167,7 +170,7 @@ class KeyedKpiJob(BaseKpiJob):
     def stream(self, lines: DataFrame) -> DataFrame:
         lines.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         raw = lines.select("value")
-        changes = account_changes(account_events(raw, self.run_date))
+        changes = account_changes(account_events(raw, self.run_date), self.account_buckets)
         return raw.unionByName(changes, allowMissingColumns=True)
 
     def _run(self, spark, *writes) -> None:

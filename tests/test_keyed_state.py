@@ -1,9 +1,13 @@
 """The base KPI stream on keyed state: same tables as the batch-wise job, and no reading of what was stored."""
 
+from decimal import Decimal
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from gamepulse.sources.streams import file_lines
+from gamepulse.streaming import account_state
 from gamepulse.streaming.account_state import account_events
 from gamepulse.streaming.jobs import BaseKpiJob, KeyedKpiJob
 from gamepulse.streaming.run import run_available
@@ -96,3 +100,24 @@ def test_events_are_reduced_before_the_shuffle(spark):
     assert len(events) == 3 and {e["kind"] for e in events} == {"registered", "amount", "first"}
     assert [e["first"] for e in events if e["kind"] == "first"] == ["2024-01-05 09:00:00"]
     assert [float(e["amount"]) for e in events if e["kind"] == "amount"] == [2500.0]
+
+
+def test_accounts_share_a_state():
+    """One call for a bucket of accounts: each keeps its own state, what they move is added up."""
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    names = ["game_account", *account_state.EVENT_KEYS[1:], "amount", "first"]
+    known = pd.DataFrame([(f"a{i}", "registered", 1, "x", 1, "t", None, None) for i in range(50)], columns=names)
+    orders = [(f"a{i}", "amount", 1, None, None, "2024-01-05 09", Decimal(2), None) for i in range(40)]
+    orders += [(f"a{i}", "first", 1, None, None, "2024-01-05", None, "2024-01-05 09:00:00") for i in range(40)]
+    earlier = pd.DataFrame([("a0", "first", 1, None, None, "2024-01-05", None, "2024-01-05 08:00:00")], columns=names)
+    state = State()
+    got = [[tuple(r) for f in account_state._change((0,), iter(frames), state) for r in f.astype(object).where(f.notna(), None).itertuples(index=False)]
+           for frames in ([known], [pd.DataFrame(orders[:30], columns=names), pd.DataFrame(orders[30:], columns=names)], [earlier])]
+    hour = "2024-01-05 09", 1, "x", "1"
+    assert got[0] == [] and sorted(got[1], key=str) == sorted([(*hour, None, 40), (*hour, Decimal(80), None)], key=str)
+    assert sorted(got[2], key=str) == sorted([(*hour, None, -1), ("2024-01-05 08", 1, "x", "1", None, 1)], key=str)
