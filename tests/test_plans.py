@@ -302,3 +302,22 @@ def test_points_names_and_defaults(spark):
     assert total == {"t1": (1, 11), "t2": (2, 13), "t4": (2, 15), "t5": (1, 16)}
     assert {tuple(r) for r in points.quota_sum(resolved, members).collect()} == {("7", "seven", 3), ("0", "", 3)}
     assert {tuple(r) for r in points.quota_count(resolved, members).collect()} == {("7", "seven", 2), ("0", "", 2)}
+
+
+def test_als_ratings_are_joined_once(spark):
+    """Fits and predictions read stored numbers; the lines are not numbered again for each."""
+    downloads = spark.createDataFrame([(f"d{i % 9}", i % 4) for i in range(40)] + [("d1", 1)], "imei string, game_id int")
+    ratings = recommend.als_ratings(downloads)
+    plan = ratings._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan and ratings.count() == 41
+
+
+def test_blocks_of_games_have_no_bearing_on_the_model(spark, monkeypatch):
+    rows = [(f"d{i % 60}", (i * i + i // 7) % 23) for i in range(400)]
+    ratings = recommend.als_ratings(spark.createDataFrame(rows, "imei string, game_id int"))
+    assert recommend._als(17, ratings).getNumItemBlocks() == 3
+    few = recommend.als_rmse(ratings, 3, 0.1, 5).first()
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", 40)
+    assert recommend._als(17, ratings).getNumItemBlocks() == 10
+    many = recommend.als_rmse(ratings, 3, 0.1, 5).first()
+    assert few["predictions"] == many["predictions"] > 40 and abs(few["rmse"] - many["rmse"]) < 1e-5
