@@ -321,3 +321,15 @@ def test_blocks_of_games_have_no_bearing_on_the_model(spark, monkeypatch):
     assert recommend._als(17, ratings).getNumItemBlocks() == 10
     many = recommend.als_rmse(ratings, 3, 0.1, 5).first()
     assert few["predictions"] == many["predictions"] > 40 and abs(few["rmse"] - many["rmse"]) < 1e-5
+
+
+def test_a_fit_keeps_one_iteration(spark):
+    """Factors of games are stored each time, so what earlier iterations exchanged is dropped, and few settings are fitted at a time."""
+    rows = [(f"d{i % 60}", (i * i + i // 7) % 23) for i in range(400)]
+    ratings = recommend.als_ratings(spark.createDataFrame(rows, "imei string, game_id int"))
+    assert recommend._als(17, ratings).getCheckpointInterval() == 1 and recommend.FITS_AT_ONCE <= 2
+    seen, let_go = [], recommend._let_go
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(recommend, "_let_go", lambda s: seen.append(let_go(s)))
+        recommend.fit_als(ratings, recommend.AlsGrid((2, 3), (0.1,), (2,)))
+    assert len(seen) == 2
