@@ -333,3 +333,14 @@ def test_a_fit_keeps_one_iteration(spark):
         patch.setattr(recommend, "_let_go", lambda s: seen.append(let_go(s)))
         recommend.fit_als(ratings, recommend.AlsGrid((2, 3), (0.1,), (2,)))
     assert len(seen) == 2
+
+
+def test_blocks_on_both_sides_grow_with_the_ratings(spark, monkeypatch):
+    rows = [(f"d{i % 60}", (i * i + i // 7) % 23) for i in range(400)]
+    ratings = recommend.als_ratings(spark.createDataFrame(rows, "imei string, game_id int"))
+    few = recommend._als(17, ratings)
+    assert (few.getNumUserBlocks(), few.getNumItemBlocks()) == (10, 3) and recommend.BLOCK_RATINGS <= 1 << 23
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", 20)
+    many = recommend._als(17, ratings)
+    assert (many.getNumUserBlocks(), many.getNumItemBlocks()) == (20, 20)
+    assert recommend.als_rmse(ratings, 3, 0.1, 5).first()["predictions"] > 40
