@@ -1,7 +1,9 @@
 import random
 from collections import Counter
 from itertools import permutations
+from types import SimpleNamespace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -323,6 +325,39 @@ def test_blocks_of_games_have_no_bearing_on_the_model(spark, monkeypatch):
     assert few["predictions"] == many["predictions"] > 40 and abs(few["rmse"] - many["rmse"]) < 1e-5
 
 
+def test_game_lists_come_from_the_best_games_of_each_owner(spark):
+    rng = random.Random(4)
+    for games, users, k in ((12, 30, 4), (12, 30, 20), (40, 200, 7), (5, 9, 4)):
+        features = {g * 3 + 1: [float(rng.randint(-2, 2)) for _ in range(3)] for g in range(games)}
+        tastes = {u: [float(rng.randint(-3, 3)) for _ in range(3)] for u in range(users)}
+        owned = [(u, rng.choice(list(features))) for u in tastes for _ in range(rng.randint(1, 5))]
+        votes = {}
+        for u, g in {*owned, (1, 2)}:  # game 2 is in no model, but on a device
+            best = sorted((-sum(x * y for x, y in zip(tastes[u], f)), h) for h, f in features.items() if h != g)[:k]
+            for score, h in best:
+                votes.setdefault(g, Counter())[h] += score
+        want = {g: "|".join(str(h) for h, _ in sorted(v.items(), key=lambda x: (x[1], x[0]))[:k]) for g, v in votes.items()}
+        model = SimpleNamespace(
+            rank=3, userFactors=spark.createDataFrame(list(tastes.items()), "id int, features array<float>"),
+            itemFactors=spark.createDataFrame(list(features.items()), "id int, features array<float>"))
+        ratings = spark.createDataFrame([*owned, *owned[:9], (1, 2), (999, 1), (0, None), (None, 1)], "user_id int, game_id int")
+        for chunk in (7, 1 << 15):
+            assert {r[0]: r[1] for r in recommend.als_lists(model, ratings, k, chunk).collect()} == want
+
+
+def test_best_games_do_not_depend_on_blocks():
+    rng = np.random.default_rng(2)
+    users, games = rng.integers(-2, 3, (50, 3)).astype(float), rng.integers(-2, 3, (37, 3)).astype(float)
+    every = users @ games.T
+    for k in (1, 5, 35, 36, 37, 60):
+        for block, products in ((4096, 1 << 22), (4, 50), (1, 1)):
+            best, scores, last = recommend._best_games(users, games, k, block, products)
+            for i, row in enumerate(every):
+                want = np.lexsort((np.arange(37), -row))[:k + 1]
+                assert sorted(want) == list(best[i]) and list(scores[i]) == list(row[best[i]])
+                assert last[i] == (list(best[i]).index(want[-1]) if k < 37 else -1)
+
+
 def test_a_fit_keeps_one_iteration(spark):
     """Factors of games are stored each time, so what earlier iterations exchanged is dropped, and few settings are fitted at a time."""
     rows = [(f"d{i % 60}", (i * i + i // 7) % 23) for i in range(400)]
